@@ -7,13 +7,21 @@ values.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 PORTALS = {"A": "otodom", "N": "olx", "R": "gus"}
 
 
-def raw_listings(spark: SparkSession, tables: str) -> DataFrame:
+def feeds(spark: SparkSession, tables: str) -> dict[str, DataFrame]:
+    """The raw listings of each portal; the choice of order lines is pushed to their scan."""
+    return {
+        name: raw_listings(spark, tables, F.col("l_returnflag") == flag)
+        for flag, name in PORTALS.items()
+    }
+
+
+def raw_listings(spark: SparkSession, tables: str, lines_where: Column | None = None) -> DataFrame:
     """Raw listings from the tables in folder ``tables``.
 
     No join is hinted: part and supplier grow with the data, so Spark decides by their size.
@@ -28,9 +36,11 @@ def raw_listings(spark: SparkSession, tables: str) -> DataFrame:
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
         .select("s_suppkey", "n_name", "r_name")
     )
+    lines = read("lineitem")
+    if lines_where is not None:
+        lines = lines.where(lines_where)
     lines = (
-        read("lineitem")
-        .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
     )
     source = F.lit(None).cast("string")
