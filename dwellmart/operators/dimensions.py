@@ -51,7 +51,7 @@ def number_members(
     path = f"{scratch_root(members.sparkSession)}/members-{uuid.uuid4().hex}"
     ranged = members.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
     ranged.write.parquet(path)
-    stored = members.sparkSession.read.parquet(path)
+    stored = members.sparkSession.read.schema(ranged.schema).parquet(path)
     sizes = stored.groupBy("_range").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from dwellmart.plans.curate import CurateCounts, curate
 from dwellmart.plans.load import append, refresh
+from dwellmart.plans.together import together
 from dwellmart.sources.curated import read_curated
 from dwellmart.sources.landing import STRICT, land
 from dwellmart.sources.warehouse import Warehouse
@@ -37,11 +39,12 @@ def run_daily(
     A full run replaces the star when its load is complete and sound, so there is no moment with
     empty tables. An incremental run keeps it and adds what is new.
     """
-    for source, rows in feeds.items():
-        land(rows, folders.landing, source, at)
+    drops = [partial(land, rows, folders.landing, source, at) for source, rows in feeds.items()]
+    together(spark, *drops)
     counts = curate(
         spark, folders.landing, folders.curated, landing_mode, folders.rejected_records
     )
     load = append if incremental else refresh
-    load(warehouse, read_curated(spark, folders.curated), rejected=folders.rejected_facts)
+    curated = read_curated(spark, folders.curated)
+    load(warehouse, curated, rejected=folders.rejected_facts, known_unique=True)
     return counts

@@ -2,31 +2,50 @@
 
 from __future__ import annotations
 
-import logging
+from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame
 
 from dwellmart.fixed_values import UNIQUE_KEYS
 from dwellmart.operators import dimensions as dims
 from dwellmart.operators.contract import fact_rules, member_rules
-from dwellmart.operators.facts import listing_facts, macro_facts, unseen, with_surrogate_key
+from dwellmart.operators.facts import (
+    Dimension,
+    listing_facts,
+    macro_facts,
+    unseen,
+    with_surrogate_key,
+)
 from dwellmart.operators.integrity import require_sound, require_unique
 from dwellmart.operators.rules import enforce, keep_valid, rejects
+from dwellmart.plans.together import together
 from dwellmart.sources.curated import listings_of, macro_of, with_kind
 from dwellmart.sources.landing import QUARANTINE, STRICT
 from dwellmart.sources.warehouse import Warehouse
 
-log = logging.getLogger(__name__)
-
-
 def refresh(
-    warehouse: Warehouse, curated: DataFrame, mode: str = QUARANTINE, rejected: str | None = None
+    warehouse: Warehouse,
+    curated: DataFrame,
+    mode: str = QUARANTINE,
+    rejected: str | None = None,
+    known_unique: bool = False,
+    verify: bool = False,
 ) -> None:
-    """Rebuild the star from the whole curated zone and publish it if it is sound."""
+    """Rebuild the star from the whole curated zone and publish it if every constraint holds.
+
+    Required values and foreign keys are enforced while the facts are written, so they cost no
+    pass of their own. That a listing_id occurs once needs a shuffle of all ids; a caller who has
+    just removed duplicates says so with ``known_unique``. ``verify`` checks what was written once
+    more, constraint by constraint.
+    """
+    if not known_unique:
+        require_unique(curated, ["listing_id"])
     staged = warehouse.stage()
     try:
         _load(staged, curated, mode, rejected, fresh=True)
-        require_sound(staged.table)
+        if verify:
+            require_sound(staged.table)
     except Exception:
         staged.discard()
         raise
@@ -34,14 +53,19 @@ def refresh(
 
 
 def append(
-    warehouse: Warehouse, curated: DataFrame, mode: str = QUARANTINE, rejected: str | None = None
+    warehouse: Warehouse,
+    curated: DataFrame,
+    mode: str = QUARANTINE,
+    rejected: str | None = None,
+    known_unique: bool = False,
 ) -> None:
     """Add what is not stored yet: new members first, then new facts.
 
     A stored listing keeps its row. Running the same batch again adds nothing, so a run that was
     cut off between two tables is completed by repeating it.
     """
-    require_unique(curated, ["listing_id"])
+    if not known_unique:
+        require_unique(curated, ["listing_id"])
     _load(warehouse, curated, mode, rejected, fresh=False)
 
 
@@ -61,35 +85,56 @@ def _load(
     else:
         members = keep_valid(curated, member_rules())
         facts = keep_valid(curated, fact_rules())
+    members_of = {
+        "dim_date": (None, dims.date_members(members)),
+        "dim_location": ("location_id", dims.location_members(members)),
+        "dim_property": ("property_id", dims.property_members(listings_of(members))),
+        "dim_source": ("source_id", dims.source_members(members)),
+    }
+    steps = [
+        partial(_add_members, target, table, found, id_column, fresh)
+        for table, (id_column, found) in members_of.items()
+    ]
     if rejected is not None:
-        fact_rejects(curated).write.mode("append").parquet(rejected)
-
-    _add_members(target, "dim_date", dims.date_members(members), None)
-    _add_members(target, "dim_location", dims.location_members(members), "location_id")
-    _add_members(target, "dim_property", dims.property_members(listings_of(members)), "property_id")
-    _add_members(target, "dim_source", dims.source_members(members), "source_id")
+        refused = fact_rejects(curated).write.mode("append")
+        steps.append(partial(refused.parquet, rejected))
+    together(target.spark, *steps)
 
     listings, records = listings_of(facts), macro_of(facts)
     if not fresh:
         listings = unseen(listings, target.table("fact_listings"), "listing_natural_key")
         records = unseen(records, target.table("fact_macro_indicators"), "indicator_natural_key")
-    _add_facts(target, "fact_listings", listing_facts(listings, target.table), "listing_sk",
-               ["location_id", "price"])
-    _add_facts(target, "fact_macro_indicators", macro_facts(records, target.table), "macro_sk",
-               ["date_id", "location_id"])
+    together(
+        target.spark,
+        partial(_add_facts, target, "fact_listings", listings, listing_facts,
+                "listing_sk", ["location_id", "price"], fresh),
+        partial(_add_facts, target, "fact_macro_indicators", records, macro_facts,
+                "macro_sk", ["date_id", "location_id"], fresh),
+    )
 
 
-def _add_members(target: Warehouse, table: str, found: DataFrame, id_column: str | None) -> None:
+def _add_members(
+    target: Warehouse, table: str, found: DataFrame, id_column: str | None, fresh: bool
+) -> None:
     keys = UNIQUE_KEYS[table]
-    new = dims.new_members(found, target.table(table), keys)
+    if not fresh:
+        found = dims.new_members(found, target.table(table), keys)
     if id_column:
-        new = dims.number_members(new, keys, id_column, target.largest(table, id_column))
-    target.append(table, new)
+        last = 0 if fresh else target.largest(table, id_column)
+        found = dims.number_members(found, keys, id_column, last)
+    target.append(table, found)
 
 
 def _add_facts(
-    target: Warehouse, table: str, facts: DataFrame, id_column: str, order: list[str]
+    target: Warehouse,
+    table: str,
+    rows: DataFrame,
+    facts_of: Callable[[DataFrame, Dimension], DataFrame],
+    id_column: str,
+    order: list[str],
+    fresh: bool,
 ) -> None:
     """Append facts, each file ordered so that its column statistics can rule out pages."""
-    keyed = with_surrogate_key(facts, id_column, target.largest(table, id_column))
+    last = 0 if fresh else target.largest(table, id_column)
+    keyed = with_surrogate_key(facts_of(rows, target.table), id_column, last)
     target.append(table, keyed.sortWithinPartitions(*order))

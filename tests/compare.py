@@ -48,7 +48,8 @@ def main(folder: str, names: list[str]) -> int:
     from dwellmart.session import build_session
 
     spark = build_session(
-        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false"}
+        "compare", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+           "spark.ui.showConsoleProgress": "false"}
     )
     spark.sparkContext.setLogLevel("ERROR")
     con, statements, failed = connect(folder), registry.oracle_sql(), 0
