@@ -38,7 +38,8 @@ def lookup(
         copies = renamed.withColumn(
             "_m__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
         )
-        joined = salted_rows.join(copies, _matches([*keys, "_salt"], null_safe), how)
+        on = _matches([*keys, "_salt"], null_safe)
+        joined = salted_rows.join(copies.hint("merge"), on, how)
     return joined.drop("_salt", "_m__salt", *[f"_m_{key}" for key in keys])
 
 
