@@ -28,9 +28,15 @@ def is_finite(number: str) -> Column:
 
 
 def exceeds_decimal(measure: str) -> Column:
-    """True where the value does not fit the decimal type of its warehouse column."""
+    """True where the value does not fit the decimal type of its warehouse column.
+
+    The exact test converts the value, which is slow; it is only reached by values that use all
+    the digits there are.
+    """
     digits, scale = DECIMAL_DIGITS[measure]
-    return F.col(measure).try_cast(f"decimal({digits},{scale})").isNull() & F.col(measure).isNotNull()
+    value = F.col(measure)
+    long = value.isNotNull() & (F.abs(value) >= float(10 ** (digits - scale - 1)))
+    return long & value.try_cast(f"decimal({digits},{scale})").isNull()
 
 
 def as_decimal(measure: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import CURRENCY, ID_SEPARATOR, MACRO_SOURCE, NO_VALUE
+from dwellmart.fixed_values import CURRENCY, ID_SEPARATOR, NO_VALUE
 
 
 def proper_name(name: str) -> Column:
@@ -18,10 +18,6 @@ def source_of(listing_id: str) -> Column:
     return F.substring_index(listing_id, ID_SEPARATOR, 1)
 
 
-def is_macro(listing_id: str = "listing_id") -> Column:
-    return source_of(listing_id) == MACRO_SOURCE
-
-
 def month_label(year: str = "year", month: str = "month") -> Column:
     return F.concat_ws("-", F.col(year).cast("string"), F.lpad(F.col(month).cast("string"), 2, "0"))
 

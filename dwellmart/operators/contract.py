@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import MEASURE_COLUMNS, REQUIRED_COLUMNS, TEXT_LIMITS
 from dwellmart.functions.measures import exceeds_decimal, is_finite
-from dwellmart.functions.text import is_macro, source_of
+from dwellmart.functions.text import source_of
+from dwellmart.operators.kinds import is_listing
 
 MALFORMED = "_corrupt_record"
 
@@ -43,14 +44,12 @@ def member_rules() -> dict[str, Column]:
 
 
 def fact_rules() -> dict[str, Column]:
-    """Rules of a curated row that is to become a fact: member rules plus measures and lengths.
-
-    Price and area are asked of listings only, macro records carry neither.
-    """
+    """Rules of a curated row, with its kind, that is to become a fact: member rules plus measures
+    and lengths. Price and area are asked of listings only, macro records carry neither."""
     listing_only = {"price", "area"}
     rules = member_rules() | _too_long("listing_id", F.col("listing_id"))
     for column in MEASURE_COLUMNS:
-        applies = ~is_macro() if column in listing_only else F.lit(True)
+        applies = is_listing() if column in listing_only else F.lit(True)
         rules[f"{column}_missing"] = applies & F.col(column).isNull()
         rules[f"{column}_overflow"] = applies & exceeds_decimal(column)
-    return rules | {"url_too_long": ~is_macro() & (F.length("url") > TEXT_LIMITS["url"])}
+    return rules | {"url_too_long": is_listing() & (F.length("url") > TEXT_LIMITS["url"])}

@@ -17,7 +17,7 @@ def lookup(
     rows: DataFrame,
     members: DataFrame,
     keys: Sequence[str],
-    salt_by: str,
+    salt_by: str | None,
     null_safe: Sequence[str] = (),
     how: str = "left",
     broadcast_members: int = BROADCAST_MEMBERS,
@@ -28,19 +28,19 @@ def lookup(
     below the bound. Beyond it both sides are shuffled, with each key split over SALTS parts by a
     hash of ``salt_by``, so a member that many rows point to is joined by many tasks. The salt
     depends on row content only; a task that runs twice sends the same rows to the same place.
+    Rows that were reduced to one per key have no such member and give no ``salt_by``.
     """
     small = members.limit(broadcast_members + 1).count() <= broadcast_members
-    renamed = members.withColumnsRenamed({key: f"_m_{key}" for key in keys})
+    members = members.withColumnsRenamed({key: f"_m_{key}" for key in keys})
     if small:
-        joined = rows.join(F.broadcast(renamed), _matches(keys, null_safe), how)
-    else:
-        salted_rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
-        copies = renamed.withColumn(
-            "_m__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-        )
-        on = _matches([*keys, "_salt"], null_safe)
-        joined = salted_rows.join(copies.hint("merge"), on, how)
-    return joined.drop("_salt", "_m__salt", *[f"_m_{key}" for key in keys])
+        members = F.broadcast(members)
+    elif salt_by is not None:
+        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
+        members = members.withColumn("_m__salt", F.explode(salts)).hint("merge")
+        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
+        keys = [*keys, "_salt"]
+    joined = rows.join(members, _matches(keys, null_safe), how)
+    return joined.drop("_salt", *[f"_m_{key}" for key in keys])
 
 
 def _matches(keys: Sequence[str], null_safe: Sequence[str]) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -37,12 +38,12 @@ def curate_frame(raw: DataFrame, mode: str = STRICT) -> DataFrame:
 
 def curate(
     spark: SparkSession,
-    landing: str,
+    landing: str | Sequence[str],
     curated: str,
     mode: str = STRICT,
     rejected: str | None = None,
 ) -> CurateCounts:
-    """Read all drops once, write the curated zone.
+    """Read the drops under a landing folder, or under several, and write the curated zone.
 
     In quarantine mode the rejected records go to ``rejected``. That is a second read of the
     landing zone, which costs less than storing the parsed records for it.

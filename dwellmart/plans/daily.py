@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime
+from datetime import datetime, timezone
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,15 +36,20 @@ def run_daily(
 ) -> CurateCounts:
     """One run over all feeds, in this order; an error in a step ends the run.
 
-    A full run replaces the star when its load is complete and sound, so there is no moment with
-    empty tables. An incremental run keeps it and adds what is new.
+    A full run curates the whole landing zone and replaces the star once its load is complete and
+    sound, so there is no moment with empty tables. An incremental run curates only the drops it
+    landed itself and adds what is new to the star; it takes a curated folder of its own.
     """
-    drops = [partial(land, rows, folders.landing, source, at) for source, rows in feeds.items()]
-    together(spark, *drops)
-    counts = curate(
-        spark, folders.landing, folders.curated, landing_mode, folders.rejected_records
-    )
-    load = append if incremental else refresh
+    stamped = at or datetime.now(timezone.utc)
+    drops: list[str] = []
+
+    def land_feed(source: str, rows: DataFrame) -> None:
+        drops.append(land(rows, folders.landing, source, stamped))
+
+    together(spark, *[partial(land_feed, source, rows) for source, rows in feeds.items()])
+    fresh = drops if incremental else folders.landing
+    counts = curate(spark, fresh, folders.curated, landing_mode, folders.rejected_records)
     curated = read_curated(spark, folders.curated)
+    load = append if incremental else refresh
     load(warehouse, curated, rejected=folders.rejected_facts, known_unique=True)
     return counts

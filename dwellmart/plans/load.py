@@ -18,9 +18,9 @@ from dwellmart.operators.facts import (
     with_surrogate_key,
 )
 from dwellmart.operators.integrity import require_sound, require_unique
+from dwellmart.operators.kinds import listings_of, macro_of, with_kind
 from dwellmart.operators.rules import enforce, keep_valid, rejects
 from dwellmart.plans.together import together
-from dwellmart.sources.curated import listings_of, macro_of, with_kind
 from dwellmart.sources.landing import QUARANTINE, STRICT
 from dwellmart.sources.warehouse import Warehouse
 
@@ -71,7 +71,7 @@ def append(
 
 def fact_rejects(curated: DataFrame) -> DataFrame:
     """Curated rows that cannot become facts, with the reasons."""
-    return rejects(curated, fact_rules())
+    return rejects(with_kind(curated), fact_rules())
 
 
 def _load(
@@ -136,5 +136,5 @@ def _add_facts(
 ) -> None:
     """Append facts, each file ordered so that its column statistics can rule out pages."""
     last = 0 if fresh else target.largest(table, id_column)
-    keyed = with_surrogate_key(facts_of(rows, target.table), id_column, last)
-    target.append(table, keyed.sortWithinPartitions(*order))
+    ordered = facts_of(rows, target.table).sortWithinPartitions(*order)
+    target.append(table, with_surrogate_key(ordered, id_column, last))

@@ -161,19 +161,21 @@ class Reports:
 
         Facts are ordered by location_id within their files. The range of a city's ids, taken by
         scalar subqueries, reaches the scan and rules out row groups; the join then decides.
+        The ends are taken by sorting, not by min and max: Spark merges two aggregates over the
+        same rows into one struct, and a field of a struct is not handed to the scan.
         """
         facts = self.warehouse.table("fact_listings")
         if city is None or city == ALL_CITIES:
             return facts
         here = self.warehouse.table("dim_location").where(F.col("city") == city)
         here = here.select("location_id")
-        lowest = here.agg(F.min("location_id")).scalar()
-        highest = here.agg(F.max("location_id")).scalar()
+        lowest = here.orderBy(F.asc("location_id")).limit(1).scalar()
+        highest = here.orderBy(F.desc("location_id")).limit(1).scalar()
         near = facts.where((F.col("location_id") >= lowest) & (F.col("location_id") <= highest))
         return lookup(near, here, ["location_id"], salt_by="listing_natural_key", how="left_semi")
 
     def _join(
-        self, rows: DataFrame, dimension: str, key: str, columns: list[str], salt_by: str
+        self, rows: DataFrame, dimension: str, key: str, columns: list[str], salt_by: str | None
     ) -> DataFrame:
         members = self.warehouse.table(dimension).select(key, *columns)
         return lookup(rows, members, [key], salt_by=salt_by, how="inner")
@@ -189,7 +191,7 @@ class Reports:
         sums = self._listings(city).groupBy(key).agg(
             F.sum("price_per_m2").alias("_total"), F.count("price_per_m2").alias("_n")
         )
-        joined = self._join(sums, dimension, key, groups, salt_by=key)
+        joined = self._join(sums, dimension, key, groups, salt_by=None)
         if members is not None:
             joined = joined.where(members)
         mean = mean_to_cents(F.sum("_total"), F.sum("_n"))

@@ -8,24 +8,13 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import CURATED_COLUMNS
-from dwellmart.functions.text import is_macro
-
-KIND = "record_kind"
-LISTING = "listing"
-MACRO = "macro"
-
-
-def _kind() -> F.Column:
-    return F.when(is_macro(), MACRO).otherwise(LISTING)
+from dwellmart.operators.kinds import KIND, with_kind
 
 
 def write_curated(curated: DataFrame, path: str) -> None:
     """Replace the curated zone."""
-    laid_out = curated.withColumn(KIND, _kind())
-    laid_out.write.mode("overwrite").partitionBy(KIND).parquet(path)
+    with_kind(curated).write.mode("overwrite").partitionBy(KIND).parquet(path)
 
 
 def read_curated(spark: SparkSession, path: str) -> DataFrame:
@@ -37,17 +26,3 @@ def read_curated(spark: SparkSession, path: str) -> DataFrame:
             raise FileNotFoundError(f"no curated zone at {path}") from error
         raise
     return with_kind(curated)
-
-
-def with_kind(curated: DataFrame) -> DataFrame:
-    if KIND in curated.columns:
-        return curated.select(*CURATED_COLUMNS, KIND)
-    return curated.select(*CURATED_COLUMNS, _kind().alias(KIND))
-
-
-def listings_of(curated: DataFrame) -> DataFrame:
-    return curated.where(F.col(KIND) == LISTING)
-
-
-def macro_of(curated: DataFrame) -> DataFrame:
-    return curated.where(F.col(KIND) == MACRO)

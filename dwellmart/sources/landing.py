@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -15,8 +16,10 @@ STRICT = "strict"
 QUARANTINE = "quarantine"
 
 
-def load_landing(spark: SparkSession, zone: str, mode: str = STRICT) -> DataFrame:
-    """All drops under ``zone`` as one frame with the fixed record layout.
+def load_landing(
+    spark: SparkSession, zone: str | Sequence[str], mode: str = STRICT
+) -> DataFrame:
+    """All drops under a folder, or under several, as one frame with the fixed record layout.
 
     ``strict`` fails the job at the first unreadable line or value. ``quarantine`` keeps such
     lines, with their text in an extra column, so that they can be set aside. Unknown keys are
@@ -34,7 +37,7 @@ def load_landing(spark: SparkSession, zone: str, mode: str = STRICT) -> DataFram
             .schema(f"{RAW_SCHEMA}, {MALFORMED} STRING")
         )
     try:
-        return reader.json(zone)
+        return reader.json(zone if isinstance(zone, str) else list(zone))
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"no landing zone at {zone}") from error

@@ -6,9 +6,10 @@ import pytest
 from conftest import columns_of, ids, plan_of
 from pyspark.errors import PySparkException
 
+from dwellmart.operators.kinds import listings_of, macro_of
 from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate
-from dwellmart.sources.curated import listings_of, macro_of, read_curated, write_curated
+from dwellmart.sources.curated import read_curated, write_curated
 from dwellmart.sources.landing import land, load_landing
 
 FULL = (

@@ -13,6 +13,7 @@ from dwellmart.functions.text import count_text, month_label, priced_text, sourc
 from dwellmart.operators.clean import clean
 from dwellmart.operators.contract import fact_rules, record_rules
 from dwellmart.operators.dedup import latest_per_listing
+from dwellmart.operators.kinds import with_kind
 from dwellmart.operators.normalize import derive, transform
 from dwellmart.operators.rules import enforce, keep_valid, rejects
 
@@ -156,7 +157,7 @@ def test_strict_contract_fails_the_job(raw):
 
 
 def test_fact_rules(raw, macro_record):
-    frame = derive(
+    frame = with_kind(derive(
         raw(
             {"listing_id": "olx_ok"},
             {"listing_id": "olx_p", "price": None},
@@ -168,7 +169,7 @@ def test_fact_rules(raw, macro_record):
             macro_record(listing_id="gus_ok"),
             macro_record(listing_id="gus_p", price_per_m2=None),
         )
-    )
+    ))
     assert ids(keep_valid(frame, fact_rules())) == ["gus_ok", "olx_ok"]
     reasons = {i[:8]: r for i, r in columns_of(rejects(frame, fact_rules()), "listing_id", "reasons")}
     assert reasons == {

@@ -167,6 +167,14 @@ def test_facts_are_summed_before_they_meet_a_dimension(market):
     assert "ReadSchema: struct<property_id:int,price_per_m2:decimal(15,2)>" in plan_of(market.by_rooms())
 
 
+def test_the_range_of_a_city_reaches_the_scan(market):
+    """Merged subqueries would arrive as a struct field, which the scan cannot use."""
+    plan = plan_of(market.kpi("Warsaw"))
+    scan = next(part for part in plan.split("\n\n") if "fact_listings" in part and "PushedFilters" in part)
+    assert "location_id" in scan and "Hosting operator id = 1 " in plan
+    assert "mergedValue" not in plan
+
+
 def test_search_takes_the_cheapest_before_looking_up_texts(market):
     plan = plan_of(market.search(), "simple")
     assert "TakeOrderedAndProject" in plan

@@ -17,7 +17,7 @@ from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate_frame
 from dwellmart.plans.daily import Folders, run_daily
 from dwellmart.plans.load import append, fact_rejects, refresh
-from dwellmart.sources.curated import read_curated
+from dwellmart.sources.landing import load_landing
 from dwellmart.sources.warehouse import Warehouse, append_jdbc
 
 
@@ -73,6 +73,14 @@ def test_text_limits_hold_on_write(spark, warehouse):
     assert warehouse.table("dim_source").count() == 0
 
 
+def test_largest_id(warehouse, curated):
+    refresh(warehouse, curated(*[{"listing_id": f"olx_{i}", "rooms": i + 1} for i in range(9)]))
+    assert warehouse.largest("dim_property", "property_id") == 9
+    assert warehouse.largest("fact_macro_indicators", "macro_sk") == 0
+    stored = [row["listing_sk"] for row in warehouse.table("fact_listings").collect()]
+    assert warehouse.largest("fact_listings", "listing_sk") == max(stored)
+
+
 # -- members and keys ---------------------------------------------------------------------------
 
 
@@ -110,6 +118,12 @@ def test_salted_lookup_equals_broadcast_lookup(spark, how):
     assert found[0] == found[1] and found[0]
     shuffled = lookup(rows, members, ["a"], "id", how=how, broadcast_members=0)
     assert "SortMergeJoin [a" in plan_of(shuffled, "simple")
+    per_key = rows.groupBy("a").count()
+    plain = [
+        sorted(map(str, lookup(per_key, members, ["a"], None, ["a"], how, limit).collect()))
+        for limit in (100, 0)
+    ]
+    assert plain[0] == plain[1]
 
 
 def test_property_members_match_null_to_null(warehouse, curated):
@@ -317,12 +331,14 @@ def test_daily_run_full_and_incremental(spark, raw, macro_record, warehouse, tmp
     assert (counted.raw, counted.curated, counted.rejected) == (4, 2, 0)
     assert counts(warehouse)["fact_listings"] == counts(warehouse)["fact_macro_indicators"] == 1
 
+    folders = Folders(folders.landing, str(tmp_path / "batch"))
     more = {"otodom": raw({"listing_id": "otodom_1"}), "gus": raw(macro_record(listing_id="gus_2"))}
     counted = run_daily(spark, folders, warehouse, more, incremental=True, at=datetime(2026, 1, 2))
-    assert (counted.raw, counted.curated) == (6, 4)
+    assert (counted.raw, counted.curated) == (2, 2)
     assert counts(warehouse)["fact_listings"] == counts(warehouse)["fact_macro_indicators"] == 2
     assert violations(warehouse) == {}
-    assert read_curated(spark, folders.curated).count() == 4
+    everything = load_landing(spark, folders.landing)
+    assert everything.count() == 6
 
 
 def test_curate_frame_does_not_depend_on_partitioning(raw, macro_record):
