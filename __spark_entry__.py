@@ -215,7 +215,7 @@ _QUERIES: dict[str, Query] = {
     "dim_source": _table("dim_source"),
     "fact_listings": _table("fact_listings", without="listing_sk"),
     "fact_macro": _table("fact_macro_indicators", without="macro_sk"),
-    "fact_integrity": lambda s, d: audit(daily(s, d).warehouse.table),
+    "fact_integrity": lambda s, d: audit(daily(s, d).warehouse),
     "etl_counts": _etl_counts,
     "append_new_members": _append_new_members,
     "append_fact_listings": _appended("fact_listings", "listing_sk"),

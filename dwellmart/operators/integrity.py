@@ -8,14 +8,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import FOREIGN_KEYS, NULLABLE_TABLE_COLUMNS, TABLES, UNIQUE_KEYS
-from dwellmart.operators.facts import Dimension
+from dwellmart.fixed_values import FOREIGN_KEYS, TABLES, UNIQUE_KEYS
 from dwellmart.operators.lookup import lookup
-
-FACTS = tuple(FOREIGN_KEYS)
+from dwellmart.sources.warehouse import Warehouse
 
 
 class IntegrityError(RuntimeError):
@@ -36,40 +34,35 @@ def orphans(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
     return lookup(used, members.select(key), [key], salt_by=None, how="left_anti")
 
 
-def null_counts(table: str, rows: DataFrame) -> DataFrame:
-    """One row: nulls summed over the columns of ``table`` that must not be null."""
-    nullable = NULLABLE_TABLE_COLUMNS.get(table, [])
-    nulls = [F.count_if(F.col(c).isNull()) for c in rows.columns if c not in nullable]
-    return rows.agg(reduce(lambda left, right: left + right, nulls).alias("violations"))
-
-
-def audit(table_of: Dimension, unique: bool = True) -> DataFrame:
+def audit(warehouse: Warehouse) -> DataFrame:
     """Every constraint with the number of rows or keys that violate it (all zero when sound)."""
 
-    def line(name: str, counted: DataFrame) -> DataFrame:
+    def line(name: str, violations: Column, counted: DataFrame) -> DataFrame:
         return counted.select(
             F.lit(name).alias("constraint"),
-            F.coalesce(F.col("violations"), F.lit(0)).cast("long").alias("violations"),
+            F.coalesce(violations, F.lit(0)).cast("long").alias("violations"),
         )
 
+    one_row = warehouse.spark.range(1)
+    found = F.col("violations")
     lines = []
     for table in TABLES:
-        rows = table_of(table)
-        lines.append(line(f"{table}: not null", null_counts(table, rows)))
-        if unique:
-            repeated = duplicate_keys(rows, UNIQUE_KEYS[table])
-            counted = repeated.agg(F.count("*").alias("violations"))
-            lines.append(line(f"{table}: unique", counted))
+        rows = warehouse.table(table)
+        nulls = F.lit(warehouse.null_count(table))
+        lines.append(line(f"{table}: not null", nulls, one_row))
+        repeated = duplicate_keys(rows, UNIQUE_KEYS[table])
+        counted = repeated.agg(F.count("*").alias("violations"))
+        lines.append(line(f"{table}: unique", found, counted))
         for key, dimension in FOREIGN_KEYS.get(table, {}).items():
-            lost = orphans(rows, table_of(dimension), key)
+            lost = orphans(rows, warehouse.table(dimension), key)
             counted = lost.agg(F.sum("rows").alias("violations"))
-            lines.append(line(f"{table}: {key} in {dimension}", counted))
+            lines.append(line(f"{table}: {key} in {dimension}", found, counted))
     return reduce(DataFrame.unionAll, lines)
 
 
-def require_sound(table_of: Dimension) -> None:
+def require_sound(warehouse: Warehouse) -> None:
     """Raise unless every constraint holds. The report has one row per constraint."""
-    broken = audit(table_of).where(F.col("violations") > 0).collect()
+    broken = audit(warehouse).where(F.col("violations") > 0).collect()
     if broken:
         raise IntegrityError("; ".join(f"{r['constraint']}: {r['violations']}" for r in broken))
 

@@ -45,7 +45,7 @@ def refresh(
     try:
         _load(staged, curated, mode, rejected, fresh=True)
         if verify:
-            require_sound(staged.table)
+            require_sound(staged)
     except Exception:
         staged.discard()
         raise
@@ -96,7 +96,7 @@ def _load(
         for table, (id_column, found) in members_of.items()
     ]
     if rejected is not None:
-        refused = fact_rejects(curated).write.mode("append")
+        refused = fact_rejects(curated).write.mode("overwrite" if fresh else "append")
         steps.append(partial(refused.parquet, rejected))
     together(target.spark, *steps)
 

@@ -36,9 +36,12 @@ class Reports:
     # -- headline figures ----------------------------------------------------------------------
 
     def kpi(self, city: str | None = None) -> DataFrame:
-        """Count and averages in one row, also where nothing matches."""
+        """Count and averages in one row, also where nothing matches.
+
+        Every fact has its surrogate key, so rows are counted and the key column is not read.
+        """
         return self._listings(city).agg(
-            F.count("listing_sk").alias("total_listings"),
+            F.count("*").alias("total_listings"),
             _mean("price_per_m2").alias("avg_price_m2"),
             _mean("price").alias("avg_total_price"),
         )

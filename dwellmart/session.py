@@ -13,7 +13,8 @@ MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Settings a running session accepts. UTC keeps date keys independent of where the driver runs;
 # the skew setting lets a key that holds a large share of the rows be split at run time; the two
-# directories of the curated zone are written side by side instead of sorted apart first.
+# directories of the curated zone are written side by side instead of sorted apart first;
+# timestamps are stored in the form that has column statistics.
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -21,6 +22,7 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
 }
 
 

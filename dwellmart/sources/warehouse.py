@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import TABLES
+from dwellmart.fixed_values import NULLABLE_TABLE_COLUMNS, TABLES
 
 
 class Warehouse:
@@ -92,20 +92,32 @@ class Warehouse:
         ordered.write.insertInto(self.name_of(table))
         self.version += 1
 
-    def largest(self, table: str, column: str) -> int:
-        """The largest id in use, 0 in an empty table.
+    def from_footers(self, table: str, *aggregates: Column) -> Row | None:
+        """Plain count, min and max of a table, answered from the Parquet footers.
 
-        Answered from the statistics in the Parquet footers, not by reading the column. Spark does
-        this in its newer Parquet reader only, which a session of its own switches on.
+        No column is read. Spark does this in its newer Parquet reader only, which a session of
+        its own switches on. None for an empty table.
         """
         rows = self.table(table)
         if rows.isEmpty():
-            return 0
+            return None
         footers = self.spark.newSession()
         footers.conf.set("spark.sql.sources.useV1SourceList", "")
         footers.conf.set("spark.sql.parquet.aggregatePushdown", "true")
         stored = footers.read.schema(rows.schema).parquet(self.location_of(table))
-        return stored.agg(F.max(column)).first()[0]
+        return stored.agg(*aggregates).first()
+
+    def largest(self, table: str, column: str) -> int:
+        """The largest id in use, 0 in an empty table."""
+        found = self.from_footers(table, F.max(column))
+        return found[0] if found else 0
+
+    def null_count(self, table: str) -> int:
+        """Nulls over all columns of a table that must not be null."""
+        nullable = NULLABLE_TABLE_COLUMNS.get(table, [])
+        needed = [column for column in self.table(table).columns if column not in nullable]
+        found = self.from_footers(table, F.count("*"), *[F.count(column) for column in needed])
+        return found[0] * len(needed) - sum(found[1:]) if found else 0
 
     def query(self, text: str, **parameters) -> DataFrame:
         """Ad-hoc SQL over the tables by their plain names; values go in as ``:name``."""

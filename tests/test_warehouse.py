@@ -42,7 +42,7 @@ def counts(warehouse):
 
 
 def violations(warehouse):
-    lines = audit(warehouse.table).where("violations > 0").collect()
+    lines = audit(warehouse).where("violations > 0").collect()
     return {line["constraint"]: line["violations"] for line in lines}
 
 
@@ -307,7 +307,7 @@ def test_audit_counts_each_violation(spark, warehouse, curated):
         "fact_listings: not null": 1,
     }
     with pytest.raises(IntegrityError, match="unique: 1"):
-        require_sound(warehouse.table)
+        require_sound(warehouse)
 
 
 def test_a_fact_without_its_member_fails_the_write(spark, warehouse, curated):
