@@ -5,19 +5,24 @@ contract (record layout, table layout, report headings), so they are stated here
 """
 
 # ---- raw and curated records -------------------------------------------------------------
-RAW_SCHEMA = """
-    listing_id STRING, city STRING, district STRING,
-    price DOUBLE, price_per_m2 DOUBLE, area DOUBLE,
-    rooms INT, floor INT, building_year INT,
-    url STRING, date_scraped TIMESTAMP
-"""
-RAW_COLUMNS = [
-    "listing_id", "city", "district", "price", "price_per_m2", "area",
-    "rooms", "floor", "building_year", "url", "date_scraped",
-]
+RAW_TYPES = {
+    "listing_id": "STRING",
+    "city": "STRING",
+    "district": "STRING",
+    "price": "DOUBLE",
+    "price_per_m2": "DOUBLE",
+    "area": "DOUBLE",
+    "rooms": "INT",
+    "floor": "INT",
+    "building_year": "INT",
+    "url": "STRING",
+    "date_scraped": "TIMESTAMP",
+}
+CURATED_TYPES = {**RAW_TYPES, "area_bucket": "STRING"}
+RAW_COLUMNS = list(RAW_TYPES)
+RAW_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in RAW_TYPES.items())
 REQUIRED_COLUMNS = ["listing_id", "city", "district", "date_scraped"]
 MEASURE_COLUMNS = ["price", "price_per_m2", "area"]
-CURATED_COLUMNS = RAW_COLUMNS + ["area_bucket"]
 
 ID_SEPARATOR = "_"
 MACRO_SOURCE = "gus"

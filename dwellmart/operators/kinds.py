@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import CURATED_COLUMNS, MACRO_SOURCE
+from dwellmart.fixed_values import CURATED_TYPES, MACRO_SOURCE
 from dwellmart.functions.text import source_of
 
 KIND = "record_kind"
@@ -19,9 +19,14 @@ def kind_of(listing_id: str = "listing_id") -> Column:
 
 
 def with_kind(curated: DataFrame) -> DataFrame:
-    """The curated columns and the kind, derived where it is not stored."""
+    """The curated columns in their types, and the kind, derived where it is not stored.
+
+    The casts only act on zones written by other tools, which may hold times as text or whole
+    numbers as floating ones; otherwise the optimizer drops them.
+    """
+    columns = [F.col(name).cast(kind).alias(name) for name, kind in CURATED_TYPES.items()]
     kind = F.col(KIND) if KIND in curated.columns else kind_of()
-    return curated.select(*CURATED_COLUMNS, kind.alias(KIND))
+    return curated.select(*columns, kind.alias(KIND))
 
 
 def is_listing() -> Column:

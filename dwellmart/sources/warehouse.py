@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from dwellmart.fixed_values import NULLABLE_TABLE_COLUMNS, TABLES
 
 
+def _quoted(path: str) -> str:
+    escaped = path.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 class Warehouse:
     """Six tables in one database.
 
@@ -34,7 +39,8 @@ class Warehouse:
 
     def _create_database(self) -> None:
         self.spark.sql(
-            f"CREATE DATABASE IF NOT EXISTS `{self.database}` LOCATION '{self.root}/{self.database}'"
+            f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
+            f"LOCATION {_quoted(f'{self.root}/{self.database}')}"
         )
 
     def new_folder(self) -> str:
@@ -47,7 +53,7 @@ class Warehouse:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name_of(table)}")
             self.spark.sql(
                 f"CREATE TABLE {self.name_of(table)} ({columns}) "
-                f"USING parquet LOCATION '{folder}/{table}'"
+                f"USING parquet LOCATION {_quoted(f'{folder}/{table}')}"
             )
         self.version += 1
 
@@ -61,14 +67,14 @@ class Warehouse:
         """Take over the files of a staged star; its database goes, its files stay."""
         self._create_database()
         for table, columns in TABLES.items():
-            location = staged.location_of(table)
+            location = _quoted(staged.location_of(table))
             if self.spark.catalog.tableExists(self.name_of(table)):
-                self.spark.sql(f"ALTER TABLE {self.name_of(table)} SET LOCATION '{location}'")
+                self.spark.sql(f"ALTER TABLE {self.name_of(table)} SET LOCATION {location}")
                 self.spark.catalog.refreshTable(self.name_of(table))
             else:
                 self.spark.sql(
                     f"CREATE TABLE {self.name_of(table)} ({columns}) "
-                    f"USING parquet LOCATION '{location}'"
+                    f"USING parquet LOCATION {location}"
                 )
         staged.discard()
         self.version += 1

@@ -10,7 +10,7 @@ from dwellmart.operators.kinds import listings_of, macro_of
 from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate
 from dwellmart.sources.curated import read_curated, write_curated
-from dwellmart.sources.landing import land, load_landing
+from dwellmart.sources.landing import land, load_landing, preview
 
 FULL = (
     '{"listing_id": "olx_123456", "city": "Warsaw", "district": "Mokotow", "price": 850000.0, '
@@ -130,3 +130,23 @@ def test_curate_overwrites(spark, zone, tmp_path):
     counts = curate(spark, zone(FULL, FULL), curated)
     assert (counts.raw, counts.curated, counts.rejected) == (2, 1, 0)
     assert ids(read_curated(spark, curated)) == ["olx_123456"]
+
+
+def test_curated_zone_of_another_tool(spark, raw, macro_record, tmp_path):
+    """Times as text and whole numbers as floating ones are read in the declared types."""
+    curated = transform(raw({"rooms": None}, {"listing_id": "olx_2"}, macro_record()))
+    foreign = curated.withColumns({
+        "rooms": curated.rooms.cast("double"),
+        "building_year": curated.building_year.cast("double"),
+        "date_scraped": curated.date_scraped.cast("string"),
+    })
+    foreign.coalesce(1).write.parquet(str(tmp_path / "foreign"))
+    back = read_curated(spark, str(tmp_path / "foreign")).drop("record_kind")
+    assert back.dtypes == curated.dtypes
+    assert sorted(map(str, back.collect())) == sorted(map(str, curated.collect()))
+
+
+def test_preview_is_untruncated(raw, capsys):
+    preview(raw({"url": "https://example.com/" + "x" * 50}, {}, {}), count=1)
+    printed = capsys.readouterr().out
+    assert "x" * 50 in printed and "only showing top 1 row" in printed

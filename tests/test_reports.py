@@ -143,8 +143,12 @@ def test_remembered_results_follow_the_warehouse(reports, raw):
     first = market.remember("by_city")
     assert market.remember("by_city") is first and first.is_cached
     assert market.remember("by_city", city="Lodz") is not first
+    count = "SELECT count(*) AS n FROM fact_listings"
+    assert market.remember("query", text=count) is market.remember("query", text=count)
+    assert rows(market.remember("query", text=count)) == [(1,)]
     append(market.warehouse, transform(raw({"listing_id": "olx_new", "city": "gdynia"})))
     assert ("Gdynia", "10000.00") in rows(market.remember("by_city"))
+    assert rows(market.remember("query", text=count)) == [(2,)]
     assert not first.is_cached
 
 

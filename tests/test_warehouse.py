@@ -23,7 +23,7 @@ from dwellmart.sources.warehouse import Warehouse, append_jdbc
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    made = Warehouse(spark, f"star_{uuid.uuid4().hex}", str(tmp_path / "warehouse"))
+    made = Warehouse(spark, f"star_{uuid.uuid4().hex}", str(tmp_path / "owner's warehouse"))
     yield made
     made.discard()
 
@@ -239,6 +239,12 @@ def test_attach_reopens_a_stored_star(spark, warehouse, curated):
 # -- append -------------------------------------------------------------------------------------
 
 
+def test_curated_times_as_text_are_loaded(warehouse, curated):
+    rows = curated({"listing_id": "olx_1"})
+    refresh(warehouse, rows.withColumn("date_scraped", F.col("date_scraped").cast("string")))
+    assert ids(warehouse.table("fact_listings"), "date_id") == [20250601]
+
+
 def test_append_adds_only_what_is_new(warehouse, curated):
     refresh(warehouse, curated({"listing_id": "olx_1", "rooms": None}, curated.macro()))
     first = {table: warehouse.table(table).collect() for table in TABLES}
