@@ -20,7 +20,6 @@ def lookup(
     salt_by: str | None,
     null_safe: Sequence[str] = (),
     how: str = "left",
-    broadcast_members: int = BROADCAST_MEMBERS,
 ) -> DataFrame:
     """Join ``members`` to ``rows`` on ``keys``; in ``null_safe`` keys null matches null.
 
@@ -30,7 +29,7 @@ def lookup(
     depends on row content only; a task that runs twice sends the same rows to the same place.
     Rows that were reduced to one per key have no such member and give no ``salt_by``.
     """
-    small = members.limit(broadcast_members + 1).count() <= broadcast_members
+    small = members.count() <= BROADCAST_MEMBERS
     members = members.withColumnsRenamed({key: f"_m_{key}" for key in keys})
     if small:
         members = F.broadcast(members)

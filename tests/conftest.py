@@ -69,3 +69,11 @@ def plan_of(frame, mode="formatted"):
     with contextlib.redirect_stdout(io.StringIO()) as text:
         frame.explain(mode)
     return text.getvalue()
+
+
+@pytest.fixture(params=["broadcast", "shuffled"])
+def join_strategy(request, monkeypatch):
+    """Runs a test with broadcast lookups, and again as if every dimension were too large."""
+    if request.param == "shuffled":
+        monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
+    return request.param

@@ -152,12 +152,7 @@ def test_remembered_results_follow_the_warehouse(reports, raw):
     assert not first.is_cached
 
 
-@pytest.mark.parametrize("limit", [0, 200_000])
-def test_reports_do_not_depend_on_the_join_strategy(market, monkeypatch, limit):
-    from dwellmart.operators import lookup as module
-
-    defaults = (*module.lookup.__defaults__[:-1], limit)
-    monkeypatch.setattr(module.lookup, "__defaults__", defaults)
+def test_reports_do_not_depend_on_the_join_strategy(market, join_strategy):
     assert rows(market.by_city("Warsaw")) == [("Warsaw", "9.00")]
     assert len(rows(market.search(max_price=1000))) == 3
     assert len(rows(market.macro())) == 2

@@ -102,31 +102,50 @@ def test_numbering_is_dense_and_in_key_order(spark, partitions):
     assert keys == sorted(keys)
 
 
-@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_salted_lookup_equals_broadcast_lookup(spark, how):
-    rows = spark.range(900).select(
+@pytest.fixture
+def hot_rows(spark):
+    """900 rows, a third of them with one key and some without."""
+    key = F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 5 == 0, None)
+    return spark.range(900).select(
         "id",
-        F.when(F.col("id") % 3 == 0, 1).when(F.col("id") % 5 == 0, None).otherwise(F.col("id") % 11)
-        .cast("int").alias("a"),
+        key.otherwise(F.col("id") % 11).cast("int").alias("a"),
         F.concat(F.lit("x"), F.col("id") % 2).alias("b"),
     )
-    members = spark.sql("SELECT * FROM VALUES (1,'x0',10), (NULL,'x1',20), (4,'x0',30) AS m(a,b,key)")
-    found = [
-        sorted(map(str, lookup(rows, members, ["a", "b"], "id", ["a"], how, limit).collect()))
-        for limit in (100, 0)
-    ]
-    assert found[0] == found[1] and found[0]
-    shuffled = lookup(rows, members, ["a"], "id", how=how, broadcast_members=0)
-    assert "SortMergeJoin [a" in plan_of(shuffled, "simple")
-    per_key = rows.groupBy("a").count()
-    plain = [
-        sorted(map(str, lookup(per_key, members, ["a"], None, ["a"], how, limit).collect()))
-        for limit in (100, 0)
-    ]
-    assert plain[0] == plain[1]
 
 
-def test_property_members_match_null_to_null(warehouse, curated):
+@pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
+def test_lookup(spark, hot_rows, join_strategy, how):
+    members = spark.sql("SELECT * FROM VALUES (1,'x0',10), (NULL,'x1',20), (4,'x0',30) AS m(a,b,key)")
+    key_of = {(1, "x0"): 10, (None, "x1"): 20, (4, "x0"): 30}
+    expected = []
+    for row in hot_rows.collect():
+        key = key_of.get((row["a"], row["b"]))
+        if how == "left" or (how == "inner" and key):
+            expected.append((*row, key))
+        elif (how == "left_semi" and key) or (how == "left_anti" and not key):
+            expected.append(tuple(row))
+    found = lookup(hot_rows, members, ["a", "b"], "id", ["a"], how)
+    assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
+    used = "BroadcastHashJoin" if join_strategy == "broadcast" else "SortMergeJoin"
+    assert used in plan_of(found, "simple")
+
+
+def test_lookup_splits_a_hot_key(spark, hot_rows, monkeypatch):
+    monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
+    members = spark.sql("SELECT * FROM VALUES (1, 10), (4, 30) AS m(a, key)")
+    plan = plan_of(lookup(hot_rows, members, ["a"], "id"), "simple")
+    assert "SortMergeJoin [a" in plan and "_salt" in plan
+
+
+def test_lookup_of_reduced_rows(spark, hot_rows, join_strategy):
+    members = spark.sql("SELECT * FROM VALUES (1, 10), (NULL, 20) AS m(a, key)")
+    found = lookup(hot_rows.groupBy("a").count(), members, ["a"], None, ["a"], "inner")
+    ones = sum(1 for i in range(900) if i % 3 == 0 or (i % 5 and i % 11 == 1))
+    nulls = sum(1 for i in range(900) if i % 3 and i % 5 == 0)
+    assert sorted(columns_of(found, "key", "count")) == [(10, ones), (20, nulls)]
+
+
+def test_property_members_match_null_to_null(warehouse, curated, join_strategy):
     shapes = [(None, None), (2, None), (None, 1990), (2, 1990)]
     refresh(
         warehouse,
