@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -10,7 +9,7 @@ from pyspark.sql import functions as F
 
 from dwellmart.functions.dates import calendar_columns
 from dwellmart.functions.text import source_of
-from dwellmart.session import scratch_root
+from dwellmart.session import written
 
 
 def date_members(curated: DataFrame) -> DataFrame:
@@ -48,10 +47,8 @@ def number_members(
     recomputation would be free to cut elsewhere. The offsets table has one row per range, that
     is, at most one per shuffle partition.
     """
-    path = f"{scratch_root(members.sparkSession)}/members-{uuid.uuid4().hex}"
     ranged = members.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
-    ranged.write.parquet(path)
-    stored = members.sparkSession.read.schema(ranged.schema).parquet(path)
+    stored = written(ranged, "members")
     sizes = stored.groupBy("_range").agg(F.count("*").alias("_size"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(

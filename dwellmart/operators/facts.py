@@ -20,8 +20,8 @@ def _with_common_keys(rows: DataFrame, dimension: Dimension) -> DataFrame:
     rows = rows.withColumns(
         {"date_id": date_key("date_scraped"), "source_name": source_of("listing_id")}
     )
-    rows = lookup(rows, dimension("dim_location"), ["city", "district"], "listing_id")
-    return lookup(rows, dimension("dim_source"), ["source_name"], "listing_id")
+    rows = lookup(rows, dimension("dim_location"), ["city", "district"])
+    return lookup(rows, dimension("dim_source"), ["source_name"])
 
 
 def listing_facts(listings: DataFrame, dimension: Dimension) -> DataFrame:
@@ -30,7 +30,6 @@ def listing_facts(listings: DataFrame, dimension: Dimension) -> DataFrame:
         _with_common_keys(listings, dimension),
         dimension("dim_property"),
         ["rooms", "building_year", "area_bucket"],
-        "listing_id",
         null_safe=["rooms", "building_year"],
     )
     return keyed.select(

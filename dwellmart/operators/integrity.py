@@ -31,7 +31,7 @@ def orphans(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
     Facts are reduced to one row per key value before the join.
     """
     used = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    return lookup(used, members.select(key), [key], salt_by=None, how="left_anti")
+    return lookup(used, members.select(key), [key], how="left_anti", reduced=True)
 
 
 def audit(warehouse: Warehouse) -> DataFrame:

@@ -10,36 +10,61 @@ from pyspark.sql import functions as F
 # The widest member (two names of 100 characters) is below 1 kB, so a broadcast stays below
 # 200 MB whatever the facts weigh.
 BROADCAST_MEMBERS = 200_000
-SALTS = 32
+# Fewer than this many keys can each hold more than one part in this many of the rows, so the
+# table of such keys is within the same bound.
+HOT_KEYS = 200_000
 
 
 def lookup(
     rows: DataFrame,
     members: DataFrame,
     keys: Sequence[str],
-    salt_by: str | None,
     null_safe: Sequence[str] = (),
     how: str = "left",
+    reduced: bool = False,
 ) -> DataFrame:
-    """Join ``members`` to ``rows`` on ``keys``; in ``null_safe`` keys null matches null.
+    """Join ``members``, one row per key, to ``rows``; in ``null_safe`` keys null matches null.
 
     The members are counted first (a read of file footers for a stored table) and broadcast only
-    below the bound. Beyond it both sides are shuffled, with each key split over SALTS parts by a
-    hash of ``salt_by``, so a member that many rows point to is joined by many tasks. The salt
-    depends on row content only; a task that runs twice sends the same rows to the same place.
-    Rows that were reduced to one per key have no such member and give no ``salt_by``.
+    below the bound. Beyond it, rows whose key many others share still take a broadcast path, so
+    that no key becomes a large task, and the rest is shuffled. Rows that are ``reduced`` to one
+    per key have no such keys. ``how`` is left, inner, left_semi or left_anti.
     """
-    small = members.count() <= BROADCAST_MEMBERS
-    members = members.withColumnsRenamed({key: f"_m_{key}" for key in keys})
-    if small:
-        members = F.broadcast(members)
-    elif salt_by is not None:
-        salts = F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))
-        members = members.withColumn("_m__salt", F.explode(salts)).hint("merge")
-        rows = rows.withColumn("_salt", F.pmod(F.xxhash64(salt_by), F.lit(SALTS)))
-        keys = [*keys, "_salt"]
-    joined = rows.join(members, _matches(keys, null_safe), how)
-    return joined.drop("_salt", *[f"_m_{key}" for key in keys])
+    renamed = members.withColumnsRenamed({key: f"_m_{key}" for key in keys})
+    if members.count() <= BROADCAST_MEMBERS:
+        joined = rows.join(F.broadcast(renamed), _matches(keys, null_safe), how)
+    elif reduced:
+        joined = rows.join(renamed, _matches(keys, null_safe), how)
+    else:
+        joined = _split_by_share(rows, renamed, keys, null_safe, how)
+    return joined.drop(*[f"_m_{key}" for key in keys])
+
+
+def _split_by_share(
+    rows: DataFrame, members: DataFrame, keys: Sequence[str], null_safe: Sequence[str], how: str
+) -> DataFrame:
+    """Rows with a frequent key meet its member by broadcast, the others by a shuffle."""
+    share = F.col("count") > rows.count() / HOT_KEYS
+    frequent = rows.groupBy(*keys).count().where(share).select(*keys)
+    known = members.withColumn("_known", F.lit(True))
+    values = [column for column in known.columns if column not in {f"_m_{key}" for key in keys}]
+    hot_members = (
+        frequent.join(known, _matches(keys, null_safe), "left")
+        .select(*[F.col(key).alias(f"_m_{key}") for key in keys], *values)
+        .withColumn("_hot", F.lit(True))
+    )
+    # Null keys are routed like any other key; whether they match was decided above.
+    marked = rows.join(F.broadcast(hot_members), _matches(keys, keys), "left")
+
+    hot = marked.where("_hot")
+    if how in ("inner", "left_semi"):
+        hot = hot.where("_known")
+    elif how == "left_anti":
+        hot = hot.where("_known IS NULL")
+    cold = marked.where("_hot IS NULL").select(*rows.columns)
+    joined = cold.join(members, _matches(keys, null_safe), how)
+    output = [column for column in joined.columns if not column.startswith("_m_")]
+    return hot.select(*output).unionAll(joined.select(*output))
 
 
 def _matches(keys: Sequence[str], null_safe: Sequence[str]) -> Column:

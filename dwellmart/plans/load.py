@@ -21,6 +21,7 @@ from dwellmart.operators.integrity import require_sound, require_unique
 from dwellmart.operators.kinds import listings_of, macro_of, with_kind
 from dwellmart.operators.rules import enforce, keep_valid, rejects
 from dwellmart.plans.together import together
+from dwellmart.session import written
 from dwellmart.sources.landing import QUARANTINE, STRICT
 from dwellmart.sources.warehouse import Warehouse
 
@@ -100,15 +101,11 @@ def _load(
         steps.append(partial(refused.parquet, rejected))
     together(target.spark, *steps)
 
-    listings, records = listings_of(facts), macro_of(facts)
-    if not fresh:
-        listings = unseen(listings, target.table("fact_listings"), "listing_natural_key")
-        records = unseen(records, target.table("fact_macro_indicators"), "indicator_natural_key")
     together(
         target.spark,
-        partial(_add_facts, target, "fact_listings", listings, listing_facts,
+        partial(_add_facts, target, "fact_listings", listings_of(facts), listing_facts,
                 "listing_sk", ["location_id", "price"], fresh),
-        partial(_add_facts, target, "fact_macro_indicators", records, macro_facts,
+        partial(_add_facts, target, "fact_macro_indicators", macro_of(facts), macro_facts,
                 "macro_sk", ["date_id", "location_id"], fresh),
     )
 
@@ -134,7 +131,15 @@ def _add_facts(
     order: list[str],
     fresh: bool,
 ) -> None:
-    """Append facts, each file ordered so that its column statistics can rule out pages."""
-    last = 0 if fresh else target.largest(table, id_column)
+    """Append facts, each file ordered so that its column statistics can rule out pages.
+
+    What an append finds to be new is stored first, because the lookups may start from it more
+    than once and should not repeat the comparison with the stored facts.
+    """
+    last = 0
+    if not fresh:
+        last = target.largest(table, id_column)
+        natural_key = UNIQUE_KEYS[table][0]
+        rows = written(unseen(rows, target.table(table), natural_key), "unseen")
     ordered = facts_of(rows, target.table).sortWithinPartitions(*order)
     target.append(table, with_surrogate_key(ordered, id_column, last))

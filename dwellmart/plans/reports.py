@@ -97,7 +97,6 @@ class Reports:
             priced,
             rooms.select("property_id", "rooms", "building_year"),
             ["property_id"],
-            salt_by="listing_natural_key",
             how="inner",
         )
         order = [F.asc_nulls_last("price"), F.asc("listing_natural_key")]
@@ -121,8 +120,8 @@ class Reports:
         over several sort ranges.
         """
         facts = self.warehouse.table("fact_macro_indicators")
-        dated = self._join(facts, "dim_date", "date_id", ["year", "month"], "indicator_natural_key")
-        placed = self._join(dated, "dim_location", "location_id", ["city"], "indicator_natural_key")
+        dated = self._join(facts, "dim_date", "date_id", ["year", "month"])
+        placed = self._join(dated, "dim_location", "location_id", ["city"])
         return placed.orderBy(
             F.desc_nulls_first("year"), F.desc_nulls_first("month"), "indicator_natural_key"
         ).select(
@@ -175,13 +174,13 @@ class Reports:
         lowest = here.orderBy(F.asc("location_id")).limit(1).scalar()
         highest = here.orderBy(F.desc("location_id")).limit(1).scalar()
         near = facts.where((F.col("location_id") >= lowest) & (F.col("location_id") <= highest))
-        return lookup(near, here, ["location_id"], salt_by="listing_natural_key", how="left_semi")
+        return lookup(near, here, ["location_id"], how="left_semi")
 
     def _join(
-        self, rows: DataFrame, dimension: str, key: str, columns: list[str], salt_by: str | None
+        self, rows: DataFrame, dimension: str, key: str, columns: list[str], reduced: bool = False
     ) -> DataFrame:
         members = self.warehouse.table(dimension).select(key, *columns)
-        return lookup(rows, members, [key], salt_by=salt_by, how="inner")
+        return lookup(rows, members, [key], how="inner", reduced=reduced)
 
     def _mean_by(
         self,
@@ -194,7 +193,7 @@ class Reports:
         sums = self._listings(city).groupBy(key).agg(
             F.sum("price_per_m2").alias("_total"), F.count("price_per_m2").alias("_n")
         )
-        joined = self._join(sums, dimension, key, groups, salt_by=None)
+        joined = self._join(sums, dimension, key, groups, reduced=True)
         if members is not None:
             joined = joined.where(members)
         mean = mean_to_cents(F.sum("_total"), F.sum("_n"))

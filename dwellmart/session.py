@@ -5,8 +5,9 @@ from __future__ import annotations
 import functools
 import math
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 256 * 1024 * 1024
 MAX_SHUFFLE_PARTITIONS = 100_000
@@ -76,3 +77,11 @@ def scratch_root(spark: SparkSession) -> str:
     if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     return _local_scratch(context.applicationId)
+
+
+def written(frame: DataFrame, name: str) -> DataFrame:
+    """The frame, stored in the scratch folder and read back: its lineage ends there."""
+    spark = frame.sparkSession
+    path = f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

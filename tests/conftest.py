@@ -72,8 +72,14 @@ def plan_of(frame, mode="formatted"):
 
 
 @pytest.fixture(params=["broadcast", "shuffled"])
-def join_strategy(request, monkeypatch):
+def join_strategy(request, monkeypatch, spark):
     """Runs a test with broadcast lookups, and again as if every dimension were too large."""
-    if request.param == "shuffled":
-        monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
-    return request.param
+    if request.param == "broadcast":
+        yield request.param
+        return
+    monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
+    monkeypatch.setattr("dwellmart.operators.lookup.HOT_KEYS", 8)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

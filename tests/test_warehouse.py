@@ -113,10 +113,11 @@ def hot_rows(spark):
     )
 
 
+@pytest.mark.parametrize("null_safe", [[], ["a"]])
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi", "left_anti"])
-def test_lookup(spark, hot_rows, join_strategy, how):
+def test_lookup(spark, hot_rows, join_strategy, how, null_safe):
     members = spark.sql("SELECT * FROM VALUES (1,'x0',10), (NULL,'x1',20), (4,'x0',30) AS m(a,b,key)")
-    key_of = {(1, "x0"): 10, (None, "x1"): 20, (4, "x0"): 30}
+    key_of = {(1, "x0"): 10, (4, "x0"): 30} | ({(None, "x1"): 20} if null_safe else {})
     expected = []
     for row in hot_rows.collect():
         key = key_of.get((row["a"], row["b"]))
@@ -124,22 +125,24 @@ def test_lookup(spark, hot_rows, join_strategy, how):
             expected.append((*row, key))
         elif (how == "left_semi" and key) or (how == "left_anti" and not key):
             expected.append(tuple(row))
-    found = lookup(hot_rows, members, ["a", "b"], "id", ["a"], how)
+    found = lookup(hot_rows, members, ["a", "b"], null_safe, how)
     assert sorted(map(str, map(tuple, found.collect()))) == sorted(map(str, expected))
-    used = "BroadcastHashJoin" if join_strategy == "broadcast" else "SortMergeJoin"
-    assert used in plan_of(found, "simple")
+    assert ("SortMergeJoin" in plan_of(found, "simple")) == (join_strategy == "shuffled")
 
 
-def test_lookup_splits_a_hot_key(spark, hot_rows, monkeypatch):
+def test_frequent_keys_are_not_shuffled(spark, hot_rows, monkeypatch):
+    """With as many hot keys as there are keys, no row is left for the shuffled part."""
     monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
+    monkeypatch.setattr("dwellmart.operators.lookup.HOT_KEYS", 900)
     members = spark.sql("SELECT * FROM VALUES (1, 10), (4, 30) AS m(a, key)")
-    plan = plan_of(lookup(hot_rows, members, ["a"], "id"), "simple")
-    assert "SortMergeJoin [a" in plan and "_salt" in plan
+    found = lookup(hot_rows, members, ["a"])
+    assert found.count() == 900
+    assert "BroadcastHashJoin" in plan_of(found, "simple")
 
 
 def test_lookup_of_reduced_rows(spark, hot_rows, join_strategy):
     members = spark.sql("SELECT * FROM VALUES (1, 10), (NULL, 20) AS m(a, key)")
-    found = lookup(hot_rows.groupBy("a").count(), members, ["a"], None, ["a"], "inner")
+    found = lookup(hot_rows.groupBy("a").count(), members, ["a"], ["a"], "inner", reduced=True)
     ones = sum(1 for i in range(900) if i % 3 == 0 or (i % 5 and i % 11 == 1))
     nulls = sum(1 for i in range(900) if i % 3 and i % 5 == 0)
     assert sorted(columns_of(found, "key", "count")) == [(10, ones), (20, nulls)]
