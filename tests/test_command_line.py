@@ -1,5 +1,6 @@
 """The command line, from landed files to a printed report."""
 
+import os
 import uuid
 
 import pytest
@@ -42,22 +43,21 @@ def test_shuffles_grow_with_the_input():
     assert shuffle_partitions_for(10**15, 8) == 100_000
 
 
-def test_scratch_folder_is_the_configured_one(spark):
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    assert scratch_root(spark) == (configured or scratch_root(spark))
+def session_with(master, **settings):
+    class Session:
+        sparkContext = type("Context", (), {"master": master, "applicationId": "application_1"})
+        conf = type("Conf", (), {"get": staticmethod(lambda name, default: settings.get(name, default))})
 
+    return Session()
 
-def test_scratch_folder_is_never_local_on_a_cluster(monkeypatch):
-    class Context:
-        master, applicationId = "yarn", "application_1"
 
-    class Session:
-        sparkContext = Context()
+def test_scratch_folder_is_the_configured_one():
+    shared = {"spark.checkpoint.dir": "s3a://lake/scratch/"}
+    assert scratch_root(session_with("yarn", **shared)) == "s3a://lake/scratch"
+    assert scratch_root(session_with("local[2]", **shared)) == "s3a://lake/scratch"
 
-        class conf:
-            @staticmethod
-            def get(name, default):
-                return default
 
+def test_scratch_folder_is_never_local_on_a_cluster():
+    assert os.path.isdir(scratch_root(session_with("local[2]")))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch_root(Session())
+        scratch_root(session_with("yarn"))

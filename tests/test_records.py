@@ -236,7 +236,8 @@ def test_mean_of_nothing_is_null(spark):
 
 
 def test_display_texts(spark):
-    frame = spark.sql("SELECT 1234567.5D AS m, CAST(NULL AS DOUBLE) AS e, 1234L AS n, 2025 AS year, 3 AS month")
-    assert tuple(frame.select(priced_text("m"), priced_text("e"), count_text("n"), month_label()).first()) == (
-        "1,234,567.50 PLN", "N/A", "1,234", "2025-03",
+    frame = spark.sql(
+        "SELECT 1234567.5D AS m, CAST(NULL AS DOUBLE) AS e, 1234L AS n, 2025 AS year, 3 AS month"
     )
+    shown = frame.select(priced_text("m"), priced_text("e"), count_text("n"), month_label())
+    assert tuple(shown.first()) == ("1,234,567.50 PLN", "N/A", "1,234", "2025-03")

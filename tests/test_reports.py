@@ -77,6 +77,15 @@ def test_trend(market):
     assert rows(market.trend("Krakow")) == [(2025, 1, "January", "4.02", "2025-01")]
 
 
+def test_city_whose_ids_are_not_adjacent(reports, raw):
+    """Districts that arrive later get ids behind those of other cities."""
+    market = reports({"city": "gdynia", "price": 100.0}, {"city": "sopot", "price": 300.0})
+    later = raw({"listing_id": "olx_late", "city": "gdynia", "district": "port", "price": 500.0})
+    append(market.warehouse, transform(later))
+    assert rows(market.kpi("Gdynia")) == [(2, "6.00", "300.00")]
+    assert rows(market.kpi("Sopot")) == [(1, "6.00", "300.00")]
+
+
 def test_by_city(market):
     assert rows(market.by_city()) == [("Warsaw", "9.00"), ("Krakow", "4.02"), ("Lodz", "1.00")]
     assert rows(market.by_city("Krakow")) == [("Krakow", "4.02")]

@@ -353,7 +353,8 @@ def test_a_fact_without_its_member_fails_the_write(spark, warehouse, curated):
 def test_daily_run_full_and_incremental(spark, raw, macro_record, warehouse, tmp_path):
     folders = Folders(str(tmp_path / "landing"), str(tmp_path / "curated"),
                       rejected_facts=str(tmp_path / "rejected"))
-    feeds = {"olx": raw({"listing_id": "olx_1"}, {"listing_id": "olx_1"}, {"listing_id": "olx_2", "price": -1.0}),
+    negative = {"listing_id": "olx_2", "price": -1.0}
+    feeds = {"olx": raw({"listing_id": "olx_1"}, {"listing_id": "olx_1"}, negative),
              "gus": raw(macro_record())}
     counted = run_daily(spark, folders, warehouse, feeds, at=datetime(2026, 1, 1))
     assert (counted.raw, counted.curated, counted.rejected) == (4, 2, 0)
