@@ -36,6 +36,19 @@ from dwellmart.sources.landing import load_landing
 from dwellmart.sources.table_feed import feeds, raw_listings
 from dwellmart.sources.warehouse import Warehouse
 
+try:  # the training-data operators and the pipeline over them may be left out of an installation
+    import corpus_pipeline
+    from dwellmart.llm.queries import QUERIES as LLM_QUERIES
+    from dwellmart.llm.sql import ORACLE_SQL as LLM_SQL
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "dwellmart.llm"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL is not None:
+        LLM_SQL = {**LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 Query = Callable[[SparkSession, str], DataFrame]
 CITY = "Asia"
 DIMENSION_IDS = {
@@ -248,8 +261,8 @@ def queries() -> dict[str, Query]:
     def presented(query: Query) -> Query:
         return lambda spark, tables: plain(query(spark, tables))
 
-    return {name: presented(query) for name, query in _QUERIES.items()}
+    return {name: presented(query) for name, query in _QUERIES.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle_queries.statements(CITY)
+    return oracle_queries.statements(CITY) | LLM_SQL
