@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.llm import contamination, repeats, shards
+from dwellmart.llm import contamination, ngram_join, repeats, shards
 from dwellmart.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,10 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return ship(spark).read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.groups(read(spark, folder, "documents"), size=4, num=85, den=100)
+
+
 def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign(read(spark, folder, "documents"), shards=16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -44,6 +48,7 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_shards": op3_shards,
     "op6_contamination": op6_contamination,
     "op9_repeats": op9_repeats,
