@@ -11,7 +11,7 @@ STAGES = [
     ("quality classifier", stages.quality),
     ("n-gram Jaccard join", stages.near_duplicates),
     ("benchmark decontamination", stages.decontamination),
-    ("mixing sources to target weights", stages.mixing),
+    ("mixing sources to target weights", stages.mixing_stage),
     ("sharding", stages.sharding),
 ]
 

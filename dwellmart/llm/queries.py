@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.llm import contamination, ngram_join, repeats, shards
+from dwellmart.llm import contamination, mixing, ngram_join, quality, repeats, shards
 from dwellmart.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
     return ngram_join.groups(read(spark, folder, "documents"), size=4, num=85, den=100)
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.quality_scores(read(spark, folder, "documents"), read(spark, folder, "labels"), least=0.3)
+
+
 def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     return shards.assign(read(spark, folder, "documents"), shards=16).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -47,9 +51,17 @@ def op9_repeats(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    mixed = mixing.mix(read(spark, folder, "documents"), read(spark, folder, "labels"))
+    parts = [F.col("mix_domains")[i].alias(f"p_{domain}") for i, domain in enumerate(mixing.DOMAINS)]
+    return mixed.select("doc_id", "source", F.col("mix_tokens").alias("n_words"), *parts, F.col("mix_rate").alias("rate"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_quality": op2_quality,
     "op3_shards": op3_shards,
     "op6_contamination": op6_contamination,
     "op9_repeats": op9_repeats,
+    "op10_mixing": op10_mixing,
 }

@@ -136,6 +136,20 @@ def tokenise(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray, lowe
     return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
 
 
+def tokenise_runs(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Lower-cased runs of letters and digits, and runs of other visible ASCII, as words."""
+    data = LOWER[data]
+    kind = np.where(SPACE[data], 0, np.where(NOT_ALNUM[data], 1, 2)).astype(np.int8)
+    before, after = np.zeros(len(data), np.int8), np.zeros(len(data), np.int8)
+    if len(data):
+        before[1:], after[:-1] = kind[:-1], kind[1:]
+        before[offsets[:-1][offsets[:-1] < len(data)]] = 0
+        after[offsets[1:][offsets[1:] > 0] - 1] = 0
+    starts = np.flatnonzero((kind > 0) & (kind != before))
+    ends = np.flatnonzero((kind > 0) & (kind != after)) + 1
+    return Words(data, offsets, starts, ends, np.searchsorted(starts, offsets))
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts, and where each begins."""
     texts = pc.fill_null(texts, "")
