@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 
 from dwellmart.llm.text import BASE, SECOND_BASE, mixed, sliced, tokenise_runs
 
-CELLS, SAMPLE, PASSES = 1 << 20, 20_000, 3
+CELLS, SAMPLE, PASSES = 1 << 18, 20_000, 3
 ALPHA, BETA, L1, L2 = 5.0, 1.0, 1e-3, 1e-3
 _SAME = np.uint64(0x1D8E4E27C47D124F)
 
@@ -81,7 +81,7 @@ class Leader:
 @dataclass
 class Model:
     names: list[str]
-    weights: np.ndarray  # one row per label
+    weights: np.ndarray  # float32, one row per label
 
     def scores(self, owner, cell, value, texts: int) -> np.ndarray:
         """Probability of each label for each text."""
@@ -145,7 +145,7 @@ def train(
     learned = prepared.repartition(1).sortWithinPartitions("place", "tie").mapInArrow(
         follow, "label INT, cell BIGINT, weight DOUBLE"
     )
-    weights = np.zeros((len(names), cells))
+    weights = np.zeros((len(names), cells), np.float32)
     found = learned.toPandas()  # at most `cells` weights for each label
     weights[found["label"], found["cell"]] = found["weight"]
     return Model(names, weights)
