@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.llm import contamination, mixing, ngram_join, quality, repeats, shards
+from dwellmart.llm import contamination, licences, line_rules, mixing, ngram_join, pages, pii, quality, repeats, shards
 from dwellmart.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,51 @@ def op3_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_pii(spark: SparkSession, folder: str) -> DataFrame:
+    found = pii.spans(read(spark, folder, "documents"))
+
+    def told(spans: str):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind: str):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [number(kind) for kind in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(told("base").cast("binary"), 256).alias("base_sha256"), told("spans").alias("spans")
+    )
+
+
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    found = licences.scan(read(spark, folder, "documents"))
+    places, matches = (F.coalesce(c, F.array()) for c in ("places", "matches"))
+    at, base = F.transform("places", lambda p: p["word"]), F.transform(places, lambda p: p["label"])
+    every = F.array_union(base, F.transform(matches, lambda m: m["label"]))
+    best = F.array_max(F.transform("matches", lambda m: m["containment"]))
+    return found.select(
+        "doc_id",
+        F.col("n_words").cast("long").alias("n_words"),
+        F.size(places).cast("long").alias("n_base"),
+        F.array_min(at).cast("long").alias("first_word"),
+        F.array_max(at).cast("long").alias("last_word"),
+        F.array_join(F.array_sort(F.array_distinct(base)), ",").alias("base_labels"),
+        F.array_join(F.array_sort(every), ",").alias("labels"),
+        F.when(F.size(places) > 0, 1.0).otherwise(F.coalesce(best, F.lit(0.0))).alias("score"),
+    )
+
+
+def op7_pages(spark: SparkSession, folder: str) -> DataFrame:
+    found = pages.extract(read(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_blocks")
+
+
+def op8_line_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return line_rules.cleaned(read(spark, folder, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "words_left", F.size("removed").cast("long").alias("n_removed_lines"),
+    )
+
+
 def op6_contamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination.contamination(read(spark, folder, "documents"), read(spark, folder, "benchmark"))
     return found.select(
@@ -61,6 +106,10 @@ QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
     "op3_shards": op3_shards,
+    "op4_pii": op4_pii,
+    "op5_licences": op5_licences,
+    "op7_pages": op7_pages,
+    "op8_line_rules": op8_line_rules,
     "op6_contamination": op6_contamination,
     "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
