@@ -172,29 +172,33 @@ class Model:
     """Log potentials of symbols and of parent-child states, from counts."""
 
     def __init__(self, counts: dict[tuple[str, int, int], float]):
-        """counts: ("symbol name", state, 0) and ("", parent's state, child's state)."""
+        """counts: (symbol, state, 0) and ("|element" or "|text" for the child, its parent's state, its state)."""
         shown: dict[str, list[float]] = {}
-        together = [[SMOOTHING, SMOOTHING], [SMOOTHING, SMOOTHING]]
+        together = {name: [[SMOOTHING, SMOOTHING], [SMOOTHING, SMOOTHING]] for name in ("|element", "|text")}
         for (name, a, b), n in counts.items():
-            if name:
-                shown.setdefault(name, [SMOOTHING, SMOOTHING])[a] += n
+            if name in together:
+                together[name][a][b] += n
             else:
-                together[a][b] += n
+                shown.setdefault(name, [SMOOTHING, SMOOTHING])[a] += n
         for name in {*KINDS, *BOILERPLATE_TAGS}:
             shown.setdefault(name, [SMOOTHING, SMOOTHING])[0] += PRIOR
         for name in CONTENT_TAGS:
             shown.setdefault(name, [SMOOTHING, SMOOTHING])[1] += PRIOR
         totals = [sum(x[s] for x in shown.values()) for s in (0, 1)]
         self.symbol = {k: tuple(math.log(v[s] / totals[s]) for s in (0, 1)) for k, v in shown.items()}
-        self.edge = [[math.log(x / sum(row)) for x in row] for row in together]
+        self.edge = {
+            name: [math.log(x / sum(row)) for row in table for x in row] for name, table in together.items()
+        }
 
     def content(self, page: Page) -> list[float]:
         """Marginal probability of content for every node: upward, then downward messages."""
-        n, parents, (e00, e01), (e10, e11) = len(page.symbols), page.parents, *self.edge
+        n, parents = len(page.symbols), page.parents
+        edges = [self.edge["|text" if t is not None else "|element"] for t in page.texts]
         own = [list(self.symbol.get(s, (0.0, 0.0))) for s in page.symbols]
         own[0] = [0.0, -50.0]
         up = [(0.0, 0.0)] * n
         for i in range(n - 1, 0, -1):
+            e00, e01, e10, e11 = edges[i]
             x0, x1 = own[i]  # with the messages of all children
             up[i] = (_sum(e00 + x0, e01 + x1), _sum(e10 + x0, e11 + x1))
             parent = own[parents[i]]
@@ -202,6 +206,7 @@ class Model:
             parent[1] += up[i][1]
         result = [0.0] * n
         for i in range(1, n):
+            e00, e01, e10, e11 = edges[i]
             p0, p1 = own[parents[i]]  # its own belief by now
             p0, p1 = p0 - up[i][0], p1 - up[i][1]
             top = max(p0, p1)
@@ -227,7 +232,8 @@ def train(pages: DataFrame) -> Model:
                 page = Page(source.as_py() or "")
                 states = page.labels()
                 for i in range(1, len(page.symbols) if states else 0):
-                    for key in ((page.symbols[i], states[i], 0), ("", states[page.parents[i]], states[i])):
+                    child = "|text" if page.texts[i] is not None else "|element"
+                    for key in ((page.symbols[i], states[i], 0), (child, states[page.parents[i]], states[i])):
                         counts[key] = counts.get(key, 0) + 1
         if counts:
             name, a, b = zip(*counts, strict=True)
