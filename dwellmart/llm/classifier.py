@@ -133,21 +133,18 @@ def train(
             for cell, value, truth in rows:
                 leader.learn(cell, value.astype(np.float64), truth)
         for number, weights in enumerate(leader.weights()):
-            at = np.flatnonzero(weights)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([number] * len(at), pa.int32()), pa.array(at), pa.array(weights[at])],
-                ["label", "cell", "weight"],
-            )
+            packed = pa.array([weights.astype(np.float32).tobytes()], pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), packed], ["label", "weights"])
 
     prepared = rows.mapInArrow(
         prepare, "truth ARRAY<DOUBLE>, place BIGINT, tie INT, cell ARRAY<INT>, value ARRAY<FLOAT>"
     )
     learned = prepared.repartition(1).sortWithinPartitions("place", "tie").mapInArrow(
-        follow, "label INT, cell BIGINT, weight DOUBLE"
+        follow, "label INT, weights BINARY"
     )
     weights = np.zeros((len(names), cells), np.float32)
-    found = learned.toPandas()  # at most `cells` weights for each label
-    weights[found["label"], found["cell"]] = found["weight"]
+    for row in learned.toLocalIterator():
+        weights[row.label] = np.frombuffer(bytes(row.weights), np.float32)
     return Model(names, weights)
 
 

@@ -31,7 +31,7 @@ from dwellmart.session import written
 
 DOMAINS = ["good", "poor", "toxic"]
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
-STEPS, TOLERANCE = 60, 1e-3
+STEPS, TOLERANCE = 25, 2e-3
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
