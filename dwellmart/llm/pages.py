@@ -9,7 +9,7 @@ Training counts, over all pages that mark their main region (article, main, or t
 a symbol stands for content, and how a child's state goes with its parent's. Spark sums the counts;
 the symbols are few (tags and fixed kinds, others share one). Names of fixed kinds and boilerplate
 tags also get a few prior counts, so kinds that no labelled page shows are not unknown, and keep
-fixed least odds, while the odds of a text's length are bounded: structure decides before length.
+fixed least odds, while the odds of other tags and of a text's length are bounded: structure decides.
 
 Nulls and ties: null or empty html, or a page without content, gives the empty text. Unclosed and
 stray tags are closed or ignored as browsers do roughly. Repeated rows have equal results. Nothing
@@ -46,7 +46,7 @@ KINDS = {
     "comments": {"comment", "comments", "reply", "replies", "disqus", "respond"},
 }
 PRIOR, SMOOTHING, LEAST = 20.0, 0.5, 0.5
-NAMED_ODDS, TEXT_ODDS, TURN = 8.0, 1.5, 0.02  # least odds of a named kind, most of a text, least chance of a turn
+NAMED_ODDS, TEXT_ODDS, TAG_ODDS, TURN = 50.0, 0.75, 1.0, 0.02  # log odds: least of a named kind, most of a text and of a tag; least chance of a turn
 _KNOWN = INLINE | VOID | BOILERPLATE_TAGS | CONTENT_TAGS | set(CLOSES) | {
     "html", "body", "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "blockquote", "pre",
     "figure", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "address", "details", "summary", "caption", "center",
@@ -191,8 +191,9 @@ class Model:
         for name, (no, yes) in self.symbol.items():
             if name in KINDS or name in BOILERPLATE_TAGS:
                 self.symbol[name] = (no, min(yes, no - NAMED_ODDS))
-            elif name.startswith("text-"):
-                self.symbol[name] = (0.0, max(-TEXT_ODDS, min(TEXT_ODDS, yes - no)))
+            elif name not in CONTENT_TAGS:
+                most = TEXT_ODDS if name.startswith("text-") else TAG_ODDS
+                self.symbol[name] = (0.0, max(-most, min(most, yes - no)))
         chance = {name: [x / sum(row) for row in table for x in row] for name, table in together.items()}
         chance["|element"] = [min(max(x, TURN), 1 - TURN) for x in chance["|element"]]
         self.edge = {name: [math.log(x) for x in table] for name, table in chance.items()}
