@@ -191,7 +191,9 @@ class Model:
         for name, (no, yes) in self.symbol.items():
             if name in KINDS or name in BOILERPLATE_TAGS:
                 self.symbol[name] = (no, min(yes, no - NAMED_ODDS))
-            elif name not in CONTENT_TAGS:
+            elif name in CONTENT_TAGS:
+                self.symbol[name] = (min(no, yes - NAMED_ODDS), yes)
+            else:
                 most = TEXT_ODDS if name.startswith("text-") else TAG_ODDS
                 self.symbol[name] = (0.0, max(-most, min(most, yes - no)))
         chance = {name: [x / sum(row) for row in table for x in row] for name, table in together.items()}
