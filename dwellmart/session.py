@@ -6,11 +6,11 @@ import functools
 import math
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import DataFrame, SparkSession
 
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_SHUFFLE_PARTITIONS = 100_000
 
 # Settings a running session accepts. UTC keeps date keys independent of where the driver runs;
 # the skew setting lets a key that holds a large share of the rows be split at run time; the two
@@ -27,10 +27,18 @@ RUNTIME_SETTINGS = {
 }
 
 
-def shuffle_partitions_for(input_bytes: int, cores: int) -> int:
-    """Reduce tasks that keep a shuffle partition near PARTITION_BYTES, and every core busy."""
+def shuffle_partitions_for(input_bytes: int, cores: int, most: int | None = None) -> int:
+    """Reduce tasks that keep a shuffle partition near PARTITION_BYTES, and every core busy.
+
+    A cluster that can't schedule that many tasks may set ``most``; partitions then grow beyond
+    PARTITION_BYTES, which is warned of.
+    """
     wanted = math.ceil(input_bytes / PARTITION_BYTES)
-    return max(cores, min(wanted, MAX_SHUFFLE_PARTITIONS))
+    if most is not None and wanted > most:
+        size = input_bytes // most // 2**20
+        warnings.warn(f"{most} shuffle partitions instead of {wanted}: about {size} MB each", stacklevel=2)
+        wanted = most
+    return max(cores, wanted)
 
 
 def build_session(app: str, master: str | None = None, input_bytes: int = 0, **settings: str):
