@@ -40,7 +40,9 @@ def test_jobs_in_order(spark, raw, macro_record, tmp_path, capsys):
 def test_shuffles_grow_with_the_input():
     assert shuffle_partitions_for(0, 8) == 8
     assert shuffle_partitions_for(100 * 1024**3, 8) == 400
-    assert shuffle_partitions_for(10**15, 8) == 100_000
+    assert shuffle_partitions_for(100 * 10**12, 8) == 372_530
+    with pytest.warns(UserWarning, match="100000 shuffle partitions"):
+        assert shuffle_partitions_for(10**15, 8, most=100_000) == 100_000
 
 
 def session_with(master, **settings):
