@@ -9,6 +9,8 @@ from __future__ import annotations
 import argparse
 import logging
 
+from pyspark.sql import DataFrame
+
 from dwellmart.fixed_values import SEARCH_LIMIT, SEARCH_MAX_PRICE, SEARCH_MIN_PRICE, SEARCH_MIN_ROOMS
 from dwellmart.plans.curate import curate
 from dwellmart.plans.load import append, refresh
@@ -56,14 +58,28 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--max-price", type=int, default=SEARCH_MAX_PRICE)
     job.add_argument("--min-rooms", type=int, default=SEARCH_MIN_ROOMS)
     job.add_argument("--limit", type=int, default=SEARCH_LIMIT)
-    job.add_argument("--rows", type=int, default=100, help="rows to print")
+    job.add_argument("--rows", type=int, help="rows to print; all by default")
+    job.add_argument("--output", help="folder to write the whole result to instead, as Parquet")
 
     job = jobs.add_parser("query", parents=[tables], help="print the result of a SQL text")
     job.add_argument("text")
-    job.add_argument("--rows", type=int, default=100, help="rows to print")
+    job.add_argument("--rows", type=int, default=100, help="rows to print; more are mentioned")
+    job.add_argument("--output", help="folder to write the whole result to instead, as Parquet")
     return parser
 
 
+def tell(result: DataFrame, rows: int | None, output: str | None) -> None:
+    """Write the result to a folder, or print it, saying so if rows are left out."""
+    if output:
+        result.write.parquet(output)
+        return
+    found = result.count()
+    shown = found if rows is None else min(rows, found)
+    result.show(shown, truncate=False)
+    if shown < found:
+        print(f"{shown} of {found} rows; --output stores all of them")
+
+
 def report_of(reports: Reports, chosen: argparse.Namespace):
     if chosen.name == "macro":
         return reports.macro()
@@ -91,12 +107,13 @@ def main(given: list[str] | None = None) -> None:
         warehouse.bootstrap()
     elif chosen.job == "load":
         load = append if chosen.append else refresh
-        load(warehouse, read_curated(spark, chosen.curated), chosen.mode, chosen.rejected)
+        counts = load(warehouse, read_curated(spark, chosen.curated), chosen.mode, chosen.rejected)
+        logging.getLogger(__name__).info("%s", counts)
         print(warehouse.location_of("fact_listings").rsplit("/", 1)[0])
     elif chosen.job == "report":
-        report_of(Reports(warehouse), chosen).show(chosen.rows, truncate=False)
+        tell(report_of(Reports(warehouse), chosen), chosen.rows, chosen.output)
     else:
-        warehouse.query(chosen.text).show(chosen.rows, truncate=False)
+        tell(warehouse.query(chosen.text), chosen.rows, chosen.output)
 
 
 if __name__ == "__main__":

@@ -13,7 +13,7 @@ from dwellmart.fixed_values import RAW_COLUMNS
 from dwellmart.operators.contract import record_rules
 from dwellmart.operators.normalize import transform
 from dwellmart.operators.rules import enforce, keep_valid, rejects
-from dwellmart.sources.curated import write_curated
+from dwellmart.sources.curated import read_curated, write_curated
 from dwellmart.sources.landing import QUARANTINE, STRICT, load_landing
 
 log = logging.getLogger(__name__)
@@ -59,6 +59,6 @@ def curate(
     if rejected is not None:
         rejects(raw, record_rules(raw)).write.mode("overwrite").parquet(rejected)
         refused = spark.read.parquet(rejected).count()
-    counts = CurateCounts(seen.get["rows"], spark.read.parquet(curated).count(), refused)
+    counts = CurateCounts(seen.get["rows"], read_curated(spark, curated).count(), refused)
     log.info("curated %s of %s records, %s rejected", counts.curated, counts.raw, counts.rejected)
     return counts

@@ -40,6 +40,8 @@ def run_daily(
     sound, so there is no moment with empty tables. An incremental run curates only the drops it
     landed itself and adds what is new to the star; it takes a curated folder of its own.
     """
+    if incremental:
+        warehouse.prepare()
     stamped = at or datetime.now(timezone.utc)
     drops: list[str] = []
 

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 from dwellmart.fixed_values import UNIQUE_KEYS
 from dwellmart.operators import dimensions as dims
@@ -25,6 +27,17 @@ from dwellmart.session import written
 from dwellmart.sources.landing import QUARANTINE, STRICT
 from dwellmart.sources.warehouse import Warehouse
 
+
+@dataclass(frozen=True)
+class LoadCounts:
+    """Rows of the star and of the folder of rejects after a load, read back from what was written."""
+
+    listings: int
+    macro: int
+    rejected: int
+    rejected_folder: str
+
+
 def refresh(
     warehouse: Warehouse,
     curated: DataFrame,
@@ -32,9 +45,13 @@ def refresh(
     rejected: str | None = None,
     known_unique: bool = False,
     verify: bool = False,
-) -> None:
+) -> LoadCounts:
     """Rebuild the star from the whole curated zone and publish it if every constraint holds.
 
+    In quarantine mode, rows that cannot become facts are stored with their reasons, in ``rejected``
+    or else beside the tables of the new star, once the facts are written and before they are
+    published.
+
     Required values and foreign keys are enforced while the facts are written, so they cost no
     pass of their own. That a listing_id occurs once needs a shuffle of all ids; a caller who has
     just removed duplicates says so with ``known_unique``. ``verify`` checks what was written once
@@ -44,13 +61,14 @@ def refresh(
         require_unique(curated, ["listing_id"])
     staged = warehouse.stage()
     try:
-        _load(staged, curated, mode, rejected, fresh=True)
+        counts = _load(staged, curated, mode, rejected, fresh=True)
         if verify:
             require_sound(staged)
     except Exception:
         staged.discard()
         raise
     warehouse.publish(staged)
+    return counts
 
 
 def append(
@@ -59,15 +77,16 @@ def append(
     mode: str = QUARANTINE,
     rejected: str | None = None,
     known_unique: bool = False,
-) -> None:
-    """Add what is not stored yet: new members first, then new facts.
+) -> LoadCounts:
+    """Add what is not stored yet: new members first, then new facts, then new rejects.
 
-    A stored listing keeps its row. Running the same batch again adds nothing, so a run that was
+    Tables that are absent are created. A stored listing keeps its row. Running the same batch again adds nothing, so a run that was
     cut off between two tables is completed by repeating it.
     """
     if not known_unique:
         require_unique(curated, ["listing_id"])
-    _load(warehouse, curated, mode, rejected, fresh=False)
+    warehouse.prepare()
+    return _load(warehouse, curated, mode, rejected, fresh=False)
 
 
 def fact_rejects(curated: DataFrame) -> DataFrame:
@@ -77,7 +96,7 @@ def fact_rejects(curated: DataFrame) -> DataFrame:
 
 def _load(
     target: Warehouse, curated: DataFrame, mode: str, rejected: str | None, fresh: bool
-) -> None:
+) -> LoadCounts:
     if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown mode {mode!r}")
     curated = with_kind(curated)
@@ -96,9 +115,6 @@ def _load(
         partial(_add_members, target, table, found, id_column, fresh)
         for table, (id_column, found) in members_of.items()
     ]
-    if rejected is not None:
-        refused = fact_rejects(curated).write.mode("overwrite" if fresh else "append")
-        steps.append(partial(refused.parquet, rejected))
     together(target.spark, *steps)
 
     together(
@@ -108,6 +124,32 @@ def _load(
         partial(_add_facts, target, "fact_macro_indicators", macro_of(facts), macro_facts,
                 "macro_sk", ["date_id", "location_id"], fresh),
     )
+    folder = rejected or target.rejects_folder()
+    if mode == QUARANTINE:
+        _store_rejects(fact_rejects(curated), folder, fresh)
+    listings, macro = (target.table(t).count() for t in ("fact_listings", "fact_macro_indicators"))
+    stored = _stored(target.spark, folder)
+    return LoadCounts(listings, macro, 0 if stored is None else stored.count(), folder)
+
+
+def _stored(spark: SparkSession, folder: str) -> DataFrame | None:
+    """Rejects of earlier loads, None where there are none."""
+    try:
+        return spark.read.parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _store_rejects(refused: DataFrame, folder: str, fresh: bool) -> None:
+    """Write the rejects; an append leaves out those stored with the same id, date and reasons."""
+    earlier = None if fresh else _stored(refused.sparkSession, folder)
+    if earlier is not None:
+        keys = ["listing_id", "date_scraped", "reasons"]
+        same = [refused[key].eqNullSafe(earlier[key]) for key in keys]
+        refused = refused.join(earlier.select(keys), same, "left_anti")
+    refused.write.mode("overwrite" if fresh else "append").parquet(folder)
 
 
 def _add_members(

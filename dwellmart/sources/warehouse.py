@@ -37,6 +37,16 @@ class Warehouse:
         """Create the database if absent; drop all tables; create them empty."""
         self.attach(self.new_folder())
 
+    def prepare(self) -> None:
+        """Create the database and the tables that are absent, leaving all others as they are."""
+        self._create_database()
+        folder = self.new_folder()
+        for table, columns in TABLES.items():
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {self.name_of(table)} ({columns}) "
+                f"USING parquet LOCATION {_quoted(f'{folder}/{table}')}"
+            )
+
     def _create_database(self) -> None:
         self.spark.sql(
             f"CREATE DATABASE IF NOT EXISTS `{self.database}` "
@@ -87,6 +97,10 @@ class Warehouse:
         described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name_of(table)}")
         return described.where(F.col("col_name") == "Location").first()["data_type"]
 
+    def rejects_folder(self) -> str:
+        """Where a load puts the rows it sets aside unless told otherwise: beside the listing facts."""
+        return self.location_of("fact_listings").rsplit("/", 1)[0] + "/rejected"
+
     # -- reading and writing -----------------------------------------------------------------
 
     def table(self, table: str) -> DataFrame:

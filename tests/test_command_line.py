@@ -31,6 +31,11 @@ def test_jobs_in_order(spark, raw, macro_record, tmp_path, capsys):
     main(["report", "macro", *tables])
     assert "average_price_per_m2" in capsys.readouterr().out
 
+    main(["query", "SELECT * FROM fact_listings", "--rows", "1", *tables])
+    assert "1 of 2 rows" in capsys.readouterr().out
+    main(["query", "SELECT * FROM fact_listings", "--rows", "1", "--output", str(tmp_path / "out"), *tables])
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 2
+
     Warehouse(spark, database, str(tmp_path / "warehouse")).discard()
     main(["query", "SELECT count(*) AS n FROM fact_listings", "--star", folder, *tables])
     assert "|2  |" in capsys.readouterr().out

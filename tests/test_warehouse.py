@@ -221,6 +221,18 @@ def test_rejects_are_kept_with_their_reasons(spark, warehouse, curated, tmp_path
     ]
 
 
+def test_rejects_are_kept_without_being_asked_for(spark, warehouse, curated):
+    rows = curated(
+        {"listing_id": "olx_1"}, {"listing_id": "olx_2", "price": None}, curated.macro(),
+        curated.macro(listing_id="gus_9", price_per_m2=None),
+    )
+    told = refresh(warehouse, rows)
+    assert (told.listings, told.macro, told.rejected) == (1, 1, 2)
+    assert ids(spark.read.parquet(told.rejected_folder), "listing_id") == ["gus_9", "olx_2"]
+    assert told.rejected_folder == warehouse.rejects_folder()
+    assert append(warehouse, rows) == append(warehouse, rows) == told
+
+
 def test_strict_load_publishes_nothing_on_a_bad_row(warehouse, curated):
     refresh(warehouse, curated({"listing_id": "olx_1"}))
     bad = curated({"listing_id": "olx_2"}, {"listing_id": "olx_3", "price": None})
@@ -370,6 +382,27 @@ def test_daily_run_full_and_incremental(spark, raw, macro_record, warehouse, tmp
     assert everything.count() == 6
 
 
+def test_first_incremental_run_creates_the_tables(raw, macro_record, warehouse, tmp_path):
+    folders = Folders(str(tmp_path / "landing"), str(tmp_path / "curated"))
+    feeds = {"olx": raw({"listing_id": "olx_1"})}
+    run_daily(spark=warehouse.spark, folders=folders, warehouse=warehouse, feeds=feeds, incremental=True)
+    assert counts(warehouse)["fact_listings"] == 1 and counts(warehouse)["fact_macro_indicators"] == 0
+    folders = Folders(folders.landing, str(tmp_path / "second"))
+    run_daily(warehouse.spark, folders, warehouse, {"gus": raw(macro_record())}, incremental=True)
+    assert counts(warehouse)["fact_listings"] == counts(warehouse)["fact_macro_indicators"] == 1
+
+
+@pytest.mark.parametrize("records", [[], [{"price": -1.0}]])
+def test_a_day_without_usable_records(raw, warehouse, tmp_path, records):
+    folders = Folders(str(tmp_path / "landing"), str(tmp_path / "curated"))
+    feed = raw({}).limit(0) if not records else raw(*records)
+    for incremental in (True, False):
+        told = run_daily(warehouse.spark, folders, warehouse, {"olx": feed}, incremental=incremental,
+                         at=datetime(2026, 1, 1 + incremental))
+        assert told.curated == 0
+        assert set(counts(warehouse).values()) == {0}
+
+
 def test_curate_frame_does_not_depend_on_partitioning(raw, macro_record):
     records = [{"listing_id": f"olx_{i % 7}", "price": float(i + 1)} for i in range(50)]
     frame = raw(*records, macro_record())
