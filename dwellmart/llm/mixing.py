@@ -3,12 +3,15 @@
 Domains are soft: a classifier learned from the table of labels gives each document a probability
 for each domain, and its tokens count for all domains in that proportion. Document rates (how often
 a document is to be seen, 0 or more) are fitted by projected gradient least squares: starting from
-rate 1, every step moves each rate against the gradient of the squared relative errors of the
-domain totals and cuts it off at 0.
+rate 1, every step moves each rate against the gradient of the squared errors of the domain totals
+and cuts it off at 0. The gradient is scaled by the inverse of the least-squares matrix of the
+documents whose rate is above 0 (one row a domain), so that a step would meet the targets if it cut
+off nothing more. A step that comes no closer is taken back and tried again at a quarter of its
+length.
 
-A step needs the domain totals only, a sum over all documents, made in the tasks and added up by
-Spark; the rates themselves are never stored, since every rate follows from the document's own
-probabilities and the gradients so far (a few numbers a step). Totals cover all documents.
+A step needs the domain totals and that matrix only, sums over all documents, made in the tasks and
+added up by Spark; the rates themselves are never stored, since every rate follows from the document's own
+probabilities and the moves so far (a few numbers a step). Totals cover all documents.
 
 Domains: "toxic" (labelled toxic), "poor" (not toxic, quality 0), "good" (not toxic, quality 1).
 
@@ -31,7 +34,7 @@ from dwellmart.session import written
 
 DOMAINS = ["good", "poor", "toxic"]
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
-STEPS, TOLERANCE = 60, 1e-3
+STEPS, TOLERANCE, SHORTEST = 60, 1e-3, 1e-4
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -68,63 +71,66 @@ def posteriors(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame
     return scored.mapInArrow(normed, schema)
 
 
-def replayed(p: np.ndarray, gradients: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the given steps, from the probabilities alone, and the point of the next gradient.
-
-    Gradients are taken a little ahead of the rates in the direction they move (Nesterov's momentum).
-    """
-    rate = ahead = np.ones(len(p))
-    for number, gradient in enumerate(gradients):
-        before, rate = rate, np.maximum(ahead - p @ gradient, 0.0)
-        ahead = rate + number / (number + 3) * (rate - before)
-    return rate, ahead
+def replayed(p: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
+    """Rates after the given moves, from the probabilities alone."""
+    rate = np.ones(len(p))
+    for move in moves:
+        rate = np.maximum(rate - p @ move, 0.0)
+    return rate
 
 
 def _matrix(batch: pa.RecordBatch, column: int) -> np.ndarray:
     return batch.column(column).flatten().to_numpy().reshape(batch.num_rows, len(DOMAINS))
 
 
-def _sums(table: DataFrame, gradients: list[np.ndarray], products: bool) -> np.ndarray:
-    """Domain totals at the rates so far and at the next gradient's point; on request also the sums of
-    products of probabilities."""
+def _sums(table: DataFrame, moves: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Domain totals at the rates after the moves, and the sums of products of the probabilities of
+    documents whose rate is above 0, counted in tokens."""
 
     def partial(batches):
         total = 0.0
         for batch in batches:
             p, tokens = _matrix(batch, 0), batch.column(1).to_numpy().astype(np.float64)
-            found = [p.T @ (tokens * x) for x in replayed(p, gradients)]
-            found += [(p.T @ (p * tokens[:, None])).ravel()] * products
-            total = total + np.concatenate(found)
+            rate = replayed(p, moves)
+            products = (p * (tokens * (rate > 0))[:, None]).T @ p
+            total = total + np.concatenate([p.T @ (tokens * rate), products.ravel()])
         if not isinstance(total, float):
             yield pa.RecordBatch.from_arrays([pa.array(range(len(total))), pa.array(total)], ["at", "total"])
 
     parts = table.select("mix_domains", "mix_tokens").mapInArrow(partial, "at BIGINT, total DOUBLE")
     k = len(DOMAINS)
-    sums = np.zeros(2 * k + k * k * products)
+    sums = np.zeros(k + k * k)
     for row in parts.groupBy("at").agg(F.sum("total").alias("total")).collect():
         sums[row["at"]] = row["total"]
-    return sums
+    return sums[:k], sums[k:].reshape(k, k)
 
 
 def fit(table: DataFrame, target: "callable[[np.ndarray], np.ndarray]") -> list[np.ndarray]:
-    """The gradient steps that bring the domain totals of the table to target(totals at rate 1)."""
-    k = len(DOMAINS)
-    first = _sums(table, [], products=True)
-    start, products = first[:k], first[2 * k :].reshape(k, k)
+    """The moves that bring the domain totals of the table to target(totals at rate 1)."""
+    start, products = _sums(table, [])
+    now = start
     usable = start > 0
-    if not usable.any():
-        return []
-    scale = np.where(usable, start, 1.0)
     aim = target(start)
-    length = np.linalg.eigvalsh(products / np.sqrt(np.outer(scale, scale)))[-1]
-    steps: list[np.ndarray] = []
-    now = ahead = start
+
+    def error(totals: np.ndarray) -> float:
+        return float(np.abs((totals - aim)[usable] / start[usable]).max(initial=0.0))
+
+    moves: list[np.ndarray] = []
+    part, nearest = 1.0, error(now)
     for _ in range(STEPS):
-        if np.abs(np.where(usable, (now - aim) / scale, 0.0)).max() < TOLERANCE:
+        if nearest < TOLERANCE:
             break
-        steps.append(np.where(usable, (ahead - aim) / scale, 0.0) / length)
-        now, ahead = _sums(table, steps, products=False).reshape(2, k)
-    return steps
+        gradient = np.where(usable, now - aim, 0.0)
+        tried = [*moves, part * np.linalg.lstsq(products, gradient, rcond=1e-9)[0]]
+        totals, matrix = _sums(table, tried)
+        if error(totals) < nearest:
+            moves, now, products, nearest = tried, totals, matrix, error(totals)
+            part = min(2 * part, 1.0)
+        else:
+            part /= 4
+            if part < SHORTEST:
+                break
+    return moves
 
 
 def shares(weights: dict[str, float]):
@@ -133,13 +139,13 @@ def shares(weights: dict[str, float]):
     return lambda start: start.sum() * part / part.sum()
 
 
-def rated(table: DataFrame, steps: list[np.ndarray], name: str = "mix_rate") -> DataFrame:
+def rated(table: DataFrame, moves: list[np.ndarray], name: str = "mix_rate") -> DataFrame:
     schema = T.StructType([*table.schema.fields, T.StructField(name, T.DoubleType())])
     at = table.columns.index("mix_domains")
 
     def rate(batches):
         for batch in batches:
-            found = pa.array(replayed(_matrix(batch, at), steps)[0])
+            found = pa.array(replayed(_matrix(batch, at), moves))
             yield pa.RecordBatch.from_arrays([*batch.columns, found], schema.names)
 
     return table.mapInArrow(rate, schema)

@@ -5,6 +5,7 @@ import hashlib
 import re
 import zlib
 
+import numpy as np
 import pytest
 
 from dwellmart.llm import (
@@ -212,3 +213,20 @@ def test_mixing(docs, labels, empty):
     assert len(found) == len(ROWS)
     assert all(abs(sum(r.mix_domains) - 1) < 1e-9 and r.mix_rate >= 0 for r in found)
     assert mixing.mix(empty, labels).count() == 0
+
+
+def test_mixing_meets_its_targets(monkeypatch):
+    draw = np.random.default_rng(5)
+    p = draw.dirichlet([0.3, 0.2, 0.1], 4000)
+    tokens = draw.integers(0, 500, 4000).astype(float)
+
+    def sums(_, moves):
+        rate = mixing.replayed(p, moves)
+        return p.T @ (tokens * rate), (p * (tokens * (rate > 0))[:, None]).T @ p
+
+    monkeypatch.setattr(mixing, "_sums", sums)
+    moves = mixing.fit(None, mixing.shares(mixing.TARGETS))
+    rate = mixing.replayed(p, moves)
+    share = p.T @ (tokens * rate) / (tokens * rate).sum()
+    assert (rate >= 0).all() and len(moves) < 20
+    assert np.allclose(share, [mixing.TARGETS[d] for d in mixing.DOMAINS], rtol=5e-3)
