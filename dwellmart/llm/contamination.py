@@ -5,8 +5,11 @@ The index is partitioned by document, so it needs no shuffle: each row stores th
 the whole corpus is counted over the stored index. The test windows then go to every partition;
 there each window starts from the list of its rarest term and is intersected, in order of rising
 frequency, with the lists of its other terms, each shifted by the term's offset in the window.
-What is left after the last term is an exact phrase match. Proximity matches are documents in which
-the ``near_terms`` rarest terms of an item lie within ``slop`` words of the rarest one, in any order.
+What is left after the last term is an exact phrase match. Proximity matches are documents in which,
+for some window of an item, the ``near_terms`` rarest different terms of the window all occur, each
+within ``slop`` words of where it stands in the window as seen from the rarest one. So every exact
+match is a proximity match too, and part of an item or an edited passage is found by the windows that
+kept their rarest terms. Terms of equal frequency are taken in the order of the window.
 
 Terms are 64-bit word hashes numbered from 0. Test items are handled in blocks of about
 ``block_words`` words, which bounds what is broadcast; the results of several blocks are merged.
@@ -55,13 +58,22 @@ class Tests:
         offsets = np.argsort(key, axis=1, kind="stable")
         return np.take_along_axis(terms, offsets, 1), offsets, lengths
 
-    def rarest(self, frequency: np.ndarray, count: int) -> np.ndarray:
-        rare = np.full((len(self.items), count), -1, np.int64)
-        for row, words in zip(rare, self.items, strict=True):
-            terms = np.unique(words)
-            terms = terms[np.argsort(frequency[terms], kind="stable")][:count]
-            row[: len(terms)] = terms
-        return rare
+    def nearby(self, terms: np.ndarray, offsets: np.ndarray, count: int):
+        """The ``count`` rarest different terms of each window, -1 where it has fewer, and their distances
+        from the rarest, given ranked windows. Windows that agree in both are one row; its items."""
+        rare, away = np.full((len(terms), count), -1, np.int64), np.zeros((len(terms), count), np.int64)
+        taken = np.zeros(len(terms), np.int64)
+        for rank in range(terms.shape[1]):
+            term = terms[:, rank]
+            rows = np.flatnonzero((term >= 0) & (taken < count) & ~(rare == term[:, None]).any(1))
+            rare[rows, taken[rows]] = term[rows]
+            away[rows, taken[rows]] = offsets[rows, rank] - offsets[rows, 0]
+            taken[rows] += 1
+        both, row = np.unique(np.concatenate([rare, away], axis=1), axis=0, return_inverse=True)
+        items: list[set[int]] = [set() for _ in both]
+        for i, owners in zip(row.ravel().tolist(), self.owners, strict=True):
+            items[i].update(owners)
+        return both[:, :count], both[:, count:], [sorted(x) for x in items]
 
 
 def build_index(
@@ -129,18 +141,17 @@ def matches(
     index: DataFrame, tests: Tests, frequency: np.ndarray, slop: int = SLOP, near_terms: int = NEAR_TERMS
 ) -> DataFrame:
     """doc_id, text_key, n_words, hits (numbers of the words in an exact match), items, near_items."""
-    shared = index.sparkSession.sparkContext.broadcast(
-        (*tests.ranked(frequency), tests.rarest(frequency, near_terms))
-    )
-    names = index.sparkSession.sparkContext.broadcast((tests.names, tests.owners))
+    terms, offsets, lengths = tests.ranked(frequency)
+    rare, away, near_owners = tests.nearby(terms, offsets, near_terms)
+    shared = index.sparkSession.sparkContext.broadcast((terms, offsets, lengths, rare, away))
+    names = index.sparkSession.sparkContext.broadcast((tests.names, tests.owners, near_owners))
 
     def search(batches):
-        terms, offsets, lengths, rare = shared.value
         for batch in batches:
             for part in _index_slices(batch):
-                yield _search(part, terms, offsets, lengths, rare)
+                yield _search(part, *shared.value)
 
-    def _search(part, terms, offsets, lengths, rare):
+    def _search(part, terms, offsets, lengths, rare, away):
         owner = np.repeat(np.arange(part.num_rows), part.column(3).value_lengths().to_numpy())
         sizes = part.column(2).to_numpy()
         base = np.concatenate([[0], np.cumsum(sizes)])
@@ -180,20 +191,18 @@ def matches(
         for w, d in (np.unique(np.stack([window, at]), axis=1).T.tolist() if len(window) else []):
             items[d].update(names.value[1][w])
         near: list[set] = [set() for _ in range(part.num_rows)]
-        usable = np.flatnonzero(rare[:, 0] >= 0) if len(postings) else np.zeros(0, int)
-        item, place = expanded(rare[usable, 0]) if len(usable) else (np.zeros(0, int),) * 2
-        item = usable[item] if len(usable) else item
+        probe, place = expanded(rare[:, 0]) if len(rare) and len(postings) else (np.zeros(0, int),) * 2
         at = np.searchsorted(base, place, side="right") - 1
         for rank in range(1, rare.shape[1]):
-            term = rare[item, rank]
-            low = np.maximum(place - slop, base[at])
+            term, there_about = rare[probe, rank], place + away[probe, rank]
+            low = np.maximum(there_about - slop, base[at])
             found = np.minimum(np.searchsorted(postings, term * span + low), max(len(postings) - 1, 0))
             next_place = postings[found] - term * span if len(postings) else place
-            high = np.minimum(place + slop, base[at + 1] - 1)
+            high = np.minimum(there_about + slop, base[at + 1] - 1)
             good = (term < 0) | ((next_place >= low) & (next_place <= high))
-            item, place, at = item[good], place[good], at[good]
-        for i, d in (np.unique(np.stack([item, at]), axis=1).T.tolist() if len(item) else []):
-            near[d].add(i)
+            probe, place, at = probe[good], place[good], at[good]
+        for p, d in (np.unique(np.stack([probe, at]), axis=1).T.tolist() if len(probe) else []):
+            near[d].update(names.value[2][p])
         named = [[names.value[0][i] for i in sorted(x)] for x in items]
         also = [[names.value[0][i] for i in sorted(x)] for x in near]
         kind = pa.list_(pa.string())

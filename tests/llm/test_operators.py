@@ -230,3 +230,48 @@ def test_mixing_meets_its_targets(monkeypatch):
     share = p.T @ (tokens * rate) / (tokens * rate).sum()
     assert (rate >= 0).all() and len(moves) < 20
     assert np.allclose(share, [mixing.TARGETS[d] for d in mixing.DOMAINS], rtol=5e-3)
+
+
+def near_by_hand(texts, items, window=10, slop=20, count=3):
+    """Items of each text by the rule of proximity, word by word."""
+    texts = [ALNUM.findall((v or "").translate(LOWER)) for v in texts]
+    frequency = collections.Counter(w for words in texts for w in words)
+    found = [set() for _ in texts]
+    for item, value in items:
+        words = ALNUM.findall((value or "").translate(LOWER))
+        for i in range(max(1, len(words) - window + 1) if words else 0):
+            part = words[i : i + window]
+            first = sorted({w: k for k, w in reversed(list(enumerate(part)))}.items(), key=lambda x: (frequency[x[0]], x[1]))
+            (rarest, origin), *others = first[:count]
+            for names, text in zip(found, texts, strict=True):
+                for p in (p for p, w in enumerate(text) if w == rarest):
+                    ranges = [(w, p + k - origin) for w, k in others]
+                    if all(w in text[max(0, q - slop) : max(0, q + slop + 1)] for w, q in ranges):
+                        names.add(str(item))
+    return found
+
+
+@pytest.mark.parametrize("block_words", [5_000_000, 60])
+def test_contamination_nearby(spark, block_words):
+    draw = np.random.default_rng(3)
+    rare = [" ".join(f"w{n}" for n in draw.zipf(1.3, 60)) for _ in range(6)]
+    items = [(i, value + f" end{i}") for i, value in enumerate(rare)]
+    whole = items[0][1]
+    part = " ".join(items[1][1].split()[15:35])
+    edited = items[2][1].split()
+    edited[7::9] = ["changed"] * len(edited[7::9])
+    texts = [whole, "before " * 30 + part + " after" * 30, " ".join(edited), " ".join(f"w{n}" for n in draw.zipf(1.2, 400)), None, ""]
+    frame = ship_frame(spark, texts)
+    rows = contamination.contamination(
+        frame, spark.createDataFrame(items, "item_id LONG, text STRING"), block_words=block_words
+    ).collect()
+    found = {r.doc_id: r for r in rows}
+    assert [set(found[i].near_items) for i in range(len(texts))] == near_by_hand(texts, items)
+    assert "0" in found[0].near_items and "1" in found[1].near_items and "2" in found[2].near_items
+    assert all(set(r["items"]) <= set(r.near_items) for r in rows)
+
+
+def ship_frame(spark, texts):
+    from dwellmart.llm.shipping import ship
+
+    return ship(spark).createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(3)
