@@ -1,17 +1,20 @@
 """License notices in text, by an exact set-similarity join against templates.
 
-Each line of a text is a block, each template a set of words. A block matches a template when it
-holds at least ``share`` of the template's words (containment). The join is exact: template words
-are put in the order of their frequency in the whole corpus, rarest first; a block that reaches the
-threshold must hold one of the first |T| - need + 1 of them (prefix filter), have at least ``need``
-different words (length filter), and at the first prefix word it holds, enough of the template must
-be left behind it (positional filter). What passes is counted out on the block's whole words.
-Templates are a few short texts and fixed, so their side of the join is broadcast.
+A block is any run of words of a text, ``ROOM`` times as long as the template it is held against, so
+that line breaks, comment signs and a few words in between don't matter. A template is a set of words. A
+block matches a template when it holds at least ``share`` of the template's words (containment). The
+join is exact: template words are put in the order of their frequency in the whole corpus, rarest
+first; a block that reaches the threshold must hold one of the first |T| - need + 1 of them (prefix
+filter), so only the surroundings of such words are looked at. These must have at least ``need`` words of
+the vocabulary (length filter). Both sides in that order, no more words can be common than the lesser
+number before the prefix word and the lesser number from it on (positional filter). What passes is
+counted out on every block of the surroundings. Templates are a few short texts and fixed, so their side
+of the join is broadcast.
 
 Besides, the places of fixed phrases are found (base). Everything is built from DataFrame functions.
 
-Nulls and ties: a null text is empty: no words, no places, no labels. A block that matches several
-templates gets all their labels. Repeated rows have equal results.
+Nulls and ties: a null text is empty: no words, no places, no labels. A text that matches several
+templates gets all their labels, each with its best containment. Repeated rows have equal results.
 """
 
 from __future__ import annotations
@@ -22,17 +25,23 @@ from pyspark.sql import functions as F
 # Phrases and labels of the base, and templates of license notices.
 PHRASES = [("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl")]
 TEMPLATES = [
-    ("released under the mit license", "mit"),
-    ("licensed under the mit license", "mit"),
+    ("under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy of this software", "mit"),
-    ("licensed under the apache license version 2 0", "apache"),
-    ("this work is licensed under the gnu general public license version 3", "gpl"),
+    ("the above copyright notice and this permission notice shall be included in all copies or substantial portions", "mit"),
+    ("under the apache license", "apache"),
+    ("you may not use this file except in compliance with the license", "apache"),
+    ("under the gnu general public license", "gpl"),
+    ("under the terms of the gnu general public license", "gpl"),
     ("you can redistribute it and or modify it under the terms of the gnu general public license", "gpl"),
-    ("licensed under cc by nc 4 0", "cc-by-nc"),
-    ("this work is licensed under a creative commons attribution noncommercial license", "cc-by-nc"),
+    ("under cc by nc", "cc-by-nc"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
+    ("creative commons attribution non commercial", "cc-by-nc"),
     ("redistribution and use in source and binary forms with or without modification are permitted", "bsd"),
+    ("redistributions of source code must retain the above copyright notice this list of conditions", "bsd"),
+    ("redistributions in binary form must reproduce the above copyright notice this list of conditions", "bsd"),
 ]
 SHARE = 0.9
+ROOM = 2  # times the words of a template
 
 _SEPARATORS = [chr(c) for c in range(128) if not (48 <= c <= 57 or 97 <= c <= 122 or 65 <= c <= 90)]
 
@@ -58,44 +67,68 @@ def _places(words: Column, phrase: str) -> Column:
     return F.filter(F.sequence(F.lit(0), F.size(words) - 1), stands)
 
 
-def vocabulary_frequencies(lines: DataFrame, vocabulary: list[str]) -> dict[str, int]:
-    """In how many blocks of the corpus each template word occurs."""
-    found = lines.select(F.explode(F.array_intersect("words", F.array(*map(F.lit, vocabulary)))).alias("word"))
+def vocabulary_frequencies(texts: DataFrame, vocabulary: list[str]) -> dict[str, int]:
+    """In how many texts of the corpus each template word occurs."""
+    found = texts.select(F.explode(F.array_intersect("words", F.array(*map(F.lit, vocabulary)))).alias("word"))
     counted = {r.word: r["count"] for r in found.groupBy("word").count().collect()}
     return {word: counted.get(word, 0) for word in vocabulary}
 
 
-def template_matches(lines: DataFrame, templates: list[tuple[str, str]], share: float) -> DataFrame:
-    """doc_key, block, label and containment of every block and template that match.
+def template_matches(texts: DataFrame, templates: list[tuple[str, str]], share: float) -> DataFrame:
+    """doc_key, label and containment of every text and template that match, by the best block.
 
-    ``lines`` has doc_key, block and words (different words of the block).
+    ``texts`` has doc_key and words.
     """
-    spark = lines.sparkSession
-    sets = [(i, label, sorted(set(text.split()))) for i, (text, label) in enumerate(templates)]
-    frequency = vocabulary_frequencies(lines, sorted({w for _, _, words in sets for w in words}))
+    spark = texts.sparkSession
+    sets = [(i, label, sorted(set(t.split())), ROOM * len(t.split())) for i, (t, label) in enumerate(templates)]
+    frequency = vocabulary_frequencies(texts, sorted({w for _, _, words, _ in sets for w in words}))
+    ordered = sorted(frequency, key=lambda w: (frequency[w], w))
     index, full = [], []
-    for i, label, words in sets:
-        words = sorted(words, key=lambda w: (frequency[w], w))
+    for i, label, words, room in sets:
+        words = sorted(words, key=ordered.index)
         need = max(1, -int(-share * len(words) // 1))
-        full.append((i, label, words, need))
-        index += [(word, i, place, need, len(words)) for place, word in enumerate(words[: len(words) - need + 1])]
-    prefix = F.broadcast(spark.createDataFrame(index, "word STRING, template INT, place INT, need INT, size INT"))
-    full = F.broadcast(spark.createDataFrame(full, "template INT, label STRING, template_words ARRAY<STRING>, need INT"))
-    prefixes = F.array(*[F.lit(w) for w in sorted({w for w, *_ in index})])
-    hits = lines.where(F.arrays_overlap("words", prefixes)).select(
-        "doc_key", "block", "words", F.explode(F.array_intersect("words", prefixes)).alias("word")
+        full.append((i, label, words, need, room))
+        index += [(word, i, place) for place, word in enumerate(words[: len(words) - need + 1])]
+    prefix = F.broadcast(spark.createDataFrame(index, "word STRING, template INT, place INT"))
+    full = F.broadcast(
+        spark.createDataFrame(full, "template INT, label STRING, template_words ARRAY<STRING>, need INT, room INT")
     )
-    candidates = (
-        hits.join(prefix, "word")
-        .where((F.size("words") >= F.col("need")) & (F.col("size") - F.col("place") >= F.col("need")))
-        .select("doc_key", "block", "words", "template")
+    wanted = sorted({word for word, *_ in index})
+    some = texts.where(F.arrays_overlap("words", F.array(*map(F.lit, wanted))))
+    reach = max(room for *_, room in sets) - 1
+    places = F.filter(F.sequence(F.lit(0), F.size("words") - 1), lambda i: F.get("words", i).isin(wanted))
+    around = F.transform(
+        places,
+        lambda i: F.struct(
+            F.get("words", i).alias("word"),
+            F.least(i, F.lit(reach)).alias("before"),
+            F.slice("words", F.greatest(i - reach, F.lit(0)) + 1, F.lit(2 * reach + 1)).alias("words"),
+        ),
+    )
+    hits = some.select("doc_key", F.explode(around).alias("hit")).select("doc_key", "hit.*")
+    # The surroundings of the prefix word, as wide as blocks of this template reach.
+    start = F.greatest(F.col("before") - F.col("room") + 1, F.lit(0))
+    near = F.slice("words", start + 1, F.col("before") - start + F.col("room"))
+    candidates = hits.join(prefix, "word").join(full, "template").select(
+        "doc_key", "word", "template", "place", "label", "template_words", "need", "room", near.alias("words")
+    )
+    shared = F.array_intersect(F.array(*map(F.lit, ordered)), F.col("words"))
+    candidates = candidates.withColumn("known", shared).withColumn(
+        "at", F.array_position("known", F.col("word")).cast("int") - 1
+    )
+    size = F.size("template_words")
+    bound = F.least("place", "at") + F.least(size - F.col("place"), F.size("known") - F.col("at"))
+    candidates = candidates.where((F.size("known") >= F.col("need")) & (bound >= F.col("need")))
+    starts = F.sequence(F.lit(1), F.greatest(F.size("words") - F.col("room"), F.lit(0)) + 1)
+    held = F.array_max(
+        F.transform(starts, lambda i: F.size(F.array_intersect(F.slice("words", i, F.col("room")), "template_words")))
     )
-    shared = F.size(F.array_intersect("words", "template_words"))
     return (
-        candidates.join(full, "template")
-        .where(shared >= F.col("need"))
-        .select("doc_key", "block", "label", (shared / F.size("template_words")).alias("containment"))
-        .distinct()
+        candidates.withColumn("held", held)
+        .where(F.col("held") >= F.col("need"))
+        .groupBy("doc_key", "template", "label")
+        .agg(F.max(F.col("held") / size).alias("containment"))
+        .select("doc_key", "label", "containment")
     )
 
 
@@ -107,14 +140,12 @@ def scan(
     text_column: str = "text",
 ) -> DataFrame:
     """doc_id, n_words, places (label and word number of each phrase), matches (label and containment
-    of each block's template) of every document."""
+    of each template) of every document."""
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(F.col(id_column).alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
     key = F.unhex(F.md5(F.col("text").cast("binary")))
-    lines = rows.select(key.alias("doc_key"), F.posexplode(F.split("text", "\n")).alias("block", "line"))
-    lines = lines.select("doc_key", "block", F.array_distinct(words_of(F.col("line"))).alias("words"))
-    found = template_matches(lines, templates, share).groupBy("doc_key").agg(
+    found = template_matches(rows.select(key.alias("doc_key"), "words"), templates, share).groupBy("doc_key").agg(
         F.sort_array(F.collect_set(F.struct("label", "containment"))).alias("matches")
     )
 

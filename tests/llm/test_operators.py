@@ -275,3 +275,40 @@ def ship_frame(spark, texts):
     from dwellmart.llm.shipping import ship
 
     return ship(spark).createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(3)
+
+
+NOTICES = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files, to deal without restriction.""",
+    "bsd": """ * Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following are met.""",
+    "cc-by-nc": """This work is licensed under the Creative
+Commons Attribution-NonCommercial 4.0 International terms.""",
+    "": "This work is licensed under a Creative\nCommons Attribution International terms.",
+}
+
+
+def test_wrapped_notices(spark):
+    pad = "some other words of the text\n" * 30
+    texts = [f"{pad}{notice}\n{pad}" for notice in NOTICES.values()] + ["", None, "under the\n\nmit\n", "a copy of this software"]
+    found = {r.doc_id: r for r in licences.scan(ship_frame(spark, texts)).collect()}
+    for i, label in enumerate(NOTICES):
+        assert {m.label for m in found[i].matches or []} == ({label} if label else set())
+        assert all(m.containment == 1 for m in found[i].matches or [])
+
+
+def test_blocks_are_all_runs_of_words(spark):
+    draw = np.random.default_rng(7)
+    templates = [("aa bb cc dd ee ff gg hh ii jj", "ten"), ("aa bb aa kk", "three"), ("kk", "one")]
+    pool = np.array([*"aa bb cc dd ee ff gg hh ii jj".split(), "kk", *[f"x{i}" for i in range(4)]])
+    texts = ["\n".join(draw.choice(pool[: 10 + i % 6], 3 + i)) for i in range(40)]
+    found = {r.doc_id: r for r in licences.scan(ship_frame(spark, texts), templates).collect()}
+    for i, value in enumerate(texts):
+        words, expected = value.split(), set()
+        for template, label in templates:
+            want, room = set(template.split()), 2 * len(template.split())
+            best = max(len(want & set(words[j : j + room])) for j in range(len(words)))
+            if best >= 0.9 * len(want):
+                expected.add((label, best / len(want)))
+        assert {tuple(m) for m in found[i].matches or []} == expected
+    assert any(len(r.matches or []) > 1 for r in found.values())
