@@ -35,14 +35,15 @@ def _text_key(column: str = "text"):
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingles at a Jaccard similarity of 0.8: the one
-    with the least id. Of rows that repeat an id and text one stays; rows with a null id, or with
-    an empty text, are in no group and all stay."""
+    with the least id (and, of rows that repeat that id with several texts of the group, the least text
+    key). Of rows that repeat an id and text one stays; rows with a null id, or with an empty text,
+    are in no group and all stay."""
     ship(spark)
-    found = ngram_join.groups(docs, size=5, num=8, den=10)
-    lost = found.where(F.col("doc_id") != F.col("component_id"))
-    left = docs.join(lost.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
-    named = left.where("doc_id IS NOT NULL").withColumn("__key", _text_key())
-    return named.dropDuplicates(["doc_id", "__key"]).drop("__key").unionByName(left.where("doc_id IS NULL"))
+    lost = ngram_join.superseded(docs, size=5, num=8, den=10)
+    lost = lost.select("doc_id", F.col("text_key").alias("__key"))
+    named = docs.where("doc_id IS NOT NULL").withColumn("__key", _text_key())
+    left = named.join(lost, ["doc_id", "__key"], "left_anti").dropDuplicates(["doc_id", "__key"])
+    return left.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
