@@ -5,8 +5,11 @@ remaining capacity fits them most tightly, found in a balanced tree.
 
 Groups grow in number with the corpus, the packing must not: a group of at least 1/``items`` of all
 bytes is an item of its own (there can be no more than ``items`` of them), smaller groups are first
-dealt by hash into ``items`` parcels. So at most 2 x ``items`` sizes reach the driver, whatever the
-corpus. Everything else is a shuffle of a narrow table without texts.
+dealt by hash into ``items`` parcels. There are ``PARCELS`` items for each shard that the bytes need, so
+a parcel is a small part of a shard, and ``items`` at least. A parcel that comes out larger than the
+capacity all the same is not packed as one, its groups are. So about 2 x ``items`` sizes reach the
+driver, in proportion to the shards and whatever the number of texts. Everything else is a shuffle of a
+narrow table without texts.
 
 Nulls and ties: a null text has no bytes and counts as the empty text (size 1, crc32 0). Repeated
 rows are rows like others and stay in their text's group. A null id is an id like another. Equal
@@ -23,6 +26,7 @@ from pyspark.sql import functions as F
 from dwellmart.session import written
 
 ITEMS = 2048
+PARCELS = 16  # for each shard, at least
 SLOT_ROWS = 4096  # rows numbered in one group of a window
 
 
@@ -166,20 +170,30 @@ def assign(
     )
     rows = written(rows, "shard-rows")
     total, count = rows.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
+    items = max(items, PARCELS * (-(-total // capacity) if capacity else shards))
     groups = rows.groupBy("group").agg(F.sum("size").alias("bytes"))
     parcel = F.pmod(F.xxhash64("group"), F.lit(items))
-    sized = groups.select(
-        "bytes",
-        F.when(F.col("bytes") * items >= total, F.col("group")).alias("large"),
-        F.when(F.col("bytes") * items < total, parcel).alias("parcel"),
-    )
-    packing = sized.groupBy("large", "parcel").agg(F.sum("bytes").alias("bytes"))
-    packing = sorted(packing.collect(), key=lambda r: (r.large or b"", -1 if r.parcel is None else r.parcel))
+
+    def sizes_with(alone: list[int]):
+        """Bytes of each large group and each parcel; groups of the parcels ``alone`` count as large."""
+        large = F.col("bytes") * items >= total
+        if alone:
+            large = large | parcel.isin(alone)
+        sized = groups.select(
+            "bytes", F.when(large, F.col("group")).alias("large"), F.when(~large, parcel).alias("parcel")
+        )
+        found = sized.groupBy("large", "parcel").agg(F.sum("bytes").alias("bytes")).collect()
+        return sorted(found, key=lambda r: (r.large or b"", -1 if r.parcel is None else r.parcel))
+
+    packing = sizes_with([])
+    beyond = [r.parcel for r in packing if capacity and r.large is None and r.bytes > capacity]
+    if beyond:
+        packing = sizes_with(beyond)
     sizes = [r.bytes for r in packing]
     placed = best_fit_decreasing(sizes, capacity) if capacity else pack_into(sizes, shards)
     large = [(bytes(r.large), s) for r, s in zip(packing, placed, strict=True) if r.large is not None]
     small = [(r.parcel, s) for r, s in zip(packing, placed, strict=True) if r.large is None]
-    # Both have at most `items` rows.
+    # Both have about `items` rows at most.
     large = F.broadcast(spark.createDataFrame(large, "`group` BINARY, large_shard INT"))
     small = F.broadcast(spark.createDataFrame(small, "parcel BIGINT, small_shard INT"))
     bucket_count = max(1, -(-count // (SLOT_ROWS * max(1, len(set(placed))))))

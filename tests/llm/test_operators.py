@@ -312,3 +312,22 @@ def test_blocks_are_all_runs_of_words(spark):
                 expected.add((label, best / len(want)))
         assert {tuple(m) for m in found[i].matches or []} == expected
     assert any(len(r.matches or []) > 1 for r in found.values())
+
+
+def test_shards_of_a_capacity(spark):
+    texts = [f"{i:09d}" for i in range(6000)] + ["y" * 5000]
+    capacity = 20  # 3,000 shards and more than that; two texts of ten bytes fill one
+    found = shards.assign(ship_frame(spark, texts), capacity=capacity, items=64).collect()
+    filled = collections.Counter()
+    for r in found:
+        filled[r.shard] += r["size"]
+    assert sorted(filled.values()) == [20] * 3000 + [5001]
+
+
+def test_no_parcel_beyond_the_capacity(spark, monkeypatch):
+    monkeypatch.setattr(shards, "PARCELS", 1)
+    found = shards.assign(ship_frame(spark, [f"{i:03d}" for i in range(1000)]), capacity=400, items=1).collect()
+    filled = collections.Counter()
+    for r in found:
+        filled[r.shard] += r["size"]
+    assert max(filled.values()) <= 400
