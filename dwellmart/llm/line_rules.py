@@ -12,7 +12,8 @@ A document is kept if it passes the base rules and its remaining words are at le
 of all. The statistics that the base rules use are those of the whole text.
 
 Nulls and ties: a null text is empty; a text without words fails the base rules. Repeated rows are
-judged alike. Lines without a word are neither counted nor removed.
+judged alike. Lines without a word are neither counted nor removed. Phrases are looked for in the words
+of a line joined by single spaces, whatever white space stands between them.
 """
 
 from __future__ import annotations
@@ -58,14 +59,15 @@ def repeated_words(words: Words, size: int = 3) -> np.ndarray:
     return _per_text((np.cumsum(change)[:-1] > 0).astype(np.int64), words.first)
 
 
-def judged_lines(text: bytes) -> tuple[int, int, list[str]]:
-    """Repeated lines, words left, and the reasons of the lines removed."""
+def judged_lines(text: bytes) -> tuple[int, bytes, list[str]]:
+    """Repeated lines, the text of the lines left, and the reasons of the lines removed."""
     earlier: set[bytes] = set()
-    repeats = left = 0
-    reasons = []
+    repeats = 0
+    left, reasons = [], []
     for line in text.split(b"\n"):
         words = line.split()
         if not words:
+            left.append(line)
             continue
         repeated = line in earlier
         repeats += repeated
@@ -74,7 +76,7 @@ def judged_lines(text: bytes) -> tuple[int, int, list[str]]:
         signs = len(line) - len(line.translate(None, SIGN_BYTES))
         shown = sum(map(len, words))
         bare = sum(not w.translate(None, SIGN_BYTES) for w in words)
-        phrase = line.decode("utf-8", "replace") if b" " in line or len(words) == 1 else ""
+        phrase = b" ".join(words).decode("utf-8", "replace")
         if shown - signs < LEAST_LETTERS * shown or bare > SIGN_WORDS * len(words) or (
             len(words) > 3 and line.count(b"!") > len(words) / 2
         ):
@@ -84,8 +86,8 @@ def judged_lines(text: bytes) -> tuple[int, int, list[str]]:
         elif repeated or _boilerplate.search(phrase):
             reasons.append("boilerplate")
         else:
-            left += len(words)
-    return repeats, left, reasons
+            left.append(line)
+    return repeats, b"\n".join(left), reasons
 
 
 SIGN_BYTES = bytes(np.flatnonzero(VISIBLE_SIGN).tolist())
@@ -93,7 +95,8 @@ SIGN_BYTES = bytes(np.flatnonzero(VISIBLE_SIGN).tolist())
 
 def cleaned(docs: DataFrame, least_left: float = LEAST_LEFT, id_column: str = "doc_id", text_column: str = "text"):
     """Statistics and verdict of every document: doc_id, n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, words_left, removed (lines removed for each reason), base_failed, kept."""
+    n_repeat_words, words_left, removed (lines removed for each reason), base_failed, kept, and text: the
+    lines left, joined by line feeds (those of a document that isn't kept, too)."""
     rows = docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
 
     def judge(batches):
@@ -106,7 +109,7 @@ def cleaned(docs: DataFrame, least_left: float = LEAST_LEFT, id_column: str = "d
                 lines = [judged_lines(data[a:b]) for a, b in zip(words.offsets[:-1], words.offsets[1:], strict=True)]
                 repeated = repeated_words(words)
                 n = words.counts
-                left = np.array([x[1] for x in lines], np.int64)
+                left = np.array([len(x[1].split()) for x in lines], np.int64)
                 failed = (n < LEAST_WORDS) | (100 * repeated > REPEATED_SHARE * n)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -115,14 +118,15 @@ def cleaned(docs: DataFrame, least_left: float = LEAST_LEFT, id_column: str = "d
                         pa.array(repeated, pa.int64()), pa.array(left),
                         pa.array([x[2] for x in lines], pa.list_(pa.string())),
                         pa.array(failed), pa.array(~failed & (left >= least_left * n)),
+                        pa.array([x[1] for x in lines], pa.binary()).cast(pa.string()),
                     ],
                     names,
                 )
 
     names = [
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "words_left",
-        "removed", "base_failed", "kept",
+        "removed", "base_failed", "kept", "text",
     ]
     kind = rows.schema["doc_id"].dataType.simpleString()
     counts = ", ".join(f"{name} BIGINT" for name in names[1:7])
-    return rows.mapInArrow(judge, f"doc_id {kind}, {counts}, removed ARRAY<STRING>, base_failed BOOLEAN, kept BOOLEAN")
+    return rows.mapInArrow(judge, f"doc_id {kind}, {counts}, removed ARRAY<STRING>, base_failed BOOLEAN, kept BOOLEAN, text STRING")

@@ -331,3 +331,14 @@ def test_no_parcel_beyond_the_capacity(spark, monkeypatch):
     for r in found:
         filled[r.shard] += r["size"]
     assert max(filled.values()) <= 400
+
+
+def test_lines_are_removed(spark):
+    prose = [" ".join(f"plain{i}word{k}" for k in range(9)) for i in range(12)]
+    lines = [prose[0], "Home\tAbout\tContact", *prose[1:6], "", "All  rights\treserved", prose[0], "| | | |", *prose[6:]]
+    rows = line_rules.cleaned(ship_frame(spark, ["\n".join(lines), None, "é\n\n"])).collect()
+    found = {r.doc_id: r for r in rows}
+    assert found[0].text == "\n".join([*prose[:6], "", *prose[6:]])
+    assert found[0].removed == ["navigation", "boilerplate", "boilerplate", "punctuation"]
+    assert found[0].kept and found[0].words_left == 12 * 9
+    assert (found[1].text, found[2].text) == ("", "é\n\n")
