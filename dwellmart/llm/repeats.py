@@ -17,7 +17,7 @@ The sketch has two rows of counters, one bit of each is sent to the executors: a
 
 Nulls and ties: a null or empty text, or one with fewer than ``size`` words, loses nothing. Rows
 that repeat both id and text are one document, so neither removes the other; rows with the same id
-and different texts are ordered by a hash of the text. A null id comes after all others. Ids must
+and different texts are ordered by a 64-bit hash of the text, which tells them apart. A null id comes after all others. Ids must
 be integers.
 """
 
@@ -168,14 +168,14 @@ def later_windows(docs: DataFrame, size: int, bits: np.ndarray) -> DataFrame:
             pa.array(signed(np.concatenate([one[group], d_one]))),
             pa.array(np.concatenate([two[group], np.zeros(len(runs), np.uint64)]).astype(np.uint32).view(np.int32)),
             pa.array(np.concatenate([ids[group], d_ids])),
-            pa.array(np.concatenate([version[group], d_version]).astype(np.int32)),
+            pa.array(np.concatenate([version[group], d_version])),
             pa.array(np.concatenate([start[group], d_start]).astype(np.int32)),
             pa.array(np.concatenate([np.zeros(int(group.sum()), np.int64), d_length]).astype(np.int32)),
         ]
         return pa.RecordBatch.from_arrays(columns, ["one", "two", "id", "version", "start", "length"])
 
     rows = docs.select("doc_id", "version", "text").mapInArrow(
-        candidates, "one BIGINT, two INT, id BIGINT, version INT, start INT, length INT"
+        candidates, "one BIGINT, two INT, id BIGINT, version BIGINT, start INT, length INT"
     )
     # Finished runs are kept apart from windows that happen to have their key.
     same = Window.partitionBy("one", "two", F.col("length") > 0).orderBy("id", "version", "start")
@@ -196,7 +196,7 @@ def without_repeats(
     spark = docs.sparkSession
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
-        F.hash(text_column).alias("version"),
+        F.xxhash64(F.coalesce(F.col(text_column), F.lit(""))).alias("version"),
         F.coalesce(F.col(text_column), F.lit("")).alias("text"),
     )
     # About eight counters for each anchor: one anchor for six words of six bytes.

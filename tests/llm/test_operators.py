@@ -342,3 +342,14 @@ def test_lines_are_removed(spark):
     assert found[0].removed == ["navigation", "boilerplate", "boilerplate", "punctuation"]
     assert found[0].kept and found[0].words_left == 12 * 9
     assert (found[1].text, found[2].text) == ("", "é\n\n")
+
+
+def test_texts_of_one_id_are_told_apart(spark):
+    from dwellmart.llm.shipping import ship
+
+    # These two have the same 32-bit hash.
+    passage = " ".join(f"same{i}" for i in range(25))
+    texts = [f"{passage} tail{n}" for n in (147664, 233688)]
+    frame = ship(spark).createDataFrame([(None, t) for t in texts], "doc_id LONG, text STRING")
+    assert frame.selectExpr("hash(text) AS h").distinct().count() == 1
+    assert sorted(r.n_removed for r in repeats.without_repeats(frame).collect()) == [0, 25]
