@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dwellmart.llm import contamination, licences, line_rules, mixing, ngram_join, pages, pii, quality, repeats, shards
+from dwellmart.llm import (
+    contamination, hard_negatives, licences, line_rules, mixing, ngram_join, pages, pii, quality, repeats, shards, url_filter,
+    whitening,
+)
 from dwellmart.llm.shipping import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -102,6 +105,27 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.select("doc_id", "source", F.col("mix_tokens").alias("n_words"), *parts, F.col("mix_rate").alias("rate"))
 
 
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+def op11_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge(read(spark, folder, "pages"), url_filter.entries_of(spark, URL_RULES), ["page_id"])
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(read(spark, folder, "embeddings"), components=4)
+    each = found.select("*", F.posexplode("whitened").alias("at", "value"))
+    return each.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", F.col("deviation").cast("long").alias("deviation"),
+        F.col("value").alias("whitened"), F.get("explained", F.col("at")).alias("explained"), "identity_error",
+    )
+
+
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(read(spark, folder, "embeddings"), F.col("id") % 50 == 0, label=label)
+
+
 QUERIES: dict[str, Query] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -113,4 +137,7 @@ QUERIES: dict[str, Query] = {
     "op6_contamination": op6_contamination,
     "op9_repeats": op9_repeats,
     "op10_mixing": op10_mixing,
+    "op11_url_filter": op11_url_filter,
+    "op12_whitening": op12_whitening,
+    "op13_hard_negatives": op13_hard_negatives,
 }

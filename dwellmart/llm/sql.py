@@ -2,4 +2,54 @@
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+from dwellmart.llm.queries import URL_RULES
+from dwellmart.llm.url_filter import HOST_WORDS
+
+_LISTED = ", ".join(f"('{rule}', '{verdict}')" for rule, verdict in URL_RULES.items())
+_WORDS = ", ".join(f"'{word}'" for word in HOST_WORDS)
+_LOWER = "translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_URL_FILTER = f"""
+    WITH places AS (
+        SELECT page_id, {_LOWER.format("regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)', 1)")} AS host,
+               regexp_extract(coalesce(url, ''), '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path
+        FROM pages),
+    rules AS (
+        SELECT rule, verdict, split_part(rule, '/', 1) AS rule_host,
+               substr(rule, length(split_part(rule, '/', 1)) + 1) AS rule_path
+        FROM (VALUES {_LISTED}) AS listed(rule, verdict)),
+    fits AS (
+        SELECT DISTINCT ON (host, path) host, path, rule, verdict
+        FROM (SELECT DISTINCT host, path FROM places)
+        JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+        ORDER BY host, path, length(rule) DESC, length(rule_host) DESC)
+    SELECT p.page_id, p.host, p.path, f.rule,
+           coalesce(f.verdict, CASE WHEN list_has_any(regexp_extract_all(p.host, '[a-z0-9]+'), [{_WORDS}])
+                                    THEN 'block' ELSE 'allow' END) AS verdict
+    FROM places p LEFT JOIN fits f ON p.host = f.host AND p.path = f.path"""
+
+_HARD_NEGATIVES = """
+    WITH sound AS (
+        SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+               list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+        FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+    scores AS (
+        SELECT a.vec_id AS anchor_id, a.label AS anchor_label, b.vec_id, b.label,
+               CAST(list_dot_product(a.x, b.x) AS BIGINT) AS score
+        FROM sound a JOIN sound b ON a.vec_id <> b.vec_id
+        WHERE a.vec_id % 50 = 0),
+    positives AS (
+        SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores
+        WHERE label = anchor_label
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+    windowed AS (
+        SELECT anchor_id, positive_id, positive_score, vec_id AS negative_id, score AS negative_score,
+               row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS place
+        FROM positives JOIN scores USING (anchor_id)
+        WHERE label <> anchor_label AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+    SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score
+    FROM windowed WHERE place <= 3"""
+
+ORACLE_SQL: dict[str, str] = {"op11_url_filter": _URL_FILTER, "op13_hard_negatives": _HARD_NEGATIVES}
