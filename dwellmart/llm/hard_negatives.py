@@ -27,6 +27,7 @@ aren't read, nor any column but the three named.
 
 from __future__ import annotations
 
+import bisect
 import heapq
 import math
 from collections.abc import Iterator
@@ -39,9 +40,9 @@ from pyspark.sql import functions as F
 from dwellmart.llm.whitening import SCALE, matrix, whole_vectors
 from dwellmart.session import written
 
-PART_ROWS, BLOCK_ROWS = 16_384, 1_024
+PART_ROWS, BLOCK_ROWS = 65_536, 256
 SAMPLE_ROWS, CODEWORDS, STEPS = 8_192, 16, 8
-_EXACT = float(1 << 53)
+_EXACT = {np.float32: float(1 << 24), np.float64: float(1 << 53)}  # whole numbers below are exact
 _INDEX = "part INT, ids BINARY, labels BINARY, vectors BINARY, cells BINARY, radii BINARY"
 _BLOCK = "block INT, anchors BINARY, labels BINARY, vectors BINARY, windows ARRAY<ARRAY<ARRAY<BIGINT>>>"
 
@@ -70,6 +71,12 @@ def codebooks(rows: DataFrame, dimension: int) -> list[np.ndarray]:
     return [codebook(x[:, : dimension // 2]), codebook(x[:, dimension // 2 :])]
 
 
+def narrowest(x: np.ndarray) -> type:
+    """The smallest whole-number type that holds all entries."""
+    low, high = (int(x.min()), int(x.max())) if x.size else (0, 0)
+    return next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= low and high <= np.iinfo(t).max)
+
+
 def index_of(rows: DataFrame, books: list[np.ndarray], parts: int) -> DataFrame:
     """One row a part, with its rows in the order of their cells (second codeword within first)."""
     half, dimension = books[0].shape[1], books[0].shape[1] + books[1].shape[1]
@@ -86,7 +93,7 @@ def index_of(rows: DataFrame, books: list[np.ndarray], parts: int) -> DataFrame:
         order = np.argsort(cell, kind="stable")
         starts = np.searchsorted(cell[order], np.arange(cells + 1)).astype(np.int64)
         packed = [table.column(c).to_numpy()[order].astype(np.int64) for c in ("id", "label")]
-        columns = [table.column("part")[0].as_py(), *[c.tobytes() for c in packed], x[order].tobytes(),
+        columns = [table.column("part")[0].as_py(), *[c.tobytes() for c in packed], x[order].astype(narrowest(x)).tobytes(),
                    starts.tobytes(), np.concatenate(radii).tobytes()]
         kinds = [pa.int32()] + [pa.binary()] * 5
         return pa.table([pa.array([c], k) for c, k in zip(columns, kinds)],
@@ -148,20 +155,27 @@ class Part:
         dimension = self.half + books[1].shape[1]
         self.books = books
         self.ids, self.labels = (np.frombuffer(row[c], np.int64) for c in ("ids", "labels"))
-        self.x = np.frombuffer(row["vectors"], np.int64).reshape(-1, dimension)
+        width = len(row["vectors"]) // (len(self.ids) * dimension)
+        self.x = np.frombuffer(row["vectors"], f"i{width}").reshape(-1, dimension)
         self.starts = np.frombuffer(row["cells"], np.int64)
         self.used = np.diff(self.starts) > 0
         radii = np.frombuffer(row["radii"], float)
         self.radii = [radii[: len(books[0])], radii[len(books[0]) :]]
         self.largest = float(np.abs(self.x.astype(float)).max(initial=0))
-        self.floats = self.x.astype(float)
+        self.typed = {}
+
+    def asked(self, query: np.ndarray) -> np.ndarray:
+        """The query in the smallest floating type in which every partial sum is an exact whole number, else
+        in Python's numbers."""
+        most = self.largest * float(np.abs(query.astype(float)).max(initial=0)) * len(query)
+        kind = next((t for t, limit in _EXACT.items() if most < limit), object)
+        if kind not in self.typed:
+            self.typed[kind] = self.x.astype(kind)
+        return query.astype(kind)
 
-    def scores(self, rows: slice, query: np.ndarray) -> np.ndarray:
-        """Exact inner products: in doubles while every partial sum is a whole number below 2 ** 53."""
-        if self.largest * float(np.abs(query.astype(float)).max(initial=0)) * len(query) < _EXACT:
-            return (self.floats[rows] @ query.astype(float)).astype(np.int64)
-        exact = self.x[rows].astype(object) @ query.astype(object)
-        return np.array([int(v) for v in exact], object)
+    def scores(self, rows: slice, asked: np.ndarray) -> np.ndarray:
+        """Exact inner products."""
+        return self.typed[asked.dtype.type if asked.dtype != object else object][rows] @ asked
 
     def search(self, anchor: int, label: int, query: np.ndarray, windows: list[tuple[int, int]], want: int, same: bool):
         """For each window (low, high) of scores the best ``want`` rows of the same, or of another, label as
@@ -171,23 +185,33 @@ class Part:
         found: list[list] = [[] for _ in windows]
         least = [low for low, _ in windows]
         top = max(high for _, high in windows)
+        asked = self.asked(query)
         for bound, cell in multi_sequence(bounds[0], bounds[1], self.used):
             need = min(least)
             if bound < need:
                 break
             rows = slice(self.starts[cell], self.starts[cell + 1])
-            scores = self.scores(rows, query)
-            right = (self.labels[rows] == label) if same else (self.labels[rows] != label)
-            for k in np.flatnonzero(right & (scores >= need) & (scores <= top) & (self.ids[rows] != anchor)):
-                score, row = int(scores[k]), int(rows.start + k)
-                for w, (low, high) in enumerate(windows):
-                    if least[w] <= score <= high:
-                        insert = (-score, int(self.ids[row]), int(self.labels[row]), self.x[row].tolist())
-                        found[w].append(insert)
-                        if len(found[w]) > want:
-                            found[w] = heapq.nsmallest(want, found[w])
-                        if len(found[w]) == want:
-                            least[w] = max(least[w], -max(found[w])[0])
+            scores = self.scores(rows, asked)
+            hits = ((scores >= need) & (scores <= top)).nonzero()[0]
+            if not len(hits):
+                continue
+            at = hits + rows.start
+            right = ((self.labels[at] == label) == same) & (self.ids[at] != anchor)
+            ordered = sorted(
+                (-int(s), i, row) for s, i, row in zip(scores[hits[right]].tolist(), self.ids[at[right]].tolist(), at[right].tolist())
+            )
+            for w, (_, high) in enumerate(windows):
+                start = bisect.bisect_left(ordered, (-high,))
+                # Rows tied in score and id are told apart below, so all that tie with the last one come along.
+                end = min(start + want, len(ordered))
+                while start < end < len(ordered) and ordered[end][:2] == ordered[end - 1][:2]:
+                    end += 1
+                better = [f for f in ordered[start:end] if -f[0] >= least[w]]
+                if better:
+                    full = [(*f[:2], int(self.labels[f[2]]), self.x[f[2]].tolist()) for f in better]
+                    found[w] = heapq.nsmallest(want, found[w] + full)
+                    if len(found[w]) == want:
+                        least[w] = -found[w][-1][0]
         return [[(-f[0], *f[1:]) for f in sorted(each)] for each in found]
 
 
@@ -213,6 +237,10 @@ def _found(blocks: DataFrame, index: DataFrame, books: list[np.ndarray], parts:
 
     copies = blocks.withColumnsRenamed({"labels": "anchor_labels", "vectors": "anchor_vectors"})
     copies = copies.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # A pair is much work for few bytes: pairs are spread by number, not merged by size.
+    spark = blocks.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    copies = copies.repartition(tasks, "block", "part")
     return copies.join(index, "part").drop("block", "part").mapInArrow(
         run, "anchor LONG, anchor_label LONG, anchor_x ARRAY<LONG>, `window` INT, score LONG, id LONG, label LONG, x ARRAY<LONG>"
     )
