@@ -74,6 +74,7 @@ FOREIGN_KEYS = {
         "date_id": "dim_date", "location_id": "dim_location", "source_id": "dim_source",
     },
 }
+FACT_TIMES = {"fact_listings": "date_scraped", "fact_macro_indicators": "date_recorded"}
 TEXT_LIMITS = {"listing_id": 100, "city": 100, "district": 100, "source_name": 50, "url": 500}
 DECIMAL_DIGITS = {"price": (15, 2), "area": (10, 2), "price_per_m2": (15, 2)}
 

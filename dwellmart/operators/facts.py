@@ -70,3 +70,20 @@ def unseen(rows: DataFrame, stored: DataFrame, stored_key: str) -> DataFrame:
     stored_keys = stored.select(F.col(stored_key).alias("listing_id"))
     repeated = stored_keys.join(batch_keys, "listing_id", "left_semi")
     return rows.join(repeated, "listing_id", "left_anti")
+
+
+def outdated(
+    batch: DataFrame, stored: DataFrame, stored_key: str, stored_time: str, id_column: str
+) -> DataFrame:
+    """The stored facts of which the batch has a later record: key, surrogate key and file.
+
+    As in ``unseen``, a small batch is the side that is sent around, so of the stored facts three
+    columns are scanned and none is shuffled.
+    """
+    facts = stored.select(
+        F.col(stored_key).alias("listing_id"), F.col(stored_time).alias("_stored_at"), id_column,
+        F.col("_metadata.file_name").alias("_file"),
+    )
+    records = batch.select("listing_id", F.col("date_scraped").alias("_scraped_at"))
+    later = F.col("_scraped_at") > F.col("_stored_at")
+    return facts.join(records, "listing_id").where(later).select("listing_id", id_column, "_file")

@@ -8,14 +8,16 @@ from functools import partial
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from dwellmart.fixed_values import UNIQUE_KEYS
+from dwellmart.fixed_values import FACT_TIMES, UNIQUE_KEYS
 from dwellmart.operators import dimensions as dims
 from dwellmart.operators.contract import fact_rules, member_rules
 from dwellmart.operators.facts import (
     Dimension,
     listing_facts,
     macro_facts,
+    outdated,
     unseen,
     with_surrogate_key,
 )
@@ -77,16 +79,20 @@ def append(
     mode: str = QUARANTINE,
     rejected: str | None = None,
     known_unique: bool = False,
+    latest: bool = False,
 ) -> LoadCounts:
     """Add what is not stored yet: new members first, then new facts, then new rejects.
 
-    Tables that are absent are created. A stored listing keeps its row. Running the same batch again adds nothing, so a run that was
+    Tables that are absent are created. A stored listing keeps its row, unless ``latest`` asks for
+    the later record: a record of a later time takes the place (and the surrogate key) of the stored
+    one, and one that cannot become a fact removes it, as a full load of all records would. At equal
+    times the stored one stays. Running the same batch again changes nothing, so a run that was
     cut off between two tables is completed by repeating it.
     """
     if not known_unique:
         require_unique(curated, ["listing_id"])
     warehouse.prepare()
-    return _load(warehouse, curated, mode, rejected, fresh=False)
+    return _load(warehouse, curated, mode, rejected, fresh=False, latest=latest)
 
 
 def fact_rejects(curated: DataFrame) -> DataFrame:
@@ -95,7 +101,12 @@ def fact_rejects(curated: DataFrame) -> DataFrame:
 
 
 def _load(
-    target: Warehouse, curated: DataFrame, mode: str, rejected: str | None, fresh: bool
+    target: Warehouse,
+    curated: DataFrame,
+    mode: str,
+    rejected: str | None,
+    fresh: bool,
+    latest: bool = False,
 ) -> LoadCounts:
     if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown mode {mode!r}")
@@ -120,9 +131,9 @@ def _load(
     together(
         target.spark,
         partial(_add_facts, target, "fact_listings", listings_of(facts), listing_facts,
-                "listing_sk", ["location_id", "price"], fresh),
+                "listing_sk", ["location_id", "price"], fresh, listings_of(curated) if latest else None),
         partial(_add_facts, target, "fact_macro_indicators", macro_of(facts), macro_facts,
-                "macro_sk", ["date_id", "location_id"], fresh),
+                "macro_sk", ["date_id", "location_id"], fresh, macro_of(curated) if latest else None),
     )
     folder = rejected or target.rejects_folder()
     if mode == QUARANTINE:
@@ -172,16 +183,38 @@ def _add_facts(
     id_column: str,
     order: list[str],
     fresh: bool,
+    batch: DataFrame | None = None,
 ) -> None:
     """Append facts, each file ordered so that its column statistics can rule out pages.
 
     What an append finds to be new is stored first, because the lookups may start from it more
-    than once and should not repeat the comparison with the stored facts.
+    than once and should not repeat the comparison with the stored facts. A ``batch``, all records
+    of the load whether they can become facts or not, outdates the stored facts of earlier times.
     """
     last = 0
-    if not fresh:
-        last = target.largest(table, id_column)
-        natural_key = UNIQUE_KEYS[table][0]
-        rows = written(unseen(rows, target.table(table), natural_key), "unseen")
-    ordered = facts_of(rows, target.table).sortWithinPartitions(*order)
-    target.append(table, with_surrogate_key(ordered, id_column, last))
+    if fresh:
+        ordered = facts_of(rows, target.table).sortWithinPartitions(*order)
+        target.append(table, with_surrogate_key(ordered, id_column, last))
+        return
+    last = target.largest(table, id_column)
+    natural_key = UNIQUE_KEYS[table][0]
+    stored, replaced = target.table(table), None
+    if batch is not None:
+        replaced = written(outdated(batch, stored, natural_key, FACT_TIMES[table], id_column), "outdated")
+    files = [] if replaced is None else [row[0] for row in replaced.select("_file").distinct().collect()]
+    new = written(unseen(rows, stored, natural_key), "unseen")
+    if not files:
+        ordered = facts_of(new, target.table).sortWithinPartitions(*order)
+        target.append(table, with_surrogate_key(ordered, id_column, last))
+        return
+    # Copy on write: the files that hold an outdated fact are written anew, with the later records
+    # and what is new; no other file is touched.
+    kept = target.stored_files(table, files).join(
+        replaced.select(F.col("listing_id").alias(natural_key)), natural_key, "left_anti"
+    )
+    added = with_surrogate_key(facts_of(new, target.table), id_column, last)
+    later = rows.join(replaced.select("listing_id"), "listing_id", "left_semi")
+    same_id = replaced.select(F.col("listing_id").alias(natural_key), id_column)
+    updated = facts_of(later, target.table).join(same_id, natural_key)
+    everything = kept.unionByName(added).unionByName(updated)
+    target.replace_files(table, files, everything.sortWithinPartitions(*order))

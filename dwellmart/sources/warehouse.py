@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import NULLABLE_TABLE_COLUMNS, TABLES
+from dwellmart.sources.files import Files, at_once
+
+# A merge under way is written down in a hidden file of the table's folder, which readers skip.
+MERGE_NOTE = "_merge-"
 
 
 def _quoted(path: str) -> str:
@@ -38,7 +44,8 @@ class Warehouse:
         self.attach(self.new_folder())
 
     def prepare(self) -> None:
-        """Create the database and the tables that are absent, leaving all others as they are."""
+        """Create the database and the tables that are absent, leaving all others as they are but for
+        completing merges that were cut off."""
         self._create_database()
         folder = self.new_folder()
         for table, columns in TABLES.items():
@@ -46,6 +53,7 @@ class Warehouse:
                 f"CREATE TABLE IF NOT EXISTS {self.name_of(table)} ({columns}) "
                 f"USING parquet LOCATION {_quoted(f'{folder}/{table}')}"
             )
+            self.complete_merges(table)
 
     def _create_database(self) -> None:
         self.spark.sql(
@@ -112,6 +120,47 @@ class Warehouse:
         ordered.write.insertInto(self.name_of(table))
         self.version += 1
 
+    def stored_files(self, table: str, names: Sequence[str]) -> DataFrame:
+        """The rows of some files of a table; the others aren't opened."""
+        folder = self.location_of(table)
+        return self.spark.read.schema(self.table(table).schema).parquet(*[f"{folder}/{name}" for name in names])
+
+    def replace_files(self, table: str, names: Sequence[str], rows: DataFrame) -> None:
+        """Put rows, which may be read from these very files, in the place of some files of a table.
+
+        The rows are written to a folder of their own, under the table's types and lengths. Then the
+        files to come and to go are noted, the new ones are moved in, the old ones are deleted, and
+        the note goes. Up to the note a failure changes nothing; from there on ``prepare`` completes
+        what was cut off. Between moving and deleting, a reader can see old and new rows side by side.
+        """
+        merge = uuid.uuid4().hex
+        folder, staged = self.location_of(table), f"{self.root}/merge-{merge}"
+        passing = f"`{self.database}`.`merge_{merge}`"
+        self.spark.sql(f"CREATE TABLE {passing} ({TABLES[table]}) USING parquet LOCATION {_quoted(staged)}")
+        try:
+            rows.select(*self.table(table).columns).write.insertInto(passing)
+        finally:
+            self.spark.sql(f"DROP TABLE {passing}")
+        files = Files(self.spark)
+        new = [name for name in files.names(staged) if not name.startswith(("_", "."))]
+        note = {"staged": staged, "new": new, "old": list(names)}
+        files.write_text(f"{folder}/{MERGE_NOTE}{merge}", json.dumps(note))
+        self.complete_merges(table)
+        self.version += 1
+
+    def complete_merges(self, table: str) -> None:
+        """Finish the merges noted in a table's folder, from wherever they were cut off."""
+        files, folder = Files(self.spark), self.location_of(table)
+        notes = [name for name in files.names(folder) if name.startswith(MERGE_NOTE) and "." not in name]
+        for name in notes:
+            note = json.loads(files.read_text(f"{folder}/{name}"))
+            at_once(files.move, [(f"{note['staged']}/{new}", f"{folder}/{new}") for new in note["new"]])
+            at_once(files.delete, [(f"{folder}/{old}",) for old in note["old"]])
+            files.delete(note["staged"])
+            files.delete(f"{folder}/{name}")
+        if notes:
+            self.spark.catalog.refreshTable(self.name_of(table))
+
     def from_footers(self, table: str, *aggregates: Column) -> Row | None:
         """Plain count, min and max of a table, answered from the Parquet footers.
 

@@ -414,3 +414,129 @@ def test_curate_frame_does_not_depend_on_partitioning(raw, macro_record):
 def test_jdbc_export_names_a_missing_driver(spark):
     with pytest.raises(Exception, match="No suitable driver"):
         append_jdbc(spark.range(1), "jdbc:nosuchdb://host/db", "t")
+
+
+# -- later records of stored listings ---------------------------------------------------------------
+
+
+def resolved(warehouse):
+    """Facts with the texts their keys stand for, so that stars with other keys compare equal."""
+    found = []
+    for table, own in [("fact_listings", "listing_sk"), ("fact_macro_indicators", "macro_sk")]:
+        rows = warehouse.table(table).drop(own)
+        for key, dimension in FOREIGN_KEYS[table].items():
+            rows = rows.join(warehouse.table(dimension), key)
+        found.append(sorted(map(str, rows.drop("location_id", "property_id", "source_id").collect())))
+    return found
+
+
+def files_of(warehouse, table):
+    rows = warehouse.table(table).select("_metadata.file_name").distinct().collect()
+    return {row[0] for row in rows}
+
+
+@pytest.fixture
+def two_days(curated):
+    """A first day in several files, and a second day with later, earlier, equal, unusable and new records."""
+    first = curated(*[{"listing_id": f"olx_{i}", "price": 1e5 + i, "city": f"c{i % 4}"} for i in range(40)],
+                    *[curated.macro(listing_id=f"gus_{i}") for i in range(6)])
+    day = {"date_scraped": "2025-07-01 09:00:00"}
+    second = curated(
+        {"listing_id": "olx_3", "price": 7.0, "city": "new town", "rooms": 9, **day},
+        {"listing_id": "olx_4", "price": None, **day},
+        {"listing_id": "olx_5", "price": 8.0, "date_scraped": "2025-05-31 09:00:00"},
+        {"listing_id": "olx_6", "price": 9.0},
+        {"listing_id": "olx_99", "price": 10.0, **day},
+        curated.macro(listing_id="gus_2", price_per_m2=3.5, **day),
+        curated.macro(listing_id="gus_77", **day),
+    )
+    return first, second
+
+
+def test_later_records_replace_stored_ones(warehouse, two_days, join_strategy):
+    first, second = two_days
+    refresh(warehouse, first.repartition(4, "city"))
+    keys = dict(columns_of(warehouse.table("fact_listings"), "listing_natural_key", "listing_sk"))
+    before = files_of(warehouse, "fact_listings")
+    untouched = {row[0] for row in warehouse.table("fact_listings")
+                 .where("listing_natural_key NOT IN ('olx_3', 'olx_4')").select("_metadata.file_name").collect()}
+    changed = {row[0] for row in warehouse.table("fact_listings")
+               .where("listing_natural_key IN ('olx_3', 'olx_4')").select("_metadata.file_name").collect()}
+    told = append(warehouse, second, latest=True)
+    assert (told.listings, told.macro) == (40, 7)
+    after = dict(columns_of(warehouse.table("fact_listings"), "listing_natural_key", "listing_sk"))
+    assert set(after) == {f"olx_{i}" for i in range(40) if i != 4} | {"olx_99"}
+    assert {k: v for k, v in after.items() if k != "olx_99"} == {k: v for k, v in keys.items() if k != "olx_4"}
+    assert len(set(after.values())) == 40
+    prices = {k: str(p) for k, p in columns_of(warehouse.table("fact_listings"), "listing_natural_key", "price")}
+    assert (prices["olx_3"], prices["olx_5"], prices["olx_6"]) == ("7.00", "100005.00", "100006.00")
+    assert violations(warehouse) == {}
+    # Files without a changed listing are the same files as before.
+    assert before - changed <= files_of(warehouse, "fact_listings") and not changed & files_of(warehouse, "fact_listings")
+    assert untouched - changed
+
+
+def test_loading_day_by_day_equals_loading_all(spark, warehouse, two_days):
+    from dwellmart.operators.dedup import latest_per_listing
+
+    first, second = two_days
+    refresh(warehouse, first)
+    append(warehouse, second, latest=True)
+    whole = Warehouse(spark, f"{warehouse.database}_whole", f"{warehouse.root} whole")
+    refresh(whole, latest_per_listing(first.union(second)))
+    ours, theirs = resolved(warehouse), resolved(whole)
+    whole.discard()
+    # At equal times the stored record stays, where removing duplicates goes by the price.
+    assert [row for row in ours[0] if "olx_6" not in row] == [row for row in theirs[0] if "olx_6" not in row]
+    assert ours[1] == theirs[1]
+
+
+def test_repeating_a_batch_of_later_records_changes_nothing(warehouse, two_days):
+    first, second = two_days
+    refresh(warehouse, first)
+    told = append(warehouse, second, latest=True)
+    files = files_of(warehouse, "fact_listings")
+    assert append(warehouse, second, latest=True) == told
+    assert files <= files_of(warehouse, "fact_listings")
+
+
+def test_a_load_without_later_records_only_adds_files(warehouse, curated):
+    refresh(warehouse, curated({"listing_id": "olx_1"}))
+    before = files_of(warehouse, "fact_listings")
+    append(warehouse, curated({"listing_id": "olx_2"}), latest=True)
+    assert before < files_of(warehouse, "fact_listings")
+
+
+@pytest.mark.parametrize("cut", ["move", "delete"])
+def test_a_merge_that_was_cut_off_is_completed(warehouse, two_days, monkeypatch, cut):
+    from dwellmart.sources.files import Files
+
+    first, second = two_days
+    refresh(warehouse, first.repartition(3))
+    calls = []
+    plain = getattr(Files, cut)
+
+    def failing(self, path, *to):
+        calls.append(path)
+        if "part-" in path and len([c for c in calls if "part-" in c]) > 1:
+            raise OSError("cut off")
+        plain(self, path, *to)
+
+    with monkeypatch.context() as patched:
+        patched.setattr(Files, cut, failing)
+        with pytest.raises(OSError, match="cut off"):
+            append(warehouse, second, latest=True)
+    append(warehouse, second, latest=True)
+    assert counts(warehouse)["fact_listings"] == 40 and counts(warehouse)["fact_macro_indicators"] == 7
+    assert violations(warehouse) == {}
+    assert not [n for n in Files(warehouse.spark).names(warehouse.location_of("fact_listings")) if n.startswith("_merge")]
+
+
+def test_a_merge_that_fails_before_its_note_changes_nothing(spark, warehouse, two_days):
+    first, second = two_days
+    refresh(warehouse, first)
+    names = sorted(files_of(warehouse, "fact_listings"))
+    rows = warehouse.stored_files("fact_listings", names)
+    with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
+        warehouse.replace_files("fact_listings", names, rows.withColumn("url", F.lit("x" * 501)))
+    assert counts(warehouse)["fact_listings"] == 40 and sorted(files_of(warehouse, "fact_listings")) == names
