@@ -10,28 +10,34 @@ from pyspark.sql import functions as F
 from dwellmart.functions.dates import date_key
 from dwellmart.functions.measures import as_decimal
 from dwellmart.functions.text import source_of
-from dwellmart.operators.lookup import lookup
+from dwellmart.operators.lookup import Lookup, lookups
 from dwellmart.operators.rules import required
 
 Dimension = Callable[[str], DataFrame]
 
 
-def _with_common_keys(rows: DataFrame, dimension: Dimension) -> DataFrame:
+def _with_keys(
+    rows: DataFrame, dimension: Dimension, of_property: bool, broadcast_members: int | None
+) -> DataFrame:
+    """The rows with their dimension keys, joined in one pass."""
     rows = rows.withColumns(
         {"date_id": date_key("date_scraped"), "source_name": source_of("listing_id")}
     )
-    rows = lookup(rows, dimension("dim_location"), ["city", "district"])
-    return lookup(rows, dimension("dim_source"), ["source_name"])
-
-
-def listing_facts(listings: DataFrame, dimension: Dimension) -> DataFrame:
+    wanted = [
+        Lookup(dimension("dim_location"), ["city", "district"]),
+        Lookup(dimension("dim_source"), ["source_name"]),
+    ]
+    if of_property:
+        shape = ["rooms", "building_year", "area_bucket"]
+        wanted.append(Lookup(dimension("dim_property"), shape, null_safe=["rooms", "building_year"]))
+    return lookups(rows, wanted, broadcast_members=broadcast_members)
+
+
+def listing_facts(
+    listings: DataFrame, dimension: Dimension, broadcast_members: int | None = None
+) -> DataFrame:
     """Listings with their four dimension keys, without a surrogate key of their own."""
-    keyed = lookup(
-        _with_common_keys(listings, dimension),
-        dimension("dim_property"),
-        ["rooms", "building_year", "area_bucket"],
-        null_safe=["rooms", "building_year"],
-    )
+    keyed = _with_keys(listings, dimension, True, broadcast_members)
     return keyed.select(
         F.col("listing_id").alias("listing_natural_key"),
         "date_id",
@@ -43,9 +49,11 @@ def listing_facts(listings: DataFrame, dimension: Dimension) -> DataFrame:
     )
 
 
-def macro_facts(records: DataFrame, dimension: Dimension) -> DataFrame:
+def macro_facts(
+    records: DataFrame, dimension: Dimension, broadcast_members: int | None = None
+) -> DataFrame:
     """Macro records with their three dimension keys, without a surrogate key of their own."""
-    return _with_common_keys(records, dimension).select(
+    return _with_keys(records, dimension, False, broadcast_members).select(
         F.col("listing_id").alias("indicator_natural_key"),
         "date_id",
         *[required(key, "listing_id").alias(key) for key in ("location_id", "source_id")],

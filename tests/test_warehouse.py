@@ -12,7 +12,7 @@ from dwellmart.fixed_values import FOREIGN_KEYS, TABLES
 from dwellmart.operators import dimensions as dims
 from dwellmart.operators.facts import unseen
 from dwellmart.operators.integrity import IntegrityError, audit, require_sound
-from dwellmart.operators.lookup import lookup
+from dwellmart.operators.lookup import Lookup, lookup, lookups
 from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate_frame
 from dwellmart.plans.daily import Folders, run_daily
@@ -130,14 +130,46 @@ def test_lookup(spark, hot_rows, join_strategy, how, null_safe):
     assert ("SortMergeJoin" in plan_of(found, "simple")) == (join_strategy == "shuffled")
 
 
-def test_frequent_keys_are_not_shuffled(spark, hot_rows, monkeypatch):
-    """With as many hot keys as there are keys, no row is left for the shuffled part."""
+def test_frequent_keys_are_found_in_one_pass(hot_rows, monkeypatch):
+    from dwellmart.operators.lookup import frequent_keys
+
+    monkeypatch.setattr("dwellmart.operators.lookup.HOT_KEYS", 8)
+    by_a, by_b = frequent_keys(hot_rows.repartition(7), [["a"], ["b"]])
+    hashes = hot_rows.select("a", F.xxhash64("a").alias("h")).distinct().collect()
+    names = {row["h"]: row["a"] for row in hashes}
+    shares = {row["a"]: row["count"] / 900 for row in hot_rows.groupBy("a").count().collect()}
+    assert {names[h]: s for h, s in by_a.items()} == {k: s for k, s in shares.items() if s > 1 / 8}
+    assert sorted(by_b.values()) == [0.5, 0.5]
+    assert frequent_keys(hot_rows.limit(0), [["a"]]) == [{}]
+
+
+def test_frequent_keys_are_spread(spark, hot_rows, monkeypatch):
+    """A third of the rows has one key: no task of the join gets much more than its share of it."""
     monkeypatch.setattr("dwellmart.operators.lookup.BROADCAST_MEMBERS", 0)
-    monkeypatch.setattr("dwellmart.operators.lookup.HOT_KEYS", 900)
-    members = spark.sql("SELECT * FROM VALUES (1, 10), (4, 30) AS m(a, key)")
-    found = lookup(hot_rows, members, ["a"])
-    assert found.count() == 900
-    assert "BroadcastHashJoin" in plan_of(found, "simple")
+    monkeypatch.setattr("dwellmart.operators.lookup.HOT_KEYS", 8)
+    for name, value in {"autoBroadcastJoinThreshold": "-1", "shuffle.partitions": "16",
+                        "adaptive.coalescePartitions.enabled": "false"}.items():
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        members = spark.sql("SELECT * FROM VALUES (1, 10), (4, 30) AS m(a, key)")
+        found = lookup(hot_rows, members, ["a"])
+        sizes = found.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+        assert found.count() == 900 and sizes < 250
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_rows_are_scanned_once_for_two_large_dimensions(spark, hot_rows, join_strategy, tmp_path):
+    hot_rows.write.parquet(str(tmp_path / "rows"))
+    stored = spark.read.parquet(str(tmp_path / "rows"))
+    first = spark.sql("SELECT * FROM VALUES (1, 10), (NULL, 20), (4, 30) AS m(a, one)")
+    second = spark.sql("SELECT * FROM VALUES ('x0', 5), ('x1', 6) AS m(b, two)")
+    found = lookups(stored, [Lookup(first, ["a"], ["a"]), Lookup(second, ["b"], how="inner")])
+    assert plan_of(found, "simple").count("FileScan") == 1
+    expected = [(i, a, b, {1: 10, None: 20, 4: 30}.get(a), {"x0": 5, "x1": 6}[b]) for i, a, b in columns_of(hot_rows, "id", "a", "b")]
+    assert sorted(map(str, columns_of(found, "id", "a", "b", "one", "two"))) == sorted(map(str, expected))
 
 
 def test_lookup_of_reduced_rows(spark, hot_rows, join_strategy):
