@@ -12,6 +12,7 @@ import sys
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -20,19 +21,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import oracle_queries
-from dwellmart.fixed_values import TABLES
+from dwellmart.fixed_values import FOREIGN_KEYS, TABLES
 from dwellmart.operators.clean import clean
-from dwellmart.operators.contract import record_rules
+from dwellmart.operators.contract import fact_rules, record_rules
 from dwellmart.operators.dedup import latest_per_listing
+from dwellmart.operators.facts import listing_facts
 from dwellmart.operators.integrity import audit
-from dwellmart.operators.rules import rejects
+from dwellmart.operators.kinds import listings_of, with_kind
+from dwellmart.operators.rules import keep_valid, rejects
 from dwellmart.plans.curate import CurateCounts, curate_frame
-from dwellmart.plans.daily import Folders, run_daily
+from dwellmart.plans.daily import Folders, ledger_of, run_daily
 from dwellmart.plans.load import append, fact_rejects, refresh
 from dwellmart.plans.reports import Reports
 from dwellmart.session import configure, scratch_root
 from dwellmart.sources.curated import read_curated
-from dwellmart.sources.landing import load_landing
+from dwellmart.sources.landing import land, load_landing
 from dwellmart.sources.table_feed import feeds, raw_listings
 from dwellmart.sources.warehouse import Warehouse
 
@@ -106,16 +109,77 @@ def _build_incremental(spark: SparkSession, tables: str, name: str) -> Loaded:
     """A load of the records up to a date, then everything appended to it."""
     full = daily(spark, tables)
     raw = load_landing(spark, full.folders.landing)
-    early = raw.where(F.col("date_scraped") < F.lit(oracle_queries.EARLY_UNTIL).cast("timestamp"))
     warehouse = Warehouse(spark, name, f"{scratch_root(spark)}/{name}")
-    refresh(warehouse, curate_frame(early))
+    refresh(warehouse, curate_frame(raw.where(F.col("date_scraped") < _early_until())))
     stored = {table: warehouse.largest(table, key) for table, key in DIMENSION_IDS.items()}
     append(warehouse, full.curated())
     return Loaded(full.folders, warehouse, full.counts, stored)
 
 
+def _build_latest(spark: SparkSession, tables: str, name: str) -> Loaded:
+    """As above, but later records replace the stored ones."""
+    full = daily(spark, tables)
+    raw = load_landing(spark, full.folders.landing)
+    warehouse = Warehouse(spark, name, f"{scratch_root(spark)}/{name}")
+    refresh(warehouse, curate_frame(raw.where(F.col("date_scraped") < _early_until())))
+    append(warehouse, full.curated(), latest=True)
+    return Loaded(full.folders, warehouse, full.counts, {})
+
+
+def _early_until():
+    return F.lit(oracle_queries.EARLY_UNTIL).cast("timestamp")
+
+
+def _build_replayed(spark: SparkSession, tables: str, name: str) -> Loaded:
+    """Two daily runs, with a drop in between that bears an earlier time, and the second run once more."""
+    root = f"{scratch_root(spark)}/{name}"
+    folders = Folders(f"{root}/landing", f"{root}/curated", rejected_facts=f"{root}/rejected")
+    warehouse = Warehouse(spark, name, f"{root}/warehouse")
+    early = {source: rows.where(F.col("date_scraped") < _early_until()) for source, rows in feeds(spark, tables).items()}
+    late = {source: rows.where(F.col("date_scraped") >= _early_until()) for source, rows in feeds(spark, tables).items()}
+    run_daily(spark, folders, warehouse, early, incremental=True, at=datetime(2026, 1, 1, tzinfo=timezone.utc))
+    land(late.pop("olx"), folders.landing, "olx", datetime(2025, 12, 31, tzinfo=timezone.utc))
+    for _ in range(2):
+        counts = run_daily(spark, folders, warehouse, late, incremental=True, at=datetime(2026, 1, 2, tzinfo=timezone.utc))
+    return Loaded(folders, warehouse, counts, {})
+
+
+def _build_broken(spark: SparkSession, tables: str, name: str) -> Loaded:
+    """The star with faults of every kind: repeated keys, nulls, members left out, keys without a member."""
+    full = daily(spark, tables)
+    star, warehouse = full.warehouse, Warehouse(spark, name, f"{scratch_root(spark)}/{name}")
+    warehouse.bootstrap()
+    dates, facts, macro = (star.table(t) for t in ("dim_date", "fact_listings", "fact_macro_indicators"))
+
+    def without(column: str, condition: str):
+        return F.expr(f"CASE WHEN {condition} THEN NULL ELSE {column} END").alias(column)
+
+    parts = {
+        "dim_date": [dates, dates.where("year = 1997")],
+        "dim_location": [star.table("dim_location").select("location_id", without("city", "location_id = 1"), "district")],
+        "dim_property": [star.table("dim_property").where("rooms IS NULL OR rooms <> 3")],
+        "dim_source": [star.table("dim_source").where("source_name <> 'olx'")],
+        "fact_listings": [
+            facts.withColumn("price", without("price", "area > 90")).withColumn("date_id", F.expr("IF(location_id = 2, 19000101, date_id)")),
+            facts.where("price_per_m2 < 5000"),
+        ],
+        "fact_macro_indicators": [
+            macro.withColumn("location_id", F.expr("IF(average_price_per_m2 < 2000, -location_id, location_id)"))
+            .withColumn("source_id", without("source_id", "average_price_per_m2 BETWEEN 5000 AND 5100")),
+            macro.where("average_price_per_m2 > 9000"),
+        ],
+    }
+    for table, frames in parts.items():
+        for rows in frames:
+            warehouse.append(table, rows)
+    return Loaded(full.folders, warehouse, full.counts, {})
+
+
 daily = _once("daily", _build_daily)
 incremental = _once("incremental", _build_incremental)
+latest = _once("latest", _build_latest)
+replayed = _once("replayed", _build_replayed)
+broken = _once("broken", _build_broken)
 
 
 # -- presentation -------------------------------------------------------------------------------
@@ -153,22 +217,40 @@ def _validate_rejects(spark: SparkSession, tables: str) -> DataFrame:
 
 
 def _etl_counts(spark: SparkSession, tables: str) -> DataFrame:
-    """Row counts of a daily run. The raw one was observed while the run read its input."""
+    """Row counts of a daily run, all from what it stored; the raw one is that of its ledger."""
     loaded = daily(spark, tables)
+    landed = ledger_of(loaded.warehouse, loaded.folders.landing).read_landed()
     stored = {
         "curated": loaded.curated(),
         "rejected facts": spark.read.parquet(loaded.folders.rejected_facts),
         **{table: loaded.warehouse.table(table) for table in TABLES},
     }
-    lines = spark.range(1).select(
-        F.lit("raw").alias("stage"), F.lit(loaded.counts.raw).cast("long").alias("rows")
-    )
+    lines = landed.agg(F.sum("rows").alias("rows")).select(F.lit("raw").alias("stage"), "rows")
     for stage, rows in stored.items():
         counted = rows.agg(F.count("*").alias("rows"))
         lines = lines.unionAll(counted.select(F.lit(stage).alias("stage"), "rows"))
     return lines
 
 
+def _lookup_large(spark: SparkSession, tables: str) -> DataFrame:
+    """Listing facts as they are made where every dimension is too large to be sent around."""
+    loaded = daily(spark, tables)
+    valid = keep_valid(with_kind(loaded.curated()), fact_rules())
+    return listing_facts(listings_of(valid), loaded.warehouse.table, broadcast_members=0)
+
+
+def _daily_replay(spark: SparkSession, tables: str) -> DataFrame:
+    """The drops of the ledger with their records and the run that loaded each, and the facts stored in the end."""
+    loaded = replayed(spark, tables)
+    ledger = ledger_of(loaded.warehouse, loaded.folders.landing)
+    drops = ledger.read_landed().join(ledger.read_loaded(), "drop", "full").select("drop", "rows", "run")
+    for table in ("fact_listings", "fact_macro_indicators"):
+        stored = loaded.warehouse.table(table).agg(F.count("*").alias("rows"))
+        drops = drops.unionAll(stored.select(F.lit(table).alias("drop"), "rows", F.lit("all").alias("run")))
+    taken = len(loaded.counts.drops)
+    return drops.unionAll(spark.range(1).select(F.lit("taken again"), F.lit(taken).cast("long"), F.lit("20260102_000000")))
+
+
 # -- queries over a loaded star ------------------------------------------------------------------
 
 
@@ -187,6 +269,20 @@ def _appended(name: str, surrogate: str) -> Query:
     return run
 
 
+def _resolved(name: str, surrogate: str) -> Query:
+    """Facts with the texts of their members, whose ids depend on the order of loads."""
+
+    def run(spark: SparkSession, tables: str) -> DataFrame:
+        warehouse = latest(spark, tables).warehouse
+        rows = warehouse.table(name).drop(surrogate)
+        for key, dimension in FOREIGN_KEYS[name].items():
+            if key != "date_id":
+                rows = rows.join(warehouse.table(dimension), key).drop(key)
+        return rows
+
+    return run
+
+
 def _append_new_members(spark: SparkSession, tables: str) -> DataFrame:
     """The dimension members an append added to an earlier load, with the ids they got."""
     loaded = incremental(spark, tables)
@@ -233,6 +329,11 @@ _QUERIES: dict[str, Query] = {
     "append_new_members": _append_new_members,
     "append_fact_listings": _appended("fact_listings", "listing_sk"),
     "append_fact_macro": _appended("fact_macro_indicators", "macro_sk"),
+    "append_latest": _resolved("fact_listings", "listing_sk"),
+    "append_latest_macro": _resolved("fact_macro_indicators", "macro_sk"),
+    "lookup_large": _lookup_large,
+    "fact_integrity_broken": lambda s, d: audit(broken(s, d).warehouse),
+    "daily_replay": _daily_replay,
     "adhoc_sql": _adhoc_sql,
     "kpi": _report("kpi"),
     "kpi_city": _report("kpi", city=CITY),

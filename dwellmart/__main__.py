@@ -8,16 +8,19 @@ from __future__ import annotations
 
 import argparse
 import logging
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame
 
-from dwellmart.fixed_values import SEARCH_LIMIT, SEARCH_MAX_PRICE, SEARCH_MIN_PRICE, SEARCH_MIN_ROOMS
+from dwellmart.fixed_values import DROP_STAMP, SEARCH_LIMIT, SEARCH_MAX_PRICE, SEARCH_MIN_PRICE, SEARCH_MIN_ROOMS
 from dwellmart.plans.curate import curate
+from dwellmart.plans.daily import Folders, land_once, run_daily
 from dwellmart.plans.load import append, refresh
 from dwellmart.plans.reports import Reports
 from dwellmart.session import build_session
 from dwellmart.sources.curated import read_curated
-from dwellmart.sources.landing import QUARANTINE, STRICT
+from dwellmart.sources.landing import QUARANTINE, STRICT, load_landing
+from dwellmart.sources.ledger import Ledger
 from dwellmart.sources.warehouse import Warehouse
 
 REPORTS = [
@@ -26,6 +29,10 @@ REPORTS = [
 ]
 
 
+def stamp(text: str) -> datetime:
+    return datetime.strptime(text, DROP_STAMP).replace(tzinfo=timezone.utc)
+
+
 def arguments() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="dwellmart")
     parser.add_argument("--master", help="Spark master; left to spark-submit by default")
@@ -43,6 +50,12 @@ def arguments() -> argparse.ArgumentParser:
     tables.add_argument("--root", required=True, help="folder below which loads are stored")
     tables.add_argument("--star", help="folder of a published star to register first")
 
+    job = jobs.add_parser("land", help="records of one source to a drop of the landing zone")
+    job.add_argument("--input", required=True, help="file or folder of newline-delimited JSON")
+    job.add_argument("--landing", required=True)
+    job.add_argument("--source", required=True)
+    job.add_argument("--at", type=stamp, help="time of the drop, yyyymmdd_hhmmss; now by default")
+
     jobs.add_parser("init", parents=[tables], help="create the database and empty tables")
 
     job = jobs.add_parser("load", parents=[tables], help="curated zone to star schema")
@@ -51,6 +64,14 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--mode", choices=[STRICT, QUARANTINE], default=QUARANTINE)
     job.add_argument("--rejected", help="folder for curated rows that cannot become facts")
 
+    job = jobs.add_parser("daily", parents=[tables], help="curate and load what was landed")
+    job.add_argument("--landing", required=True)
+    job.add_argument("--curated", required=True)
+    job.add_argument("--full", action="store_true", help="everything landed; default is what is not loaded yet")
+    job.add_argument("--mode", choices=[STRICT, QUARANTINE], default=STRICT, help="for unreadable records")
+    job.add_argument("--rejected-records", help="folder for rejected records (quarantine)")
+    job.add_argument("--rejected", help="folder for curated rows that cannot become facts")
+
     job = jobs.add_parser("report", parents=[tables], help="print a report")
     job.add_argument("name", choices=REPORTS)
     job.add_argument("--city")
@@ -100,6 +121,13 @@ def main(given: list[str] | None = None) -> None:
         print(curate(spark, chosen.landing, chosen.curated, chosen.mode, chosen.rejected))
         return
 
+    if chosen.job == "land":
+        ledger = Ledger(spark, chosen.landing, "")
+        rows = load_landing(spark, chosen.input)
+        drop = land_once(ledger, rows, chosen.source, chosen.at or datetime.now(timezone.utc))
+        print(ledger.path_of(drop))
+        return
+
     warehouse = Warehouse(spark, chosen.database, chosen.root)
     if chosen.star:
         warehouse.attach(chosen.star)
@@ -110,6 +138,9 @@ def main(given: list[str] | None = None) -> None:
         counts = load(warehouse, read_curated(spark, chosen.curated), chosen.mode, chosen.rejected)
         logging.getLogger(__name__).info("%s", counts)
         print(warehouse.location_of("fact_listings").rsplit("/", 1)[0])
+    elif chosen.job == "daily":
+        folders = Folders(chosen.landing, chosen.curated, chosen.rejected_records, chosen.rejected)
+        print(run_daily(spark, folders, warehouse, {}, chosen.mode, incremental=not chosen.full))
     elif chosen.job == "report":
         tell(report_of(Reports(warehouse), chosen), chosen.rows, chosen.output)
     else:

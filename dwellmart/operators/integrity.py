@@ -8,11 +8,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import FOREIGN_KEYS, TABLES, UNIQUE_KEYS
-from dwellmart.operators.lookup import lookup
 from dwellmart.sources.warehouse import Warehouse
 
 
@@ -25,39 +24,53 @@ def duplicate_keys(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.groupBy(*keys).agg(F.count("*").alias("rows")).where(F.col("rows") > 1)
 
 
-def orphans(facts: DataFrame, members: DataFrame, key: str) -> DataFrame:
-    """Foreign key values without a member, with their row count.
+def audit(warehouse: Warehouse) -> DataFrame:
+    """Every constraint with the number of rows or keys that violate it (all zero when sound).
 
-    Facts are reduced to one row per key value before the join.
+    Null counts come from file footers. Of a fact table, the unique key and all foreign keys are
+    counted in one scan.
     """
-    used = facts.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("rows"))
-    return lookup(used, members.select(key), [key], how="left_anti", reduced=True)
+    parts = []
+    for table in TABLES:
+        line, nulls = f"{table}: not null", warehouse.null_count(table)
+        parts.append(warehouse.spark.range(1).select(F.lit(line).alias("constraint"), F.lit(nulls).cast("long").alias("violations")))
+        parts.append(_keys_of_fact(warehouse, table) if table in FOREIGN_KEYS else _keys_of_dimension(warehouse, table))
+    return reduce(DataFrame.unionAll, parts)
 
 
-def audit(warehouse: Warehouse) -> DataFrame:
-    """Every constraint with the number of rows or keys that violate it (all zero when sound)."""
+def _keys_of_dimension(warehouse: Warehouse, table: str) -> DataFrame:
+    repeated = duplicate_keys(warehouse.table(table), UNIQUE_KEYS[table])
+    return repeated.agg(F.count("*").alias("violations")).select(
+        F.lit(f"{table}: unique").alias("constraint"), "violations"
+    )
 
-    def line(name: str, violations: Column, counted: DataFrame) -> DataFrame:
-        return counted.select(
-            F.lit(name).alias("constraint"),
-            F.coalesce(violations, F.lit(0)).cast("long").alias("violations"),
-        )
 
-    one_row = warehouse.spark.range(1)
-    found = F.col("violations")
-    lines = []
-    for table in TABLES:
-        rows = warehouse.table(table)
-        nulls = F.lit(warehouse.null_count(table))
-        lines.append(line(f"{table}: not null", nulls, one_row))
-        repeated = duplicate_keys(rows, UNIQUE_KEYS[table])
-        counted = repeated.agg(F.count("*").alias("violations"))
-        lines.append(line(f"{table}: unique", found, counted))
-        for key, dimension in FOREIGN_KEYS.get(table, {}).items():
-            lost = orphans(rows, warehouse.table(dimension), key)
-            counted = lost.agg(F.sum("rows").alias("violations"))
-            lines.append(line(f"{table}: {key} in {dimension}", found, counted))
-    return reduce(DataFrame.unionAll, lines)
+def _keys_of_fact(warehouse: Warehouse, table: str) -> DataFrame:
+    """Repeated unique keys, and rows whose foreign key has no member; null foreign keys are left to
+    the count of nulls.
+
+    One aggregation over grouping sets takes each key apart; what is left of a foreign key, one row a
+    value, meets the members of all dimensions in one join.
+    """
+    (own,), foreign = UNIQUE_KEYS[table], FOREIGN_KEYS[table]
+    lines = {0: f"{table}: unique"} | {i: f"{table}: {key} in {dim}" for i, (key, dim) in enumerate(foreign.items(), 1)}
+    columns = [own, *foreign]
+    sets = warehouse.table(table).groupingSets([[F.col(c)] for c in columns], *columns)
+    which, key = F.lit(0), F.pmod(F.hash(own), F.lit(2**31 - 1))  # spreads repeated own keys; they meet no member
+    for i, column in enumerate(foreign, 1):
+        which = F.when(F.grouping(column) == 0, i).otherwise(which)
+        key = F.when(F.grouping(column) == 0, F.col(column)).otherwise(key)
+    counted = sets.agg(which.alias("which"), key.cast("int").alias("key"), F.count("*").alias("rows")).select("which", "key", "rows")
+    doubtful = counted.where("which > 0 AND key IS NOT NULL OR which = 0 AND rows > 1")
+    members = reduce(
+        DataFrame.unionAll,
+        [warehouse.table(dim).select(F.lit(i).alias("which"), F.col(key).alias("key")).distinct()
+         for i, (key, dim) in enumerate(foreign.items(), 1)],
+    ).withColumn("known", F.lit(True))
+    lost = doubtful.join(members, ["which", "key"], "left").where("known IS NULL")
+    found = lost.groupBy("which").agg(F.sum(F.when(F.col("which") == 0, 1).otherwise(F.col("rows"))).alias("violations"))
+    every = warehouse.spark.createDataFrame(list(lines.items()), "which INT, constraint STRING")
+    return every.join(found, "which", "left").select("constraint", F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
 def require_sound(warehouse: Warehouse) -> None:

@@ -22,7 +22,8 @@ log = logging.getLogger(__name__)
 @dataclass(frozen=True)
 class CurateCounts:
     """Rows seen by a curate run. ``raw`` is observed while the data passes; tasks that had to be
-    repeated may count twice in it. ``curated`` is read back from what was written."""
+    repeated may count twice in it, so the daily run takes it from its ledger instead. ``curated`` is
+    read back from what was written."""
 
     raw: int
     curated: int

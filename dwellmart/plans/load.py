@@ -138,6 +138,12 @@ def _load(
     folder = rejected or target.rejects_folder()
     if mode == QUARANTINE:
         _store_rejects(fact_rejects(curated), folder, fresh)
+    return counts_of(target, folder)
+
+
+def counts_of(target: Warehouse, rejected: str | None = None) -> LoadCounts:
+    """The rows of the facts and of the rejects, as they are stored."""
+    folder = rejected or target.rejects_folder()
     listings, macro = (target.table(t).count() for t in ("fact_listings", "fact_macro_indicators"))
     stored = _stored(target.spark, folder)
     return LoadCounts(listings, macro, 0 if stored is None else stored.count(), folder)

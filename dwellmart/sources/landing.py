@@ -44,10 +44,13 @@ def load_landing(
         raise
 
 
+def drop_name(source: str, at: datetime) -> str:
+    return f"{source}_{at.strftime(DROP_STAMP)}"
+
+
 def land(rows: DataFrame, zone: str, source: str, at: datetime | None = None) -> str:
     """Write one drop of ``source`` and return its path. A broken record aborts the drop."""
-    stamp = (at or datetime.now(timezone.utc)).strftime(DROP_STAMP)
-    drop = f"{zone.rstrip('/')}/{source}_{stamp}"
+    drop = f"{zone.rstrip('/')}/{drop_name(source, at or datetime.now(timezone.utc))}"
     records = rows.select(*RAW_COLUMNS)
     enforce(records, record_rules(records), "listing_id").write.json(drop)
     return drop

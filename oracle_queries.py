@@ -226,47 +226,66 @@ _MACRO = _star(
        JOIN dim_location l ON f.location_id = l.location_id"""
 )
 
-_INTEGRITY = " UNION ALL ".join(
-    f"SELECT '{line}' AS \"constraint\", CAST(({count}) AS BIGINT) AS violations"
-    for line, count in {
-        "dim_date: not null": "SELECT count(*) FROM dim_date WHERE date_id IS NULL",
-        "dim_date: unique":
-            "SELECT count(*) FROM (SELECT 1 FROM dim_date GROUP BY date_id HAVING count(*) > 1)",
-        "dim_location: not null":
-            "SELECT count(*) FROM dim_location WHERE city IS NULL OR district IS NULL",
-        "dim_location: unique": "SELECT count(*) FROM (SELECT 1 FROM dim_location "
-            "GROUP BY city, district HAVING count(*) > 1)",
-        "dim_property: not null": "SELECT count(*) FROM dim_property WHERE area_bucket IS NULL",
-        "dim_property: unique": "SELECT count(*) FROM (SELECT 1 FROM dim_property "
-            "GROUP BY rooms, building_year, area_bucket HAVING count(*) > 1)",
-        "dim_source: not null": "SELECT count(*) FROM dim_source WHERE source_name IS NULL",
-        "dim_source: unique": "SELECT count(*) FROM (SELECT 1 FROM dim_source "
-            "GROUP BY source_name HAVING count(*) > 1)",
-        "fact_listings: not null": "SELECT count(*) FROM fact_listings "
-            "WHERE price IS NULL OR area IS NULL OR price_per_m2 IS NULL OR date_scraped IS NULL",
-        "fact_listings: unique": "SELECT count(*) FROM (SELECT 1 FROM fact_listings "
-            "GROUP BY listing_natural_key HAVING count(*) > 1)",
-        **{
-            f"fact_listings: {key} in {dim}": "SELECT count(*) FROM fact_listings "
-            f"WHERE {key} NOT IN (SELECT {key} FROM {dim})"
-            for key, dim in {
-                "date_id": "dim_date", "location_id": "dim_location",
-                "property_id": "dim_property", "source_id": "dim_source",
-            }.items()
-        },
-        "fact_macro_indicators: not null":
-            "SELECT count(*) FROM fact_macro WHERE average_price_per_m2 IS NULL",
-        "fact_macro_indicators: unique": "SELECT count(*) FROM (SELECT 1 FROM fact_macro "
-            "GROUP BY indicator_natural_key HAVING count(*) > 1)",
-        **{
-            f"fact_macro_indicators: {key} in {dim}": "SELECT count(*) FROM fact_macro "
-            f"WHERE {key} NOT IN (SELECT {key} FROM {dim})"
-            for key, dim in {
-                "date_id": "dim_date", "location_id": "dim_location", "source_id": "dim_source",
-            }.items()
-        },
-    }.items()
-)
+
+
+def _integrity(p: str = "") -> str:
+    """A line per constraint, over tables named with prefix ``p``."""
+    unique = {
+        "dim_date": "date_id", "dim_location": "city, district", "dim_property": "rooms, building_year, area_bucket",
+        "dim_source": "source_name", "fact_listings": "listing_natural_key", "fact_macro": "indicator_natural_key",
+    }
+    needed = {
+        "dim_date": ["date_id", "year"], "dim_location": ["city", "district"], "dim_property": ["area_bucket"],
+        "dim_source": ["source_name"],
+        "fact_listings": ["date_id", "location_id", "property_id", "source_id", "date_scraped", "price", "area", "price_per_m2"],
+        "fact_macro": ["date_id", "location_id", "source_id", "date_recorded", "average_price_per_m2"],
+    }
+    dimensions = {"date_id": "dim_date", "location_id": "dim_location", "property_id": "dim_property", "source_id": "dim_source"}
+    lines = {}
+    for table in unique:
+        name = "fact_macro_indicators" if table == "fact_macro" else table
+        nulls = " + ".join(f"count(*) - count({column})" for column in needed[table])
+        lines[f"{name}: not null"] = f"SELECT {nulls} FROM {p}{table}"
+        lines[f"{name}: unique"] = f"SELECT count(*) FROM (SELECT 1 FROM {p}{table} GROUP BY {unique[table]} HAVING count(*) > 1)"
+        for key, dimension in dimensions.items():
+            if table.startswith("fact") and key in needed[table]:
+                lines[f"{name}: {key} in {dimension}"] = (
+                    f"SELECT count(*) FROM {p}{table} WHERE {key} NOT IN (SELECT {key} FROM {p}{dimension})"
+                )
+    return " UNION ALL ".join(
+        f"SELECT '{line}' AS \"constraint\", CAST(({count}) AS BIGINT) AS violations" for line, count in lines.items()
+    )
+
+
+# The faults put into a star to see the audit find them.
+_BROKEN = """
+    broken_dim_date AS (SELECT * FROM dim_date UNION ALL SELECT * FROM dim_date WHERE year = 1997),
+    broken_dim_location AS (
+        SELECT * REPLACE (CASE WHEN location_id <> 1 THEN city END AS city) FROM dim_location),
+    broken_dim_property AS (SELECT * FROM dim_property WHERE rooms IS NULL OR rooms <> 3),
+    broken_dim_source AS (SELECT * FROM dim_source WHERE source_name <> 'olx'),
+    broken_fact_listings AS (
+        SELECT * REPLACE (CASE WHEN area <= 90 THEN price END AS price,
+                          CASE WHEN location_id = 2 THEN 19000101 ELSE date_id END AS date_id)
+        FROM fact_listings
+        UNION ALL SELECT * FROM fact_listings WHERE price_per_m2 < 5000),
+    broken_fact_macro AS (
+        SELECT * REPLACE (CASE WHEN average_price_per_m2 < 2000 THEN -location_id ELSE location_id END AS location_id,
+                          CASE WHEN average_price_per_m2 NOT BETWEEN 5000 AND 5100 THEN source_id END AS source_id)
+        FROM fact_macro
+        UNION ALL SELECT * FROM fact_macro WHERE average_price_per_m2 > 9000)"""
+
+_REPLAYED = f"""
+    SELECT source || stamp AS drop, (SELECT count(*) FROM raw
+           WHERE starts_with(listing_id, source) AND (date_scraped < TIMESTAMP '{EARLY_UNTIL}') = early) AS "rows",
+           run
+    FROM (VALUES ('otodom_', '20260101_000000', TRUE, '20260101_000000'), ('olx_', '20260101_000000', TRUE, '20260101_000000'),
+                 ('gus_', '20260101_000000', TRUE, '20260101_000000'), ('olx_', '20251231_000000', FALSE, '20260102_000000'),
+                 ('otodom_', '20260102_000000', FALSE, '20260102_000000'), ('gus_', '20260102_000000', FALSE, '20260102_000000'))
+         AS drops(source, stamp, early, run)
+    UNION ALL SELECT 'fact_listings', (SELECT count(*) FROM fact_listings), 'all'
+    UNION ALL SELECT 'fact_macro_indicators', (SELECT count(*) FROM fact_macro), 'all'
+    UNION ALL SELECT 'taken again', 0, '20260102_000000'"""
 
 _COUNTS = """
     SELECT 'raw' AS stage, CAST((SELECT count(*) FROM raw) AS BIGINT) AS "rows"
@@ -367,7 +386,18 @@ def statements(city: str) -> dict[str, str]:
         "dim_source": _upto_dimensions("SELECT * FROM dim_source"),
         "fact_listings": _star(f"SELECT {_FACT_OUT} FROM fact_listings"),
         "fact_macro": _star(f"SELECT {_MACRO_OUT} FROM fact_macro"),
-        "fact_integrity": _star(_INTEGRITY),
+        "fact_integrity": _star(_integrity()),
+        "fact_integrity_broken": _star(f", {_BROKEN} {_integrity('broken_')}"),
+        "daily_replay": _star(_REPLAYED),
+        "lookup_large": _star(f"SELECT {_FACT_OUT} FROM fact_listings"),
+        "append_latest": _star(f"SELECT {_FACT_OUT} FROM (SELECT listing_natural_key, date_id, date_scraped, price, area, "
+                               "price_per_m2, url, city, district, rooms, building_year, area_bucket, source_name FROM wide)"),
+        "append_latest_macro": _star(
+            f"""SELECT {_MACRO_OUT} FROM (SELECT f.indicator_natural_key, f.date_id, f.date_recorded, f.average_price_per_m2,
+                       l.city, l.district, s.source_name
+                FROM fact_macro f JOIN dim_location l ON f.location_id = l.location_id
+                JOIN dim_source s ON f.source_id = s.source_id)"""
+        ),
         "etl_counts": _star(_COUNTS),
         "append_new_members": _APPEND_MEMBERS,
         "append_fact_listings": f"{_APPEND_FACTS} SELECT {_FACT_OUT} FROM fact_listings",
