@@ -191,36 +191,39 @@ def _add_facts(
     fresh: bool,
     batch: DataFrame | None = None,
 ) -> None:
-    """Append facts, each file ordered so that its column statistics can rule out pages.
+    """Append facts, laid out so that a range of their first order column is in few files.
 
     What an append finds to be new is stored first, because the lookups may start from it more
     than once and should not repeat the comparison with the stored facts. A ``batch``, all records
     of the load whether they can become facts or not, outdates the stored facts of earlier times.
     """
-    last = 0
-    if fresh:
-        ordered = facts_of(rows, target.table).sortWithinPartitions(*order)
-        target.append(table, with_surrogate_key(ordered, id_column, last))
-        return
-    last = target.largest(table, id_column)
-    natural_key = UNIQUE_KEYS[table][0]
-    stored, replaced = target.table(table), None
-    if batch is not None:
-        replaced = written(outdated(batch, stored, natural_key, FACT_TIMES[table], id_column), "outdated")
-    files = [] if replaced is None else [row[0] for row in replaced.select("_file").distinct().collect()]
-    new = written(unseen(rows, stored, natural_key), "unseen")
-    if not files:
-        ordered = facts_of(new, target.table).sortWithinPartitions(*order)
-        target.append(table, with_surrogate_key(ordered, id_column, last))
-        return
-    # Copy on write: the files that hold an outdated fact are written anew, with the later records
-    # and what is new; no other file is touched.
-    kept = target.stored_files(table, files).join(
-        replaced.select(F.col("listing_id").alias(natural_key)), natural_key, "left_anti"
-    )
-    added = with_surrogate_key(facts_of(new, target.table), id_column, last)
-    later = rows.join(replaced.select("listing_id"), "listing_id", "left_semi")
-    same_id = replaced.select(F.col("listing_id").alias(natural_key), id_column)
-    updated = facts_of(later, target.table).join(same_id, natural_key)
-    everything = kept.unionByName(added).unionByName(updated)
-    target.replace_files(table, files, everything.sortWithinPartitions(*order))
+    last, files = 0, []
+    if not fresh:
+        last = target.largest(table, id_column)
+        natural_key, stored = UNIQUE_KEYS[table][0], target.table(table)
+        if batch is not None:
+            replaced = written(outdated(batch, stored, natural_key, FACT_TIMES[table], id_column), "outdated")
+            files = [row[0] for row in replaced.select("_file").distinct().collect()]
+        later = rows
+        rows = written(unseen(rows, stored, natural_key), "unseen")
+    added = with_surrogate_key(_laid_out(facts_of(rows, target.table), order), id_column, last)
+    if files:
+        # Copy on write: the files that hold an outdated fact are written anew, with the later records
+        # and what is new; no other file is touched.
+        kept = target.stored_files(table, files).join(
+            replaced.select(F.col("listing_id").alias(natural_key)), natural_key, "left_anti"
+        )
+        later = later.join(replaced.select("listing_id"), "listing_id", "left_semi")
+        same_id = replaced.select(F.col("listing_id").alias(natural_key), id_column)
+        updated = facts_of(later, target.table).join(same_id, natural_key)
+        everything = kept.unionByName(added).unionByName(updated)
+        target.replace_files(table, files, _laid_out(everything, order))
+    else:
+        target.append(table, added)
+    target.note_ranges(table, order[0])
+
+
+def _laid_out(facts: DataFrame, order: list[str]) -> DataFrame:
+    """Facts dealt over the files by ranges of all order columns, so that a value of the first one that
+    many facts share is spread over several files, and ordered inside them."""
+    return facts.repartitionByRange(*order).sortWithinPartitions(*order)

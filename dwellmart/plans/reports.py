@@ -161,19 +161,17 @@ class Reports:
     def _listings(self, city: str | None) -> DataFrame:
         """Listing facts, of one city if one is given.
 
-        Facts are ordered by location_id within their files. The range of a city's ids, taken by
-        scalar subqueries, reaches the scan and rules out row groups; the join then decides.
-        The ends are taken by sorting, not by min and max: Spark merges two aggregates over the
-        same rows into one struct, and a field of a struct is not handed to the scan.
+        Facts are laid out by location_id over their files, and ordered by it inside. The range of a
+        city's ids picks the files and, inside them, rules out row groups; the join then decides.
         """
         facts = self.warehouse.table("fact_listings")
         if city is None or city == ALL_CITIES:
             return facts
-        here = self.warehouse.table("dim_location").where(F.col("city") == city)
-        here = here.select("location_id")
-        lowest = here.orderBy(F.asc("location_id")).limit(1).scalar()
-        highest = here.orderBy(F.desc("location_id")).limit(1).scalar()
-        near = facts.where((F.col("location_id") >= lowest) & (F.col("location_id") <= highest))
+        here = self.warehouse.table("dim_location").where(F.col("city") == city).select("location_id")
+        lowest, highest = here.agg(F.min("location_id"), F.max("location_id")).first()
+        if lowest is None:
+            return facts.limit(0)
+        near = self.warehouse.between("fact_listings", "location_id", lowest, highest)
         return lookup(near, here, ["location_id"], how="left_semi")
 
     def _join(

@@ -14,6 +14,8 @@ from dwellmart.sources.files import Files, at_once
 
 # A merge under way is written down in a hidden file of the table's folder, which readers skip.
 MERGE_NOTE = "_merge-"
+# Likewise the least and largest value that each file has in the column its table is laid out by.
+FILE_RANGES = "_ranges"
 
 
 def _quoted(path: str) -> str:
@@ -33,6 +35,7 @@ class Warehouse:
         self.database = database
         self.root = root.rstrip("/")
         self.version = 0  # moves on with every change, so remembered results can be told apart
+        self._ranges: dict[str, tuple[int, list[tuple[str, int | None, int | None]]]] = {}
 
     # -- catalog -----------------------------------------------------------------------------
 
@@ -125,6 +128,39 @@ class Warehouse:
         folder = self.location_of(table)
         return self.spark.read.schema(self.table(table).schema).parquet(*[f"{folder}/{name}" for name in names])
 
+    def note_ranges(self, table: str, column: str) -> None:
+        """Note the range of an integer column in every file that has none noted yet."""
+        folder = f"{self.location_of(table)}/{FILE_RANGES}"
+        self.spark.catalog.refreshTable(self.name_of(table))
+        noted = {name for name, low, _ in self._file_ranges(table) if low is not None}
+        new = [name for name in self._file_names(table) if name not in noted]
+        if new:
+            found = self.stored_files(table, new).groupBy(F.col("_metadata.file_name").alias("file"))
+            ranges = found.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+            ranges.coalesce(1).write.mode("append").parquet(folder)
+        self.version += 1
+
+    def between(self, table: str, column: str, low: int, high: int) -> DataFrame:
+        """The rows of a table with a column from low to high; files known to hold none aren't opened."""
+        known = self._ranges.get(table)
+        if known is None or known[0] != self.version:
+            known = self._ranges[table] = (self.version, self._file_ranges(table))
+        names = [name for name, least, most in known[1] if least is None or (least <= high and low <= most)]
+        rows = self.table(table) if len(names) == len(known[1]) else self.stored_files(table, names) if names else self.table(table).limit(0)
+        return rows.where(F.col(column).between(low, high))
+
+    def _file_names(self, table: str) -> list[str]:
+        return [path.rsplit("/", 1)[1] for path in self.table(table).inputFiles()]
+
+    def _file_ranges(self, table: str) -> list[tuple[str, int | None, int | None]]:
+        """Every file with its range, None where it isn't noted."""
+        folder = f"{self.location_of(table)}/{FILE_RANGES}"
+        noted = {}
+        if Files(self.spark).exists(folder):
+            stored = self.spark.read.schema("file STRING, low INT, high INT").parquet(folder)
+            noted = {row["file"]: (row["low"], row["high"]) for row in stored.collect()}
+        return [(name, *noted.get(name, (None, None))) for name in self._file_names(table)]
+
     def replace_files(self, table: str, names: Sequence[str], rows: DataFrame) -> None:
         """Put rows, which may be read from these very files, in the place of some files of a table.
 

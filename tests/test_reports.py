@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from conftest import columns_of, plan_of
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import SEARCH_HEADINGS
 from dwellmart.operators.normalize import transform
@@ -176,11 +177,41 @@ def test_facts_are_summed_before_they_meet_a_dimension(market):
 
 
 def test_the_range_of_a_city_reaches_the_scan(market):
-    """Merged subqueries would arrive as a struct field, which the scan cannot use."""
     plan = plan_of(market.kpi("Warsaw"))
     scan = next(part for part in plan.split("\n\n") if "fact_listings" in part and "PushedFilters" in part)
-    assert "location_id" in scan and "Hosting operator id = 1 " in plan
-    assert "mergedValue" not in plan
+    assert "GreaterThanOrEqual(location_id," in scan and "LessThanOrEqual(location_id," in scan
+
+
+def test_files_without_the_city_are_not_opened(spark, reports, raw):
+    """16 files, one city with half of the listings; an append adds files of its own."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", 16)
+    try:
+        records = [{"city": "hot" if i % 2 else f"town {i % 14:02}", "price": 1000.0 + i} for i in range(600)]
+        market = reports(*records)
+        more = [{"listing_id": f"olx_new{i}", "city": "hot" if i % 2 else "town 04", "price": 5.0 * (i + 1)} for i in range(100)]
+        for added in (0, 100):
+            if added:
+                append(market.warehouse, transform(raw(*more)))
+            everything, hot, town = (
+                    sum("/fact_listings/" in file for file in market._listings(c).inputFiles()) for c in (None, "Hot", "Town 04")
+                )
+            assert everything == 16 + added * 16 // 100
+            assert 4 <= hot < everything and town <= (11 if added else 4)
+            count, _, total = market.kpi("Town 04").first()
+            wanted = [r["price"] for r in records + more[:added] if r["city"] == "town 04"]
+            assert (count, float(total)) == (len(wanted), pytest.approx(sum(wanted) / len(wanted), abs=0.006))
+            assert market.kpi("Hot").first()[0] == 300 + added // 2
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", 4)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_files_without_a_noted_range_are_opened(reports):
+    market = reports({"city": "lodz"}, {"city": "hel"})
+    facts = market.warehouse.table("fact_listings")
+    market.warehouse.append("fact_listings", facts.withColumn("listing_natural_key", F.concat("listing_natural_key", F.lit("x"))))
+    assert rows(market.kpi("Lodz"))[0][0] == 2
 
 
 def test_search_takes_the_cheapest_before_looking_up_texts(market):
