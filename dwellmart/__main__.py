@@ -1,7 +1,7 @@
 """Command line: python -m dwellmart <job> ..., or spark-submit with the same arguments.
 
-Without a persistent catalog a later process does not know the tables; --star names the folder of
-a published star (printed by load) and registers them again.
+What is published is noted below --root, so a later process finds the tables without a persistent catalog.
+--star publishes the folder of an earlier load (printed by load) again.
 """
 
 from __future__ import annotations
@@ -48,7 +48,7 @@ def arguments() -> argparse.ArgumentParser:
     tables = argparse.ArgumentParser(add_help=False)
     tables.add_argument("--database", required=True)
     tables.add_argument("--root", required=True, help="folder below which loads are stored")
-    tables.add_argument("--star", help="folder of a published star to register first")
+    tables.add_argument("--star", help="folder of an earlier load to publish first")
 
     job = jobs.add_parser("land", help="records of one source to a drop of the landing zone")
     job.add_argument("--input", required=True, help="file or folder of newline-delimited JSON")
@@ -58,6 +58,9 @@ def arguments() -> argparse.ArgumentParser:
 
     jobs.add_parser("init", parents=[tables], help="create the database and empty tables")
 
+    job = jobs.add_parser("vacuum", parents=[tables], help="delete old loads and what failed ones have left")
+    job.add_argument("--keep", type=int, default=2, help="loads to keep")
+
     job = jobs.add_parser("load", parents=[tables], help="curated zone to star schema")
     job.add_argument("--curated", required=True)
     job.add_argument("--append", action="store_true", help="add what is new; default is a full load")
@@ -131,7 +134,9 @@ def main(given: list[str] | None = None) -> None:
     warehouse = Warehouse(spark, chosen.database, chosen.root)
     if chosen.star:
         warehouse.attach(chosen.star)
-    if chosen.job == "init":
+    if chosen.job == "vacuum":
+        print(*warehouse.vacuum(chosen.keep), sep="\n")
+    elif chosen.job == "init":
         warehouse.bootstrap()
     elif chosen.job == "load":
         load = append if chosen.append else refresh

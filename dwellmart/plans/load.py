@@ -30,6 +30,10 @@ from dwellmart.sources.landing import QUARANTINE, STRICT
 from dwellmart.sources.warehouse import Warehouse
 
 
+# Tables whose reports ask for a range of the first order column: it is to be found in few files.
+CLUSTERED = {"fact_listings"}
+
+
 @dataclass(frozen=True)
 class LoadCounts:
     """Rows of the star and of the folder of rejects after a load, read back from what was written."""
@@ -191,7 +195,7 @@ def _add_facts(
     fresh: bool,
     batch: DataFrame | None = None,
 ) -> None:
-    """Append facts, laid out so that a range of their first order column is in few files.
+    """Append facts, laid out so that file statistics can rule out what a report doesn't need.
 
     What an append finds to be new is stored first, because the lookups may start from it more
     than once and should not repeat the comparison with the stored facts. A ``batch``, all records
@@ -206,7 +210,8 @@ def _add_facts(
             files = [row[0] for row in replaced.select("_file").distinct().collect()]
         later = rows
         rows = written(unseen(rows, stored, natural_key), "unseen")
-    added = with_surrogate_key(_laid_out(facts_of(rows, target.table), order), id_column, last)
+    clustered = table in CLUSTERED
+    added = with_surrogate_key(_laid_out(facts_of(rows, target.table), order, clustered), id_column, last)
     if files:
         # Copy on write: the files that hold an outdated fact are written anew, with the later records
         # and what is new; no other file is touched.
@@ -217,13 +222,15 @@ def _add_facts(
         same_id = replaced.select(F.col("listing_id").alias(natural_key), id_column)
         updated = facts_of(later, target.table).join(same_id, natural_key)
         everything = kept.unionByName(added).unionByName(updated)
-        target.replace_files(table, files, _laid_out(everything, order))
+        target.replace_files(table, files, _laid_out(everything, order, clustered))
     else:
         target.append(table, added)
-    target.note_ranges(table, order[0])
+    if clustered:
+        target.note_ranges(table, order[0])
 
 
-def _laid_out(facts: DataFrame, order: list[str]) -> DataFrame:
-    """Facts dealt over the files by ranges of all order columns, so that a value of the first one that
-    many facts share is spread over several files, and ordered inside them."""
-    return facts.repartitionByRange(*order).sortWithinPartitions(*order)
+def _laid_out(facts: DataFrame, order: list[str], clustered: bool) -> DataFrame:
+    """Facts ordered inside their files. Clustered ones are dealt over the files by ranges of all order
+    columns, so that a value of the first one that many facts share is spread over several files."""
+    dealt = facts.repartitionByRange(*order) if clustered else facts
+    return dealt.sortWithinPartitions(*order)

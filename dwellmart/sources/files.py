@@ -33,6 +33,11 @@ class Files:
             return []
         return sorted(status.getPath().getName() for status in system.listStatus(found))
 
+    def make_folder(self, path: str) -> None:
+        """Create a folder that may be there already."""
+        system, found = self._open(path)
+        system.mkdirs(found)
+
     def delete(self, path: str) -> None:
         """Remove a file, or a folder with all that is in it; what is absent is no error."""
         system, found = self._open(path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Sequence
 
@@ -10,12 +11,14 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import NULLABLE_TABLE_COLUMNS, TABLES
+from dwellmart.session import configure
 from dwellmart.sources.files import Files, at_once
 
 # A merge under way is written down in a hidden file of the table's folder, which readers skip.
 MERGE_NOTE = "_merge-"
 # Likewise the least and largest value that each file has in the column its table is laid out by.
 FILE_RANGES = "_ranges"
+_VARCHAR = re.compile(r"VARCHAR\(\d+\)")  # a length is checked on writing; readers know no such type
 
 
 def _quoted(path: str) -> str:
@@ -26,8 +29,10 @@ def _quoted(path: str) -> str:
 class Warehouse:
     """Six tables in one database.
 
-    Every full load fills a folder of its own below ``root``; publishing points the tables to that
-    folder. Readers see the old load until then, and a load that fails changes nothing.
+    Every full load fills a folder of its own below ``root``. A manifest, one small file, names the folder
+    of the load that is published; there is a new one for each load, and the newest counts. Readers of
+    this class resolve it, so all six tables switch at once, and a load that fails changes nothing. The tables
+    of the catalog, for readers of other tools, are pointed to the same folder afterwards.
     """
 
     def __init__(self, spark: SparkSession, database: str, root: str):
@@ -36,6 +41,7 @@ class Warehouse:
         self.root = root.rstrip("/")
         self.version = 0  # moves on with every change, so remembered results can be told apart
         self._ranges: dict[str, tuple[int, list[tuple[str, int | None, int | None]]]] = {}
+        self._staged: str | None = None  # the folder of a load that isn't published yet
 
     # -- catalog -----------------------------------------------------------------------------
 
@@ -47,15 +53,14 @@ class Warehouse:
         self.attach(self.new_folder())
 
     def prepare(self) -> None:
-        """Create the database and the tables that are absent, leaving all others as they are but for
-        completing merges that were cut off."""
-        self._create_database()
-        folder = self.new_folder()
-        for table, columns in TABLES.items():
-            self.spark.sql(
-                f"CREATE TABLE IF NOT EXISTS {self.name_of(table)} ({columns}) "
-                f"USING parquet LOCATION {_quoted(f'{folder}/{table}')}"
-            )
+        """Create the database and the tables if absent, leaving those there are but for completing what
+        was cut off: pointing the catalog to the published load, and merges."""
+        published = self.published()
+        folder = published or self.new_folder()
+        self._point_catalog_to(folder)
+        if published is None:
+            self._publish(folder)
+        for table in TABLES:
             self.complete_merges(table)
 
     def _create_database(self) -> None:
@@ -68,54 +73,107 @@ class Warehouse:
         return f"{self.root}/load-{uuid.uuid4().hex}"
 
     def attach(self, folder: str) -> None:
-        """Point all tables to the star stored in ``folder``, dropping earlier definitions."""
+        """Publish the star stored in ``folder``, dropping earlier definitions."""
         self._create_database()
-        for table, columns in TABLES.items():
+        for table in TABLES:
             self.spark.sql(f"DROP TABLE IF EXISTS {self.name_of(table)}")
-            self.spark.sql(
-                f"CREATE TABLE {self.name_of(table)} ({columns}) "
-                f"USING parquet LOCATION {_quoted(f'{folder}/{table}')}"
-            )
-        self.version += 1
+        self._point_catalog_to(folder)
+        self._publish(folder)
 
     def stage(self) -> Warehouse:
         """An empty star in a new folder, under a database of its own, for a full load."""
         staged = Warehouse(self.spark, f"{self.database}_{uuid.uuid4().hex}", self.root)
-        staged.bootstrap()
+        staged._staged = staged.new_folder()
+        staged._point_catalog_to(staged._staged)
         return staged
 
     def publish(self, staged: Warehouse) -> None:
         """Take over the files of a staged star; its database goes, its files stay."""
+        self._publish(staged.folder())
+        self._point_catalog_to(staged.folder())
+        staged.discard()
+
+    def _point_catalog_to(self, folder: str) -> None:
         self._create_database()
+        files = Files(self.spark)
         for table, columns in TABLES.items():
-            location = _quoted(staged.location_of(table))
-            if self.spark.catalog.tableExists(self.name_of(table)):
-                self.spark.sql(f"ALTER TABLE {self.name_of(table)} SET LOCATION {location}")
-                self.spark.catalog.refreshTable(self.name_of(table))
+            files.make_folder(f"{folder}/{table}")
+            name, location = self.name_of(table), _quoted(f"{folder}/{table}")
+            if self.spark.catalog.tableExists(name):
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION {location}")
+                self.spark.catalog.refreshTable(name)
             else:
-                self.spark.sql(
-                    f"CREATE TABLE {self.name_of(table)} ({columns}) "
-                    f"USING parquet LOCATION {location}"
-                )
-        staged.discard()
-        self.version += 1
+                self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet LOCATION {location}")
 
     def discard(self) -> None:
         """Forget the tables and the database. The tables are external, so no file is deleted."""
         self.spark.sql(f"DROP DATABASE IF EXISTS `{self.database}` CASCADE")
 
+    # -- manifests ---------------------------------------------------------------------------
+
+    @property
+    def _manifests(self) -> str:
+        return f"{self.root}/manifests-{self.database}"
+
+    def _published_loads(self) -> list[str]:
+        """The manifests, oldest first."""
+        return [name for name in Files(self.spark).names(self._manifests) if name.endswith(".json")]
+
+    def _publish(self, folder: str) -> None:
+        names = self._published_loads()
+        number = int(names[-1].removesuffix(".json")) + 1 if names else 1
+        Files(self.spark).write_text(f"{self._manifests}/{number:012}.json", json.dumps({"folder": folder}))
+        self.version += 1
+
+    def published(self) -> str | None:
+        """The folder of the load that the newest manifest names."""
+        names = self._published_loads()
+        if not names:
+            return None
+        return json.loads(Files(self.spark).read_text(f"{self._manifests}/{names[-1]}"))["folder"]
+
+    def folder(self) -> str:
+        """The folder whose tables this object reads and writes."""
+        found = self._staged or self.published()
+        if found is None:
+            raise FileNotFoundError(f"nothing is published below {self._manifests}")
+        return found
+
+    def vacuum(self, keep: int = 2) -> list[str]:
+        """Delete the loads of all but the newest ``keep`` manifests, and what loads that failed have left below
+        the root; returns the folders deleted. No load may be running, nor may a reader still use one of
+        those loads. Folders that a manifest of another database names stay."""
+        if keep < 1:
+            raise ValueError("the published load must be kept")
+        files = Files(self.spark)
+        old = self._published_loads()[:-keep]
+        for name in old:
+            files.delete(f"{self._manifests}/{name}")
+        used = set()
+        for folder in files.names(self.root):
+            if folder.startswith("manifests-"):
+                for name in files.names(f"{self.root}/{folder}"):
+                    used.add(json.loads(files.read_text(f"{self.root}/{folder}/{name}"))["folder"].rsplit("/", 1)[-1])
+        gone = [name for name in files.names(self.root) if name.startswith(("load-", "merge-")) and name not in used]
+        at_once(files.delete, [(f"{self.root}/{name}",) for name in gone])
+        return gone
+
     def location_of(self, table: str) -> str:
-        described = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name_of(table)}")
-        return described.where(F.col("col_name") == "Location").first()["data_type"]
+        return f"{self.folder()}/{table}"
 
     def rejects_folder(self) -> str:
         """Where a load puts the rows it sets aside unless told otherwise: beside the listing facts."""
-        return self.location_of("fact_listings").rsplit("/", 1)[0] + "/rejected"
+        return f"{self.folder()}/rejected"
 
     # -- reading and writing -----------------------------------------------------------------
 
     def table(self, table: str) -> DataFrame:
-        return self.spark.table(self.name_of(table))
+        """A table of the load that is published now."""
+        return self._stored(self.spark, self.folder(), table)
+
+    @staticmethod
+    def _stored(spark: SparkSession, folder: str, table: str) -> DataFrame:
+        return spark.read.schema(_VARCHAR.sub("STRING", TABLES[table])).parquet(f"{folder}/{table}")
 
     def append(self, table: str, rows: DataFrame) -> None:
         """Append rows; text over the column's length fails the write."""
@@ -196,6 +254,7 @@ class Warehouse:
             files.delete(f"{folder}/{name}")
         if notes:
             self.spark.catalog.refreshTable(self.name_of(table))
+            self.version += 1
 
     def from_footers(self, table: str, *aggregates: Column) -> Row | None:
         """Plain count, min and max of a table, answered from the Parquet footers.
@@ -225,13 +284,15 @@ class Warehouse:
         return found[0] * len(needed) - sum(found[1:]) if found else 0
 
     def query(self, text: str, **parameters) -> DataFrame:
-        """Ad-hoc SQL over the tables by their plain names; values go in as ``:name``."""
-        before = self.spark.catalog.currentDatabase()
-        self.spark.catalog.setCurrentDatabase(self.database)
-        try:
-            return self.spark.sql(text, args=parameters or None)
-        finally:
-            self.spark.catalog.setCurrentDatabase(before)
+        """Ad-hoc SQL over the tables by their plain names; values go in as ``:name``.
+
+        The names are views of a session of its own, all over one load, so they neither meet those of
+        other threads nor change between two tables.
+        """
+        session, folder = configure(self.spark.newSession()), self.folder()
+        for table in TABLES:
+            self._stored(session, folder, table).createOrReplaceTempView(table)
+        return session.sql(text, args=parameters or None)
 
 
 def append_jdbc(rows: DataFrame, url: str, table: str, connections: int = 8, **options: str) -> None:

@@ -572,3 +572,63 @@ def test_a_merge_that_fails_before_its_note_changes_nothing(spark, warehouse, tw
     with pytest.raises(Exception, match="EXCEED_LIMIT_LENGTH"):
         warehouse.replace_files("fact_listings", names, rows.withColumn("url", F.lit("x" * 501)))
     assert counts(warehouse)["fact_listings"] == 40 and sorted(files_of(warehouse, "fact_listings")) == names
+
+
+# -- manifests ---------------------------------------------------------------------------------------
+
+
+def test_a_switch_that_is_cut_between_two_tables_is_invisible(spark, warehouse, curated, monkeypatch):
+    refresh(warehouse, curated({"listing_id": "olx_1", "city": "lodz"}))
+    switched = []
+
+    def cut(self, text, *args, **named):
+        if text.startswith("ALTER TABLE"):
+            switched.append(text)
+            if len(switched) == 3:
+                raise OSError("cut off")
+        return plain(self, text, *args, **named)
+
+    plain = type(spark).sql
+    with monkeypatch.context() as patched:
+        patched.setattr(type(spark), "sql", cut)
+        with pytest.raises(OSError, match="cut off"):
+            refresh(warehouse, curated({"listing_id": "olx_2", "city": "hel"}, {"listing_id": "olx_3", "city": "hel"}))
+    again = Warehouse(spark, warehouse.database, warehouse.root)
+    for star in (warehouse, again):
+        assert ids(star.table("dim_location"), "city") == ["Hel"]
+        assert ids(star.table("fact_listings"), "listing_natural_key") == ["olx_2", "olx_3"]
+        text = "SELECT city, count(*) AS n FROM fact_listings JOIN dim_location USING (location_id) GROUP BY city"
+        assert [tuple(r) for r in star.query(text).collect()] == [("Hel", 2)]
+    # The next load points the catalog to the published tables before it adds to them.
+    append(again, curated({"listing_id": "olx_4", "city": "hel"}))
+    assert spark.table(again.name_of("fact_listings")).count() == counts(again)["fact_listings"] == 3
+    assert violations(again) == {}
+
+
+def test_vacuum_keeps_the_newest_loads(spark, warehouse, curated):
+    from dwellmart.sources.files import Files
+
+    other = Warehouse(spark, f"{warehouse.database}_other", warehouse.root)
+    refresh(other, curated({"listing_id": "olx_9"}))
+    folders = []
+    for i in range(4):
+        refresh(warehouse, curated({"listing_id": f"olx_{i}"}))
+        folders.append(warehouse.folder().rsplit("/", 1)[1])
+    with pytest.raises(IntegrityError):
+        rows = curated({"listing_id": "olx_1"})
+        refresh(warehouse, rows.union(rows))
+    Files(spark).write_text(f"{warehouse.root}/load-left/part", "x")
+    with pytest.raises(ValueError, match="published"):
+        warehouse.vacuum(keep=0)
+    assert sorted(warehouse.vacuum(keep=2)) == sorted([*folders[:2], "load-left"])
+    assert ids(warehouse.table("fact_listings"), "listing_natural_key") == ["olx_3"]
+    assert ids(other.table("fact_listings"), "listing_natural_key") == ["olx_9"]
+    warehouse.attach(f"{warehouse.root}/{folders[2]}")
+    assert ids(warehouse.table("fact_listings"), "listing_natural_key") == ["olx_2"]
+    assert warehouse.vacuum(keep=5) == []
+    other.discard()
+
+
+def test_nothing_published_is_said_so(warehouse):
+    with pytest.raises(FileNotFoundError, match="nothing is published"):
+        warehouse.table("dim_date")
