@@ -23,19 +23,19 @@ from pyspark.sql import types as T
 import oracle_queries
 from dwellmart.fixed_values import FOREIGN_KEYS, TABLES
 from dwellmart.operators.clean import clean
-from dwellmart.operators.contract import fact_rules, record_rules
+from dwellmart.operators.contract import MALFORMED, fact_rules, record_rules
 from dwellmart.operators.dedup import latest_per_listing
 from dwellmart.operators.facts import listing_facts
 from dwellmart.operators.integrity import audit
 from dwellmart.operators.kinds import listings_of, with_kind
 from dwellmart.operators.rules import keep_valid, rejects
-from dwellmart.plans.curate import CurateCounts, curate_frame
+from dwellmart.plans.curate import CurateCounts, curate, curate_frame
 from dwellmart.plans.daily import Folders, ledger_of, run_daily
 from dwellmart.plans.load import append, fact_rejects, refresh
 from dwellmart.plans.reports import Reports
 from dwellmart.session import configure, scratch_root
 from dwellmart.sources.curated import read_curated
-from dwellmart.sources.landing import land, load_landing
+from dwellmart.sources.landing import QUARANTINE, land, load_landing
 from dwellmart.sources.table_feed import feeds, raw_listings
 from dwellmart.sources.warehouse import Warehouse
 
@@ -175,7 +175,25 @@ def _build_broken(spark: SparkSession, tables: str, name: str) -> Loaded:
     return Loaded(full.folders, warehouse, full.counts, {})
 
 
+def _build_quarantined(spark: SparkSession, tables: str, name: str) -> Loaded:
+    """Records as lines of text, some of them no JSON, of a wrong type, or without a field they need,
+    curated in quarantine."""
+    root = f"{scratch_root(spark)}/{name}"
+    folders = Folders(f"{root}/landing", f"{root}/curated", f"{root}/records")
+    rows = raw_listings(spark, tables)
+    kept = rows.withColumn("city", F.expr("CASE WHEN floor = 5 THEN NULL ELSE city END"))
+    kept = kept.withColumn("price", F.expr("CASE WHEN floor = 6 THEN DOUBLE('NaN') ELSE price END"))
+    line = F.to_json(F.struct(*kept.columns), {"ignoreNullFields": "true"})
+    line = F.regexp_replace(line, '"price":"NaN"', '"price":NaN')
+    line = F.when(F.expr("floor = 3 AND rooms = 2"), F.concat(F.lit("cut off "), "listing_id")).otherwise(line)
+    line = F.when(F.expr("floor = 4 AND rooms = 1"), F.regexp_replace(line, '"rooms":1', '"rooms":1.5')).otherwise(line)
+    kept.select(line.alias("value")).write.text(f"{folders.landing}/mixed_20260101_000000")
+    counts = curate(spark, folders.landing, folders.curated, QUARANTINE, folders.rejected_records)
+    return Loaded(folders, Warehouse(spark, name, root), counts, {})
+
+
 daily = _once("daily", _build_daily)
+quarantined = _once("quarantined", _build_quarantined)
 incremental = _once("incremental", _build_incremental)
 latest = _once("latest", _build_latest)
 replayed = _once("replayed", _build_replayed)
@@ -232,6 +250,15 @@ def _etl_counts(spark: SparkSession, tables: str) -> DataFrame:
     return lines
 
 
+def _record_rejects(spark: SparkSession, tables: str) -> DataFrame:
+    """The records that a curate run in quarantine has set aside, with the reasons; the id of an unreadable
+    line is taken from its text."""
+    loaded = quarantined(spark, tables)
+    stored = spark.read.parquet(loaded.folders.rejected_records)
+    found = F.regexp_extract(MALFORMED, "[a-z]+_[0-9]+_[0-9]+", 0)
+    return stored.select(F.coalesce(F.when(F.col(MALFORMED).isNotNull(), found), "listing_id").alias("record"), "reasons")
+
+
 def _lookup_large(spark: SparkSession, tables: str) -> DataFrame:
     """Listing facts as they are made where every dimension is too large to be sent around."""
     loaded = daily(spark, tables)
@@ -350,6 +377,12 @@ _QUERIES: dict[str, Query] = {
     "search_city": _report("search", city=CITY, min_price=250_000, max_price=600_000, min_rooms=3),
     "search_display": _report("search_display"),
     "macro_listing": _report("macro"),
+    "trend_month_ranked": _report("trend", ranked=True),
+    "by_city_ranked": _report("by_city", ranked=True),
+    "by_area_bucket_ranked": _report("by_area_bucket", ranked=True),
+    "by_rooms_ranked": _report("by_rooms", ranked=True),
+    "macro_ranked": _report("macro", ranked=True),
+    "record_rejects": _record_rejects,
 }
 
 

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.functions.dates import calendar_columns
 from dwellmart.functions.text import source_of
-from dwellmart.session import written
+from dwellmart.operators.ranks import with_position
 
 
 def date_members(curated: DataFrame) -> DataFrame:
@@ -40,23 +40,6 @@ def new_members(found: DataFrame, known: DataFrame, keys: Sequence[str]) -> Data
 def number_members(
     members: DataFrame, keys: Sequence[str], id_column: str, after: int = 0
 ) -> DataFrame:
-    """Consecutive ids in key order, starting behind ``after``, without a single-task sort.
-
-    Members are range-partitioned by key and written with their range number; a range's ids then
-    start behind the sizes of the ranges before it. The written table fixes the ranges, which a
-    recomputation would be free to cut elsewhere. The offsets table has one row per range, that
-    is, at most one per shuffle partition.
-    """
-    ranged = members.repartitionByRange(*keys).withColumn("_range", F.spark_partition_id())
-    stored = written(ranged, "members")
-    sizes = stored.groupBy("_range").agg(F.count("*").alias("_size"))
-    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_range", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before")
-    )
-    within = Window.partitionBy("_range").orderBy(*keys)
-    numbered = stored.withColumn("_position", F.row_number().over(within))
-    position = F.lit(after) + F.col("_before") + F.col("_position")
-    return numbered.join(F.broadcast(offsets), "_range").select(
-        position.cast("int").alias(id_column), *members.columns
-    )
+    """Consecutive ids in key order, starting behind ``after``."""
+    numbered = with_position(members, [F.asc(key) for key in keys], id_column, after)
+    return numbered.withColumn(id_column, F.col(id_column).cast("int"))

@@ -23,11 +23,17 @@ from dwellmart.fixed_values import (
 from dwellmart.functions.measures import mean_to_cents
 from dwellmart.functions.text import count_text, money_text, month_label, priced_text
 from dwellmart.operators.lookup import lookup
+from dwellmart.operators.ranks import with_position
 from dwellmart.sources.warehouse import Warehouse
 
 
+POSITION = "position"
+
+
 class Reports:
-    """The report queries of one warehouse. ``city`` may be any city, or None / "All"."""
+    """The report queries of one warehouse. ``city`` may be any city, or None / "All". A report that is
+    ``ranked`` has the position of each row in a column, where others only come in that order: so it can be
+    stored, joined and cut into pages."""
 
     def __init__(self, warehouse: Warehouse):
         self.warehouse = warehouse
@@ -55,26 +61,26 @@ class Reports:
 
     # -- average price per square metre ------------------------------------------------------
 
-    def trend(self, city: str | None = None) -> DataFrame:
+    def trend(self, city: str | None = None, ranked: bool = False) -> DataFrame:
         """By month, in calendar order."""
         months = self._mean_by("date_id", "dim_date", ["year", "month", "month_name"], city)
-        return months.withColumn(MONTH_LABEL, month_label()).orderBy("year", "month")
+        return _in_order(months.withColumn(MONTH_LABEL, month_label()), [F.asc("year"), F.asc("month")], ranked)
 
-    def by_city(self, city: str | None = None) -> DataFrame:
+    def by_city(self, city: str | None = None, ranked: bool = False) -> DataFrame:
         """By city, dearest first."""
         cities = self._mean_by("location_id", "dim_location", ["city"], city)
-        return cities.orderBy(F.desc_nulls_first("avg_price_m2"), "city")
+        return _in_order(cities, [F.desc_nulls_first("avg_price_m2"), F.asc("city")], ranked)
 
-    def by_area_bucket(self, city: str | None = None) -> DataFrame:
+    def by_area_bucket(self, city: str | None = None, ranked: bool = False) -> DataFrame:
         buckets = self._mean_by("property_id", "dim_property", ["area_bucket"], city)
-        return buckets.orderBy("area_bucket")
+        return _in_order(buckets, [F.asc("area_bucket")], ranked)
 
-    def by_rooms(self, city: str | None = None) -> DataFrame:
+    def by_rooms(self, city: str | None = None, ranked: bool = False) -> DataFrame:
         """By room count, leaving out properties without one."""
         rooms = self._mean_by(
             "property_id", "dim_property", ["rooms"], city, F.col("rooms").isNotNull()
         )
-        return rooms.orderBy("rooms")
+        return _in_order(rooms, [F.asc("rooms")], ranked)
 
     # -- listings and indicators -------------------------------------------------------------
 
@@ -113,7 +119,7 @@ class Reports:
         prices = [SEARCH_HEADINGS[name] for name in ("price", "price_per_m2")]
         return found.withColumns({title: money_text(title) for title in prices})
 
-    def macro(self) -> DataFrame:
+    def macro(self, ranked: bool = False) -> DataFrame:
         """All indicator records, latest month first.
 
         Sorting goes on to the natural key, so that a month with very many records is spread
@@ -122,9 +128,9 @@ class Reports:
         facts = self.warehouse.table("fact_macro_indicators")
         dated = self._join(facts, "dim_date", "date_id", ["year", "month"])
         placed = self._join(dated, "dim_location", "location_id", ["city"])
-        return placed.orderBy(
-            F.desc_nulls_first("year"), F.desc_nulls_first("month"), "indicator_natural_key"
-        ).select(
+        order = [F.desc_nulls_first("year"), F.desc_nulls_first("month"), F.asc("indicator_natural_key")]
+        return _in_order(placed, order, ranked).select(
+            *([POSITION] if ranked else []),
             "year",
             "month",
             "city",
@@ -198,5 +204,9 @@ class Reports:
         return joined.groupBy(*groups).agg(mean.alias("avg_price_m2"))
 
 
+def _in_order(rows: DataFrame, order: list[Column], ranked: bool) -> DataFrame:
+    return with_position(rows, order, POSITION) if ranked else rows.orderBy(*order)
+
+
 def _mean(measure: str) -> Column:
     return mean_to_cents(F.sum(measure), F.count(measure))
