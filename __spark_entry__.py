@@ -331,6 +331,11 @@ def _report(name: str, **filters) -> Query:
     return lambda spark, tables: getattr(daily(spark, tables).reports, name)(**filters)
 
 
+def _summed_report(name: str, **filters) -> Query:
+    """A report from the sums noted by file, after later records have replaced stored ones."""
+    return lambda spark, tables: getattr(Reports(latest(spark, tables).warehouse, from_sums=True), name)(**filters)
+
+
 def _adhoc_sql(spark: SparkSession, tables: str) -> DataFrame:
     text = """
         SELECT s.source_name, count(*) AS total_listings
@@ -383,6 +388,12 @@ _QUERIES: dict[str, Query] = {
     "by_rooms_ranked": _report("by_rooms", ranked=True),
     "macro_ranked": _report("macro", ranked=True),
     "record_rejects": _record_rejects,
+    "kpi_from_sums": _summed_report("kpi"),
+    "kpi_city_from_sums": _summed_report("kpi", city=CITY),
+    "trend_month_from_sums": _summed_report("trend"),
+    "by_city_from_sums": _summed_report("by_city"),
+    "by_area_bucket_from_sums": _summed_report("by_area_bucket"),
+    "by_rooms_from_sums": _summed_report("by_rooms"),
 }
 
 

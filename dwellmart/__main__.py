@@ -44,6 +44,7 @@ def arguments() -> argparse.ArgumentParser:
     job.add_argument("--curated", required=True)
     job.add_argument("--mode", choices=[STRICT, QUARANTINE], default=STRICT)
     job.add_argument("--rejected", help="folder for rejected records (quarantine)")
+    job.add_argument("--preview", type=int, default=0, help="raw and curated rows to print")
 
     tables = argparse.ArgumentParser(add_help=False)
     tables.add_argument("--database", required=True)
@@ -121,7 +122,7 @@ def main(given: list[str] | None = None) -> None:
     chosen = arguments().parse_args(given)
     spark = build_session("dwellmart", chosen.master, chosen.input_bytes)
     if chosen.job == "curate":
-        print(curate(spark, chosen.landing, chosen.curated, chosen.mode, chosen.rejected))
+        print(curate(spark, chosen.landing, chosen.curated, chosen.mode, chosen.rejected, chosen.preview))
         return
 
     if chosen.job == "land":

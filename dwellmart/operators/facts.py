@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dwellmart.functions.dates import date_key
@@ -15,6 +15,15 @@ from dwellmart.operators.rules import required
 
 Dimension = Callable[[str], DataFrame]
 
+SUMMED_KEYS = ["location_id", "property_id", "date_id"]
+
+
+def fact_sums() -> list[Column]:
+    """What is noted of listing facts by each of SUMMED_KEYS, for reports that need no more."""
+    measures = ["price_per_m2", "price"]
+    sums = [(F.sum(m).alias(m), F.count(m).alias(f"{m}_n")) for m in measures]
+    return [F.count("*").alias("rows"), *[column for pair in sums for column in pair]]
+
 
 def _with_keys(
     rows: DataFrame, dimension: Dimension, of_property: bool, broadcast_members: int | None

@@ -14,7 +14,7 @@ from dwellmart.operators.contract import record_rules
 from dwellmart.operators.normalize import transform
 from dwellmart.operators.rules import enforce, keep_valid, rejects
 from dwellmart.sources.curated import read_curated, write_curated
-from dwellmart.sources.landing import QUARANTINE, STRICT, load_landing
+from dwellmart.sources.landing import QUARANTINE, STRICT, load_landing, preview
 
 log = logging.getLogger(__name__)
 
@@ -43,19 +43,25 @@ def curate(
     curated: str,
     mode: str = STRICT,
     rejected: str | None = None,
+    previewed: int = 0,
 ) -> CurateCounts:
     """Read the drops under a landing folder, or under several, and write the curated zone.
 
     In quarantine mode the rejected records go to ``rejected``. That is a second read of the
-    landing zone, which costs less than storing the parsed records for it.
+    landing zone, which costs less than storing the parsed records for it. The first ``previewed`` raw
+    and curated rows are printed.
     """
     if (mode == QUARANTINE) != (rejected is not None):
         raise ValueError("quarantine needs a folder for rejected records, strict takes none")
     raw = load_landing(spark, landing, mode)
+    if previewed:
+        preview(raw, previewed)
     seen = Observation("raw")
     observed = raw.observe(seen, F.count(F.lit(1)).alias("rows"))
     write_curated(curate_frame(observed, mode), curated)
 
+    if previewed:
+        preview(read_curated(spark, curated), previewed)
     refused = 0
     if rejected is not None:
         rejects(raw, record_rules(raw)).write.mode("overwrite").parquet(rejected)

@@ -14,7 +14,9 @@ from dwellmart.fixed_values import FACT_TIMES, UNIQUE_KEYS
 from dwellmart.operators import dimensions as dims
 from dwellmart.operators.contract import fact_rules, member_rules
 from dwellmart.operators.facts import (
+    SUMMED_KEYS,
     Dimension,
+    fact_sums,
     listing_facts,
     macro_facts,
     outdated,
@@ -226,7 +228,7 @@ def _add_facts(
     else:
         target.append(table, added)
     if clustered:
-        target.note_ranges(table, order[0])
+        target.note_files(table, SUMMED_KEYS, fact_sums())
 
 
 def _laid_out(facts: DataFrame, order: list[str], clustered: bool) -> DataFrame:

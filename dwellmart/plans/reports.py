@@ -7,6 +7,8 @@ dimension it is merely grouped by, and a key that most facts share is combined o
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ from dwellmart.fixed_values import (
 )
 from dwellmart.functions.measures import mean_to_cents
 from dwellmart.functions.text import count_text, money_text, month_label, priced_text
+from dwellmart.operators.facts import fact_sums
 from dwellmart.operators.lookup import lookup
 from dwellmart.operators.ranks import with_position
 from dwellmart.sources.warehouse import Warehouse
@@ -35,8 +38,12 @@ class Reports:
     ``ranked`` has the position of each row in a column, where others only come in that order: so it can be
     stored, joined and cut into pages."""
 
-    def __init__(self, warehouse: Warehouse):
+    def __init__(self, warehouse: Warehouse, from_sums: bool = False):
+        """With ``from_sums``, averages over all cities, and the headline figures of any, come from the sums
+        that loads have noted by file; only files without notes are read. A load adds to the sums what its
+        own files hold, so nothing stored before is read again."""
         self.warehouse = warehouse
+        self.from_sums = from_sums
         self._remembered: dict[tuple, DataFrame] = {}
 
     # -- headline figures ----------------------------------------------------------------------
@@ -46,6 +53,13 @@ class Reports:
 
         Every fact has its surrogate key, so rows are counted and the key column is not read.
         """
+        if self.from_sums:
+            sums = self._summed("location_id", city)
+            return sums.agg(
+                F.coalesce(F.sum("rows"), F.lit(0)).alias("total_listings"),
+                *[mean_to_cents(F.sum(name), F.sum(f"{name}_n")).alias(title)
+                  for name, title in [("price_per_m2", "avg_price_m2"), ("price", "avg_total_price")]],
+            )
         return self._listings(city).agg(
             F.count("*").alias("total_listings"),
             _mean("price_per_m2").alias("avg_price_m2"),
@@ -180,6 +194,22 @@ class Reports:
         near = self.warehouse.between("fact_listings", "location_id", lowest, highest)
         return lookup(near, here, ["location_id"], how="left_semi")
 
+    def _summed(self, key: str, city: str | None) -> DataFrame:
+        """Sums of the listing facts by a key, one row a key and file; for one city only by location."""
+        noted, others = self.warehouse.noted_sums("fact_listings", key)
+        names = [key, "rows", "price_per_m2", "price_per_m2_n", "price", "price_n"]
+        parts = []
+        if "rows" in noted.columns:
+            parts.append(noted.withColumnRenamed("key", key).select(*names))
+        if others or not parts:
+            rows = self.warehouse.stored_files("fact_listings", others) if others else self.warehouse.table("fact_listings").limit(0)
+            parts.append(rows.groupBy(key).agg(*fact_sums()).select(*names))
+        sums = reduce(DataFrame.unionAll, parts)
+        if city is None or city == ALL_CITIES:
+            return sums
+        here = self.warehouse.table("dim_location").where(F.col("city") == city).select("location_id")
+        return lookup(sums, here, ["location_id"], how="left_semi", reduced=True)
+
     def _join(
         self, rows: DataFrame, dimension: str, key: str, columns: list[str], reduced: bool = False
     ) -> DataFrame:
@@ -194,9 +224,14 @@ class Reports:
         city: str | None,
         members: Column | None = None,
     ) -> DataFrame:
-        sums = self._listings(city).groupBy(key).agg(
-            F.sum("price_per_m2").alias("_total"), F.count("price_per_m2").alias("_n")
-        )
+        if self.from_sums and (key == "location_id" or city in (None, ALL_CITIES)):
+            sums = self._summed(key, city).groupBy(key).agg(
+                F.sum("price_per_m2").alias("_total"), F.sum("price_per_m2_n").alias("_n")
+            )
+        else:
+            sums = self._listings(city).groupBy(key).agg(
+                F.sum("price_per_m2").alias("_total"), F.count("price_per_m2").alias("_n")
+            )
         joined = self._join(sums, dimension, key, groups, reduced=True)
         if members is not None:
             joined = joined.where(members)

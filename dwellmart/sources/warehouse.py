@@ -6,6 +6,7 @@ import json
 import re
 import uuid
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,8 +17,8 @@ from dwellmart.sources.files import Files, at_once
 
 # A merge under way is written down in a hidden file of the table's folder, which readers skip.
 MERGE_NOTE = "_merge-"
-# Likewise the least and largest value that each file has in the column its table is laid out by.
-FILE_RANGES = "_ranges"
+# Likewise what is known of each file: sums of its rows by key, see ``note_files``.
+FILE_NOTES = "_notes"
 _VARCHAR = re.compile(r"VARCHAR\(\d+\)")  # a length is checked on writing; readers know no such type
 
 
@@ -186,23 +187,42 @@ class Warehouse:
         folder = self.location_of(table)
         return self.spark.read.schema(self.table(table).schema).parquet(*[f"{folder}/{name}" for name in names])
 
-    def note_ranges(self, table: str, column: str) -> None:
-        """Note the range of an integer column in every file that has none noted yet."""
-        folder = f"{self.location_of(table)}/{FILE_RANGES}"
+    def note_files(self, table: str, keys: Sequence[str], sums: Sequence[Column]) -> None:
+        """For every file that has no notes yet, sum its rows by each of some integer keys; the sums are
+        named. One scan of the new files. Files never change, so notes stay true; those of a file that a
+        merge has replaced are passed over."""
+        folder = f"{self.location_of(table)}/{FILE_NOTES}"
         self.spark.catalog.refreshTable(self.name_of(table))
-        noted = {name for name, low, _ in self._file_ranges(table) if low is not None}
+        noted = {row["file"] for row in self._notes(table).select("file").distinct().collect()}
         new = [name for name in self._file_names(table) if name not in noted]
         if new:
-            found = self.stored_files(table, new).groupBy(F.col("_metadata.file_name").alias("file"))
-            ranges = found.agg(F.min(column).alias("low"), F.max(column).alias("high"))
-            ranges.coalesce(1).write.mode("append").parquet(folder)
+            rows = self.stored_files(table, new).withColumn("file", F.col("_metadata.file_name"))
+            found = rows.groupingSets([[F.col("file"), F.col(key)] for key in keys], "file", *keys).agg(
+                reduce(lambda rest, key: F.when(F.grouping(key) == 0, key).otherwise(rest), keys, F.lit(None)).alias("kind"),
+                F.coalesce(*keys).alias("key"), *sums,
+            )
+            found.drop(*keys).coalesce(1).write.mode("append").parquet(folder)
         self.version += 1
 
+    def _notes(self, table: str) -> DataFrame:
+        folder = f"{self.location_of(table)}/{FILE_NOTES}"
+        if not Files(self.spark).exists(folder):
+            return self.spark.createDataFrame([], "file STRING, kind STRING, key INT")
+        return self.spark.read.parquet(folder)
+
+    def noted_sums(self, table: str, key: str) -> tuple[DataFrame, list[str]]:
+        """The notes by one key of the files that are in the table now, and the files without any."""
+        notes, names = self._notes(table), self._file_names(table)
+        noted = {row["file"] for row in notes.select("file").distinct().collect()}
+        here = self.spark.createDataFrame([(name,) for name in names], "file STRING")
+        of_key = notes.where(F.col("kind") == key).join(F.broadcast(here), "file", "left_semi")
+        return of_key, [name for name in names if name not in noted]
+
     def between(self, table: str, column: str, low: int, high: int) -> DataFrame:
         """The rows of a table with a column from low to high; files known to hold none aren't opened."""
         known = self._ranges.get(table)
         if known is None or known[0] != self.version:
-            known = self._ranges[table] = (self.version, self._file_ranges(table))
+            known = self._ranges[table] = (self.version, self._file_ranges(table, column))
         names = [name for name, least, most in known[1] if least is None or (least <= high and low <= most)]
         rows = self.table(table) if len(names) == len(known[1]) else self.stored_files(table, names) if names else self.table(table).limit(0)
         return rows.where(F.col(column).between(low, high))
@@ -210,13 +230,10 @@ class Warehouse:
     def _file_names(self, table: str) -> list[str]:
         return [path.rsplit("/", 1)[1] for path in self.table(table).inputFiles()]
 
-    def _file_ranges(self, table: str) -> list[tuple[str, int | None, int | None]]:
-        """Every file with its range, None where it isn't noted."""
-        folder = f"{self.location_of(table)}/{FILE_RANGES}"
-        noted = {}
-        if Files(self.spark).exists(folder):
-            stored = self.spark.read.schema("file STRING, low INT, high INT").parquet(folder)
-            noted = {row["file"]: (row["low"], row["high"]) for row in stored.collect()}
+    def _file_ranges(self, table: str, column: str) -> list[tuple[str, int | None, int | None]]:
+        """Every file with the least and largest value of a key, None where it has no notes."""
+        ends = self._notes(table).where(F.col("kind") == column).groupBy("file").agg(F.min("key"), F.max("key"))
+        noted = {name: (low, high) for name, low, high in ends.collect()}
         return [(name, *noted.get(name, (None, None))) for name in self._file_names(table)]
 
     def replace_files(self, table: str, names: Sequence[str], rows: DataFrame) -> None:

@@ -412,6 +412,12 @@ def statements(city: str) -> dict[str, str]:
                WHERE f.price >= 500000 GROUP BY s.source_name"""
         ),
         "kpi": _kpi(""),
+        "kpi_from_sums": _kpi(""),
+        "kpi_city_from_sums": _kpi(here),
+        "trend_month_from_sums": _trend(),
+        "by_city_from_sums": _grouped("city"),
+        "by_area_bucket_from_sums": _grouped("area_bucket"),
+        "by_rooms_from_sums": _grouped("rooms", "WHERE rooms IS NOT NULL"),
         "kpi_city": _kpi(here),
         "kpi_display": _kpi_display(""),
         "kpi_display_empty": _kpi_display("WHERE city = 'Nowhere'"),

@@ -17,7 +17,8 @@ def test_jobs_in_order(spark, raw, macro_record, tmp_path, capsys):
     tables = ["--database", database, "--root", str(tmp_path / "warehouse")]
     land(raw({"city": "warsaw"}, {"listing_id": "olx_2", "city": "lodz"}), zone, "olx")
     land(raw(macro_record()), zone, "gus")
-    main(["curate", "--landing", zone, "--curated", curated])
+    main(["curate", "--landing", zone, "--curated", curated, "--preview", "2"])
+    assert capsys.readouterr().out.count("only showing top 2 rows") == 2
     main(["init", *tables])
     main(["load", "--curated", curated, *tables])
     folder = capsys.readouterr().out.split()[-1].removeprefix("file:")

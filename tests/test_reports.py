@@ -218,3 +218,44 @@ def test_search_takes_the_cheapest_before_looking_up_texts(market):
     plan = plan_of(market.search(), "simple")
     assert "TakeOrderedAndProject" in plan
     assert "PushedFilters: [IsNotNull(price), GreaterThanOrEqual(price,0.00)" in plan_of(market.search())
+
+
+# -- sums noted by file, positions ---------------------------------------------------------------------
+
+
+def test_reports_from_sums_follow_appends_and_merges(reports, raw):
+    """Sums of added, replaced, and not yet noted files; equal to the reports over the facts."""
+    plain = reports(*[{"city": f"c{i % 3}", "price": 100.0 + i, "rooms": i % 4 or None, "date_scraped": f"2025-0{1 + i % 3}-01"}
+                      for i in range(30)])
+    warehouse = plain.warehouse
+    later = {"listing_id": "olx_3", "city": "c9", "price": 1.0, "date_scraped": "2026-01-01"}
+    append(warehouse, transform(raw(later, {"listing_id": "olx_4", "price": None, "date_scraped": "2026-01-01"},
+                                    {"listing_id": "olx_new", "city": "c1", "price": 7.0})), latest=True)
+    summed = Reports(warehouse, from_sums=True)
+    for step in range(2):
+        if step:
+            facts = warehouse.table("fact_listings").where("listing_natural_key = 'olx_new'")
+            warehouse.append("fact_listings", facts.withColumn("listing_natural_key", F.lit("olx_unnoted")))
+        for name in ("trend", "by_city", "by_area_bucket", "by_rooms", "kpi"):
+            assert rows(getattr(summed, name)()) == rows(getattr(plain, name)()) != []
+        for city in ("C1", "C9", "Atlantis"):
+            assert rows(summed.kpi(city)) == rows(plain.kpi(city))
+            assert rows(summed.by_rooms(city)) == rows(plain.by_rooms(city))
+            assert rows(summed.by_city(city)) == rows(plain.by_city(city))
+        opened = [file for file in summed.by_rooms().inputFiles() if "/fact_listings/part-" in file]
+        assert len(opened) == step
+
+
+def test_sums_of_nothing(spark, tmp_path):
+    warehouse = Warehouse(spark, f"star_{uuid.uuid4().hex}", str(tmp_path))
+    warehouse.bootstrap()
+    assert rows(Reports(warehouse, from_sums=True).kpi()) == [(0, None, None)]
+    assert rows(Reports(warehouse, from_sums=True).by_city()) == []
+    warehouse.discard()
+
+
+def test_ranked_reports_number_the_order(market):
+    for name in ("trend", "by_city", "by_area_bucket", "by_rooms", "macro"):
+        plain, ranked = rows(getattr(market, name)()), rows(getattr(market, name)(ranked=True))
+        assert [row[0] for row in sorted(ranked)] == list(range(1, len(plain) + 1))
+        assert [row[1:] for row in sorted(ranked)] == plain
