@@ -259,6 +259,20 @@ def _record_rejects(spark: SparkSession, tables: str) -> DataFrame:
     return stored.select(F.coalesce(F.when(F.col(MALFORMED).isNotNull(), found), "listing_id").alias("record"), "reasons")
 
 
+def _length_rejects(spark: SparkSession, tables: str) -> DataFrame:
+    """Curated rows with texts beyond their columns, and with their times as text, that the facts refuse."""
+    long = {
+        "url": "CASE WHEN floor = 7 THEN repeat('x', 501) ELSE url END",
+        "district": "CASE WHEN floor = 8 THEN repeat('d', 101) ELSE district END",
+        "city": "CASE WHEN floor = 9 THEN repeat('c', 101) ELSE city END",
+        "listing_id": "CASE WHEN floor = 10 THEN concat(listing_id, '_', repeat('i', 100)) "
+                      "WHEN floor = 11 THEN concat(repeat('s', 51), listing_id) ELSE listing_id END",
+    }
+    raw = _raw(spark, tables).withColumns({name: F.expr(text) for name, text in long.items()})
+    curated = curate_frame(raw).withColumn("date_scraped", F.col("date_scraped").cast("string"))
+    return fact_rejects(curated).select("listing_id", "reasons")
+
+
 def _lookup_large(spark: SparkSession, tables: str) -> DataFrame:
     """Listing facts as they are made where every dimension is too large to be sent around."""
     loaded = daily(spark, tables)
@@ -388,6 +402,7 @@ _QUERIES: dict[str, Query] = {
     "by_rooms_ranked": _report("by_rooms", ranked=True),
     "macro_ranked": _report("macro", ranked=True),
     "record_rejects": _record_rejects,
+    "length_rejects": _length_rejects,
     "kpi_from_sums": _summed_report("kpi"),
     "kpi_city_from_sums": _summed_report("kpi", city=CITY),
     "trend_month_from_sums": _summed_report("trend"),

@@ -9,8 +9,9 @@ from __future__ import annotations
 EARLY_UNTIL = "1998-06-01 00:00:00"
 
 
-def _stages(prefix: str, records_where: str = "TRUE") -> str:
-    """CTEs raw, clean, dedup, curated, members, listings, records, each named with ``prefix``."""
+def _stages(prefix: str, records_where: str = "TRUE", replaced: str = "") -> str:
+    """CTEs raw, clean, dedup, curated, members, listings, records, each named with ``prefix``; ``replaced``
+    changes columns of the raw records."""
     p = prefix
     proper = (
         "array_to_string(list_transform(string_split(lower(trim({0})), ' '), "
@@ -64,7 +65,7 @@ def _stages(prefix: str, records_where: str = "TRUE") -> str:
                l_shipdate + l_linenumber * INTERVAL '1' HOUR AS date_scraped
         FROM {p}lines),
     {p}clean AS (
-        SELECT * FROM {p}raw
+        SELECT * {replaced} FROM {p}raw
         WHERE (substr(listing_id, 1, 4) = 'gus_' OR price IS NOT NULL OR area IS NOT NULL)
           AND (price IS NULL OR price > 0)
           AND (area IS NULL OR area > 5)
@@ -440,6 +441,13 @@ def statements(city: str) -> dict[str, str]:
         "by_rooms_ranked": _ranked(_grouped("rooms", "WHERE rooms IS NOT NULL"), "rooms"),
         "macro_ranked": _ranked(_MACRO.replace("SELECT d.year,", "SELECT f.indicator_natural_key, d.year,"),
                                 "year DESC, month DESC, indicator_natural_key", "EXCLUDE (indicator_natural_key)"),
+        "length_rejects": "WITH " + _stages("", replaced="""REPLACE (
+                CASE WHEN floor = 7 THEN repeat('x', 501) ELSE url END AS url,
+                CASE WHEN floor = 8 THEN repeat('d', 101) ELSE district END AS district,
+                CASE WHEN floor = 9 THEN repeat('c', 101) ELSE city END AS city,
+                CASE WHEN floor = 10 THEN listing_id || '_' || repeat('i', 100)
+                     WHEN floor = 11 THEN repeat('s', 51) || listing_id ELSE listing_id END AS listing_id)""")
+            + " SELECT listing_id, reasons FROM judged WHERE reasons <> ''",
         "record_rejects": _upto_curated(
             """SELECT listing_id AS record,
                       CASE WHEN floor = 3 AND rooms = 2
