@@ -485,9 +485,17 @@ def two_days(curated):
     return first, second
 
 
-def test_later_records_replace_stored_ones(warehouse, two_days, join_strategy):
+@pytest.fixture
+def small_files(spark):
+    """As many files as there are shuffle partitions, however small they are."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_later_records_replace_stored_ones(warehouse, two_days, small_files, join_strategy):
     first, second = two_days
-    refresh(warehouse, first.repartition(4, "city"))
+    refresh(warehouse, first)
     keys = dict(columns_of(warehouse.table("fact_listings"), "listing_natural_key", "listing_sk"))
     before = files_of(warehouse, "fact_listings")
     untouched = {row[0] for row in warehouse.table("fact_listings")
@@ -540,11 +548,11 @@ def test_a_load_without_later_records_only_adds_files(warehouse, curated):
 
 
 @pytest.mark.parametrize("cut", ["move", "delete"])
-def test_a_merge_that_was_cut_off_is_completed(warehouse, two_days, monkeypatch, cut):
+def test_a_merge_that_was_cut_off_is_completed(warehouse, two_days, small_files, monkeypatch, cut):
     from dwellmart.sources.files import Files
 
     first, second = two_days
-    refresh(warehouse, first.repartition(3))
+    refresh(warehouse, first)
     calls = []
     plain = getattr(Files, cut)
 
