@@ -62,9 +62,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(kind, start, end) by kind and start, in code points."""
     spans = [(0, a, b) for a, b in _emails(text)]
     for m in _ip.finditer(text):
-        if all(len(x) <= 3 or len(x.lstrip("0")) <= 3 for x in m[0].split(".")) and all(
-            int(x) <= 255 for x in m[0].split(".")
-        ):
+        parts = [x.lstrip("0") or "0" for x in m[0].split(".")]
+        if all(len(x) <= 3 and int(x) <= 255 for x in parts):
             spans.append((1, *m.span()))
     for m in _card.finditer(text):
         digits = _not_digits.sub("", m[0])

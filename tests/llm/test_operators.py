@@ -118,6 +118,8 @@ def test_spans(docs, empty):
             if k == "email" or all(int(x) <= 255 for x in m[0].split("."))
         ]
         assert [s for s in pii.base_spans(value) if s[0] < 2] == expected
+    zeros = "0" * 5_000
+    assert pii.base_spans(f"{zeros}1.2.3.4 {zeros}256.2.3.4") == [(1, 0, 5_007)]
     found = {r.doc_id: r for r in pii.spans(docs).collect()}
     assert [s.kind for s in found[8].base] == ["email", "ip", "card", "phone"]
     assert found[4].spans == found[5].spans == []
