@@ -111,7 +111,8 @@ class Graph:
         for i, (a, b) in enumerate(self.spans):
             while k < len(order) and order[k][2] <= a and order[k][1] < a:
                 k += 1
-            for kind, x, y in order[k:]:
+            for at in range(k, len(order)):
+                kind, x, y = order[at]
                 if x >= b:
                     break
                 if y > a:
