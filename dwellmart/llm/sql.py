@@ -52,4 +52,45 @@ _HARD_NEGATIVES = """
     SELECT anchor_id, positive_id, CAST(place AS INT) AS rank, negative_id, positive_score, negative_score
     FROM windowed WHERE place <= 3"""
 
-ORACLE_SQL: dict[str, str] = {"op11_url_filter": _URL_FILTER, "op13_hard_negatives": _HARD_NEGATIVES}
+_REPEATS = """
+    WITH texts AS (
+        SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+    placed AS (
+        SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS place, words FROM texts),
+    windows AS (
+        SELECT doc_id, place, array_to_string(words[place : place + 19], ' ') AS phrase
+        FROM placed WHERE place + 19 <= len(words)),
+    again AS (
+        SELECT doc_id, place, row_number() OVER (PARTITION BY phrase ORDER BY doc_id, place) > 1 AS earlier FROM windows),
+    judged AS (
+        SELECT doc_id, place, word, coalesce(bool_or(earlier) OVER (
+            PARTITION BY doc_id ORDER BY place ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), FALSE) AS removed
+        FROM placed LEFT JOIN again USING (doc_id, place)),
+    kept AS (
+        SELECT doc_id, count(*) FILTER (removed) AS n_removed,
+               coalesce(string_agg(word, ' ' ORDER BY place) FILTER (NOT removed), '') AS text
+        FROM judged GROUP BY doc_id)
+    SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+    FROM texts LEFT JOIN kept USING (doc_id)"""
+
+_NGRAM_JOIN = f"""
+    WITH RECURSIVE texts AS (
+        SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x20\\x09-\\x0D]+') AS words
+        FROM documents),
+    starts AS (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 3, 1) + 1)) AS place FROM texts WHERE len(words) > 0),
+    shingles AS (SELECT DISTINCT doc_id, array_to_string(words[place : place + 3], ' ') AS shingle FROM starts),
+    sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS one, b.doc_id AS two, count(*) AS n
+        FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL),
+    links AS (
+        SELECT one, two FROM common c JOIN sizes a ON a.doc_id = one JOIN sizes b ON b.doc_id = two
+        WHERE 100 * c.n >= 85 * (a.n + b.n - c.n)),
+    reached AS (
+        SELECT one AS doc_id, two AS other FROM links
+        UNION SELECT r.doc_id, l.two FROM reached r JOIN links l ON r.other = l.one),
+    least AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+    SELECT t.doc_id, coalesce(s.n, 0) AS n_shingles, least(t.doc_id, coalesce(l.other, t.doc_id)) AS component_id
+    FROM texts t LEFT JOIN sizes s ON t.doc_id = s.doc_id LEFT JOIN least l ON t.doc_id = l.doc_id"""
+
+ORACLE_SQL: dict[str, str] = {"op1_ngram_join": _NGRAM_JOIN, "op9_repeats": _REPEATS, "op11_url_filter": _URL_FILTER, "op13_hard_negatives": _HARD_NEGATIVES}
