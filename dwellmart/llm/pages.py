@@ -7,17 +7,21 @@ down (sum-product) give each block's exact marginal; blocks with one half or mor
 
 Training counts, over all pages that mark their main region (article, main, or the role), how often
 a symbol stands for content, and how a child's state goes with its parent's. Spark sums the counts;
-the symbols are few (tags and fixed kinds, others share one). Names of fixed kinds and boilerplate
-tags also get a few prior counts, so kinds that no labelled page shows are not unknown, and keep
-fixed least odds, while the odds of other tags and of a text's length are bounded: structure decides.
+the symbols are few (tags and fixed kinds, others share one). An element whose class, id or role as a
+whole names a kind ("sidebar", "site-footer") and boilerplate tags get a few prior counts, so kinds that no
+labelled page shows are not unknown, and keep fixed least odds. A name that has such a word among
+others ("has-sidebar", "entry-header"), and those of kinds that stand in articles too ("share", "tags"), are
+evidence learned like that of a tag, in main regions as much as outside. The odds of these hints, of other
+tags and of a text's length are bounded: structure decides.
 
 Nulls and ties: null or empty html, or a page without content, gives the empty text. Unclosed and
 stray tags are closed or ignored as browsers do roughly. Repeated rows have equal results. Nothing
-is cut; script, style and head never are text.
+is cut; script, style and head never are text. Very long pages are parsed in linear time.
 """
 
 from __future__ import annotations
 
+import collections
 import html
 import math
 import re
@@ -41,26 +45,73 @@ KINDS = {
     "ad": {"ad", "ads", "advert", "adverts", "advertisement", "banner", "sponsor", "sponsored", "promo", "promotion"},
     "notice": {"cookie", "cookies", "consent", "notice", "gdpr", "popup", "modal", "alert", "newsletter", "subscribe", "signup", "login"},
     "menu": {"nav", "navbar", "navigation", "menu", "breadcrumb", "breadcrumbs", "pagination", "toolbar", "skip"},
-    "side": {"sidebar", "aside", "related", "recommended", "widget", "complementary", "share", "social", "tags"},
+    "side": {"sidebar", "aside", "related", "recommended", "widget", "complementary"},
     "edge": {"footer", "header", "copyright", "masthead", "contentinfo", "legal", "disclaimer"},
     "comments": {"comment", "comments", "reply", "replies", "disqus", "respond"},
 }
+MIXED = {"share", "social", "tags"}  # kinds of things that articles hold, too
+NEUTRAL = {
+    "site", "page", "top", "bottom", "left", "right", "box", "bar", "list", "container", "wrapper", "wrap", "inner",
+    "outer", "slot", "section", "area", "block", "unit", "item", "links",
+}
 PRIOR, SMOOTHING, LEAST = 20.0, 0.5, 0.5
 NAMED_ODDS, TEXT_ODDS, TAG_ODDS, TURN = 50.0, 0.75, 1.0, 0.02  # log odds: least of a named kind, most of a text and of a tag; least chance of a turn
 _KNOWN = INLINE | VOID | BOILERPLATE_TAGS | CONTENT_TAGS | set(CLOSES) | {
     "html", "body", "div", "section", "ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "blockquote", "pre",
     "figure", "figcaption", "h1", "h2", "h3", "h4", "h5", "h6", "address", "details", "summary", "caption", "center",
 }
-_tag = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*+)>")
+_name = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_delimiter = re.compile(r"[>\"']")
 _attribute = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.IGNORECASE)
 _split = re.compile(r"[^a-z0-9]+")
 
 
 def _kind(attributes: str) -> str | None:
+    """The kind that a class, id or role names; "hint" if such a word is one among others."""
     if "=" not in attributes:
         return None
-    names = {x for m in _attribute.finditer(attributes) for x in _split.split((m[1] or m[2] or m[3] or "").lower())}
-    return next((kind for kind, known in KINDS.items() if names & known), None)
+    hint = None
+    for found in _attribute.finditer(attributes):
+        for name in (found[1] or found[2] or found[3] or "").lower().split():
+            parts = {x for x in _split.split(name) if x and not x.isdigit()}
+            kinds = [kind for kind, known in KINDS.items() if parts & known]
+            if kinds and parts <= NEUTRAL.union(*KINDS.values()):
+                return kinds[0]
+            if kinds or parts & MIXED:
+                hint = "hint"
+    return hint
+
+
+class _Tags:
+    """Where the tags of a page end. Places from which no end was found are remembered, so that all
+    searches together take linear time."""
+
+    def __init__(self, source: str):
+        self._source = source
+        self._last = {c: source.rfind(c) for c in ">\"'"}
+        self.last = self._last[">"]
+        self._dead: set[int] = set()
+        self._next = -1
+
+    def end(self, at: int) -> int:
+        """Place behind the ">" of the tag whose name ends at ``at``, outside quotes; -1 if there is none."""
+        if at > self._last[">"]:
+            return -1
+        if self._next < at:
+            found = _delimiter.search(self._source, at)
+            self._next = found.start() if found else len(self._source)
+        place, seen = self._next, []
+        while place < len(self._source) and place not in self._dead:
+            sign = self._source[place]
+            if sign == ">":
+                return place + 1
+            seen.append(place)
+            if self._last[sign] == place:
+                break
+            found = _delimiter.search(self._source, self._source.find(sign, place + 1) + 1)
+            place = found.start() if found else len(self._source)
+        self._dead.update(seen)
+        return -1
 
 
 class Page:
@@ -69,6 +120,7 @@ class Page:
     def __init__(self, source: str):
         self.symbols, self.parents, self.tags, self.texts = ["root"], [0], ["root"], [None]
         self._stack, self._parts, self._linked, self._links = [0], [], 0, 0
+        self._open: collections.Counter[str] = collections.Counter()
         self._parse(source)
 
     def _node(self, symbol: str, tag: str, text: str | None = None) -> int:
@@ -93,10 +145,11 @@ class Page:
 
     def _close(self, index: int) -> None:
         self._flush()
+        self._open.subtract(self.tags[node] for node in self._stack[index:])
         del self._stack[index:]
 
     def _parse(self, source: str) -> None:
-        at, end = 0, len(source)
+        at, end, tags = 0, len(source), _Tags(source)
         while at < end:
             opened = source.find("<", at)
             if opened < 0:
@@ -111,21 +164,22 @@ class Page:
                 closed = source.find(">", opened)
                 at = end if closed < 0 else closed + 1
                 continue
-            found = _tag.match(source, opened)
-            if not found:
+            found = _name.match(source, opened) if opened < tags.last else None
+            closed = tags.end(found.end()) if found else -1
+            if closed < 0:
                 self._words("<")
                 at = opened + 1
                 continue
-            at = found.end()
+            at, attributes = closed, source[found.end() : closed - 1]
             tag = found[2].lower()
             if found[1]:
                 self._end(tag)
             elif tag in RAW:
-                if not found[3].endswith("/"):
+                if not attributes.endswith("/"):
                     closed = re.compile(rf"</{re.escape(tag)}\s*>", re.IGNORECASE).search(source, at)
                     at = closed.end() if closed else end
             else:
-                self._start(tag, found[3])
+                self._start(tag, attributes)
         if at < end:
             self._words(source[at:])
         self._flush()
@@ -136,7 +190,7 @@ class Page:
         if tag == "a":
             self._links += 1
         kind = _kind(attributes)
-        if tag in INLINE and kind is None:
+        if tag in INLINE and kind in (None, "hint"):
             return
         self._flush()
         closes = CLOSES.get(tag, {"p"} if tag not in INLINE else set())
@@ -146,12 +200,17 @@ class Page:
                 break
             if self.tags[self._stack[i]] not in ("p", *INLINE):
                 break
+        if kind == "hint" and tag in CONTENT_TAGS:
+            kind = None
         if tag not in VOID:
             self._stack.append(self._node(kind or (tag if tag in _KNOWN else "other"), tag))
+            self._open[tag] += 1
 
     def _end(self, tag: str) -> None:
         if tag == "a" and self._links:
             self._links -= 1
+        if not self._open[tag]:
+            return
         for i in range(len(self._stack) - 1, 0, -1):
             if self.tags[self._stack[i]] == tag:
                 self._close(i)
