@@ -1,23 +1,30 @@
 """Mixing documents so that the expected tokens of each domain meet target weights.
 
 Domains are soft: a classifier learned from the table of labels gives each document a probability
-for each domain, and its tokens count for all domains in that proportion. Document rates (how often
-a document is to be seen, 0 or more) are fitted by projected gradient least squares: starting from
-rate 1, every step moves each rate against the gradient of the squared errors of the domain totals
-and cuts it off at 0. The gradient is scaled by the inverse of the least-squares matrix of the
-documents whose rate is above 0 (one row a domain), so that a step would meet the targets if it cut
-off nothing more. A step that comes no closer is taken back and tried again at a quarter of its
-length.
+for each domain, and its tokens count for all domains in that proportion. The classifier learns from the
+labels that are not held out; on the others (a fifth, on a bounded sample) the sharpness of its
+probabilities is fitted: the power that makes the held-out labels likeliest. Probabilities that are too
+soft would give each domain tokens of all documents, and few targets could then be met.
+
+Document rates (how often a document is to be seen, 0 or more) are fitted by projected gradient least
+squares. Of all rates that meet the targets, those nearest to 1 are wanted (squared distances
+weighted by tokens), so that no document is lost without need: they have the form max(0, 1 - p v), for
+one vector v over the domains. Every step adds a multiple of the gradient of the squared errors of the
+domain totals to v; the rates are 1 less all gradient steps so far, projected onto 0 or more. The gradient
+is scaled by the inverse of the least-squares matrix of the documents whose rate is above 0 (one row a
+domain), so that a step would meet the targets if it cut off nothing more. A step that comes no closer
+is taken back and tried again at a quarter of its length.
 
 A step needs the domain totals and that matrix only, sums over all documents, made in the tasks and
 added up by Spark; the rates themselves are never stored, since every rate follows from the document's own
-probabilities and the moves so far (a few numbers a step). Totals cover all documents.
+probabilities and v. Totals cover all documents.
 
 Domains: "toxic" (labelled toxic), "poor" (not toxic, quality 0), "good" (not toxic, quality 1).
 
 Nulls and ties: a null or empty text has no tokens and the probabilities of no evidence; it gets a
 rate like any other. Repeated rows get equal rates. Targets of a domain without tokens can't be met
-and are left out. An empty table gives an empty result.
+and are left out. An empty table gives an empty result. Without held-out labels the sharpness is 1. Very long
+texts count whole. Columns kept must not be named mix_domains, mix_tokens, mix_rate or mix_text.
 """
 
 from __future__ import annotations
@@ -29,12 +36,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dwellmart.llm import classifier
+from dwellmart.llm.quality import held_out
 from dwellmart.llm.text import SPACE, text_bytes, tokenise
 from dwellmart.session import written
 
 DOMAINS = ["good", "poor", "toxic"]
 TARGETS = {"good": 0.90, "poor": 0.08, "toxic": 0.02}
 STEPS, TOLERANCE, SHORTEST = 60, 1e-3, 1e-4
+POWERS = [0.5, 0.75, 1.0, 1.5, 2.0, 3.0, 4.0, 6.0, 8.0]
 
 
 def domain_labels(labels: DataFrame) -> DataFrame:
@@ -47,9 +56,28 @@ def domain_labels(labels: DataFrame) -> DataFrame:
     )
 
 
+def sharpness(docs: DataFrame, labels: DataFrame, model: classifier.Model) -> float:
+    """The power of POWERS under which the probabilities make the given labels likeliest, the mildest of equals."""
+    rows = classifier.labelled(docs.select("doc_id", "text"), labels, DOMAINS)
+    scored = classifier.score(rows, model, ["truth"], "mix_domains")
+    floor = F.lit(1e-12)
+    powers = {power: F.transform("mix_domains", lambda x: F.pow(F.greatest(x, floor), F.lit(power))) for power in POWERS}
+    likely = [
+        F.sum(F.log(F.greatest(F.element_at(p, F.array_position("truth", 1.0).cast("int"))
+                               / F.aggregate(p, F.lit(0.0), lambda a, x: a + x), floor))).alias(f"of_{i}")
+        for i, p in enumerate(powers.values())
+    ]
+    found = scored.where(F.array_contains("truth", 1.0)).agg(*likely).first()
+    if found[0] is None:
+        return 1.0
+    return max(zip(found, POWERS), key=lambda pair: (round(pair[0], 9), -abs(np.log(pair[1]))))[1]
+
+
 def posteriors(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame:
     """Columns ``keep``, mix_tokens (words) and mix_domains (a probability for each of DOMAINS)."""
-    model = classifier.train(docs.select("doc_id", "text"), domain_labels(labels), DOMAINS)
+    known, aside = (domain_labels(labels.where(rows)) for rows in (~held_out(), held_out()))
+    model = classifier.train(docs.select("doc_id", "text"), known, DOMAINS, recipe=classifier.PRESENCE)
+    power = sharpness(docs, aside, model)
     counted = docs.withColumn("mix_text", F.col("text")).select(*keep, "mix_text", "text")
     scored = classifier.score(counted, model, [*keep, "mix_text"], "mix_domains")
     fields = [T.StructField("mix_domains", T.ArrayType(T.DoubleType())), T.StructField("mix_tokens", T.LongType())]
@@ -61,6 +89,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame
             data, offsets = text_bytes(batch.column(place))
             sizes = tokenise(data, offsets, SPACE, lower=False).counts
             p = batch.column(place + 1).flatten().to_numpy().reshape(batch.num_rows, -1)
+            p = np.maximum(p, 1e-12) ** power
             p = p / p.sum(1, keepdims=True)
             ends = np.arange(0, p.size + 1, p.shape[1], dtype=np.int32)
             lists = pa.ListArray.from_arrays(ends, pa.array(p.ravel()))
@@ -73,10 +102,7 @@ def posteriors(docs: DataFrame, labels: DataFrame, keep: list[str]) -> DataFrame
 
 def replayed(p: np.ndarray, moves: list[np.ndarray]) -> np.ndarray:
     """Rates after the given moves, from the probabilities alone."""
-    rate = np.ones(len(p))
-    for move in moves:
-        rate = np.maximum(rate - p @ move, 0.0)
-    return rate
+    return np.maximum(1 - p @ sum(moves, np.zeros(p.shape[1])), 0.0)
 
 
 def _matrix(batch: pa.RecordBatch, column: int) -> np.ndarray:

@@ -2,17 +2,20 @@
 
 Patterns give the base spans. The field then labels the words with a digit or an at-sign of a
 document. Neighbouring ones are linked in a chain; those equal but for signs and case are linked
-with the next such word however far away, so a mention that no pattern accepts takes the label of
-its clear occurrence. Loopy sum-product message passing over both kinds of links gives marginals,
+with the next such word however far away, and so are long ones that agree in their first or last half,
+so a mention that no pattern accepts takes the label of its clear occurrence. Loopy sum-product message passing over both kinds of links gives marginals,
 and words with a marginal of ``least`` or more become further spans where no base span lies.
 
-The field is trained on the whole corpus, piece by piece: base spans label the words, and counts of
+The field is trained on the whole corpus, piece by piece: base spans label the words. That a number with
+the digits of a card fails its check digit says no more than that it was mistyped or run together with
+its neighbour, so the words of such a number are labelled neither way and not learned from. Counts of
 (features, label), (label, next label) and (label, skip label) are summed by Spark. There are no
 more than 2 ** FEATURES feature patterns; word weights are fitted to those counts, link weights are
 the smoothed log ratios of joint to separate counts.
 
 Nulls and ties: a null text is empty. Touching or overlapping base spans of different kinds all
 stay. A text without digits and at-signs is not looked at further. Repeated rows have equal results.
+Very long texts are taken whole, in time linear in their length. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ _phone = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _not_digits, _not_alnum = re.compile(r"[^0-9]+"), re.compile(r"[\W_]+")
 
-LABELS, FEATURES, ROUNDS, LEAST = 1 + len(KINDS), 14, 8, 0.95
+LABELS, FEATURES, ROUNDS, LEAST, HALVED = 1 + len(KINDS), 14, 8, 0.95, 12
 
 
 def _emails(text: str):
@@ -58,8 +61,9 @@ def _luhn(digits: str) -> bool:
     return (total + sum(sum(divmod(2 * int(d), 10)) for d in digits[-2::-2])) % 10 == 0
 
 
-def base_spans(text: str) -> list[tuple[int, int, int]]:
-    """(kind, start, end) by kind and start, in code points."""
+def base_spans(text: str, doubtful: list[tuple[int, int]] | None = None) -> list[tuple[int, int, int]]:
+    """(kind, start, end) by kind and start, in code points. Numbers with the digits of a card that fail its check
+    are added to ``doubtful``."""
     spans = [(0, a, b) for a, b in _emails(text)]
     for m in _ip.finditer(text):
         parts = [x.lstrip("0") or "0" for x in m[0].split(".")]
@@ -67,8 +71,11 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
             spans.append((1, *m.span()))
     for m in _card.finditer(text):
         digits = _not_digits.sub("", m[0])
-        if 16 <= len(digits) <= 19 and _luhn(digits):
-            spans.append((2, *m.span()))
+        if 16 <= len(digits) <= 19:
+            if _luhn(digits):
+                spans.append((2, *m.span()))
+            elif doubtful is not None:
+                doubtful.append(m.span())
     if "+" in text:
         for m in _phone.finditer(text):
             if 8 <= len(_not_digits.sub("", m[0])) <= 15:
@@ -91,33 +98,43 @@ def _pattern(word: str, before: str, adjacent: bool) -> int:
 class Graph:
     """The words of one document that the field labels."""
 
-    def __init__(self, text: str, spans, starts: list[int], ends: list[int], numbers: list[int]):
+    def __init__(self, text: str, spans, starts: list[int], ends: list[int], numbers: list[int], doubtful=()):
         self.text, self.spans = text, [(a, b) for a, b in zip(starts, ends, strict=True)]
         words = [text[a:b] for a, b in self.spans]
         adjacent = [False] + [y - x == 1 for x, y in zip(numbers, numbers[1:])]
         self.chain = [(i - 1, i) for i in range(1, len(words)) if adjacent[i]]
         self.patterns = [_pattern(w, words[i - 1] if i else "", adjacent[i]) for i, w in enumerate(words)]
-        last: dict[str, int] = {}
+        last: dict[tuple[int, str], int] = {}
         self.skip = []
         for i, word in enumerate(words):
             form = _not_alnum.sub("", word).lower()
             if len(form) > 3:
-                if form in last and (last[form], i) not in self.chain[-1:]:
-                    self.skip.append((last[form], i))
-                last[form] = i
-        self.labels = [0] * len(words)
-        order = sorted(spans, key=lambda s: s[1])
+                keys = [(0, form)]
+                if len(form) >= HALVED:
+                    keys += [(1, form[: len(form) // 2]), (2, form[len(form) // 2 :])]
+                alike = {last[key] for key in keys if key in last}
+                self.skip += [(j, i) for j in sorted(alike) if (j, i) not in self.chain[-1:]]
+                last.update(dict.fromkeys(keys, i))
+        self.labels = self._met([(kind + 1, a, b) for kind, a, b in spans])
+        met = self._met([(1, a, b) for a, b in doubtful])
+        self.unsure = [bool(doubt and not label) for doubt, label in zip(met, self.labels, strict=True)]
+
+    def _met(self, marked: list[tuple[int, int, int]]) -> list[int]:
+        """For each word the mark of the first marked span that it meets, 0 for none."""
+        found = [0] * len(self.spans)
+        order = sorted(marked, key=lambda s: s[1])
         k = 0
         for i, (a, b) in enumerate(self.spans):
             while k < len(order) and order[k][2] <= a and order[k][1] < a:
                 k += 1
             for at in range(k, len(order)):
-                kind, x, y = order[at]
+                mark, x, y = order[at]
                 if x >= b:
                     break
                 if y > a:
-                    self.labels[i] = kind + 1
+                    found[i] = mark
                     break
+        return found
 
 
 def _documents(batches):
@@ -135,9 +152,10 @@ def _documents(batches):
                 mine = candidate[cuts[i] : cuts[i + 1]]
                 begin = words.offsets[i]
                 text = data[begin : words.offsets[i + 1]].decode()
-                spans = base_spans(text)
+                doubtful: list[tuple[int, int]] = []
+                spans = base_spans(text, doubtful)
                 starts, ends = (point[x[mine]] - point[begin] for x in (words.starts, words.ends))
-                found.append((i, spans, Graph(text, spans, starts.tolist(), ends.tolist(), mine.tolist())))
+                found.append((i, spans, Graph(text, spans, starts.tolist(), ends.tolist(), mine.tolist(), doubtful)))
             yield part, found
 
 
@@ -201,9 +219,10 @@ def train(docs: DataFrame) -> Field:
         counts: dict[tuple[str, int, int], int] = {}
         for _, found in _documents(batches):
             for _, _, graph in found:
-                keys = [("word", p, y) for p, y in zip(graph.patterns, graph.labels, strict=True)]
-                keys += [("chain", graph.labels[a], graph.labels[b]) for a, b in graph.chain]
-                keys += [("skip", graph.labels[a], graph.labels[b]) for a, b in graph.skip]
+                labels, unsure = graph.labels, graph.unsure
+                keys = [("word", p, y) for p, y, u in zip(graph.patterns, labels, unsure, strict=True) if not u]
+                for what, links in (("chain", graph.chain), ("skip", graph.skip)):
+                    keys += [(what, labels[a], labels[b]) for a, b in links if not (unsure[a] or unsure[b])]
                 for key in keys:
                     counts[key] = counts.get(key, 0) + 1
         if counts:

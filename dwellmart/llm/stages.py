@@ -1,10 +1,14 @@
 """The stages of the corpus pipeline: each applies one operator to all documents its predecessor kept.
 
-All but the last return the columns of documents. Rows that repeat an id are documents of their own.
+All but the last return the columns of documents. Rows that repeat an id are documents of their own. Columns
+beside doc_id and text are passed on whatever their names: while a stage runs they bear others, so that they
+can't meet its own. Texts are taken whole, however long; an empty table passes as an empty one.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +26,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def any_columns(stage):
+    """A stage whose own columns can't clash with those of the documents."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        names = docs.columns
+        neutral = [name if name in ("doc_id", "text") else f"kept_{i}" for i, name in enumerate(names)]
+        return stage(spark, docs.toDF(*neutral), sf_dir).toDF(*names)
+
+    return run
+
+
+@any_columns
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier doesn't reject (score 0.3 or more)."""
     model = quality_model(docs, _table(spark, sf_dir, "labels"))
@@ -33,6 +50,7 @@ def _text_key(column: str = "text"):
     return F.unhex(F.md5(F.coalesce(column, F.lit("")).cast("binary")))
 
 
+@any_columns
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by 5-word shingles at a Jaccard similarity of 0.8: the one
     with the least id (and, of rows that repeat that id with several texts of the group, the least text
@@ -46,6 +64,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return left.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
 
 
+@any_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no passage of a benchmark item occurs."""
     found = contamination.contamination(docs, _table(spark, sf_dir, "benchmark"))
@@ -62,6 +81,7 @@ def _without_toxic(table: DataFrame) -> np.ndarray:
     return np.array(kept.agg(*sums).first())
 
 
+@any_columns
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their rate, rounded to the nearest whole number, says. The target of each
     domain is what it has in documents that are likelier of another domain than toxic: clean ones

@@ -1,0 +1,159 @@
+"""What the trained operators learn from, and what they make of it."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+import corpus_pipeline
+from dwellmart.llm import classifier, mixing, pii
+from dwellmart.llm.quality import held_out
+from dwellmart.llm.shipping import ship
+
+CLASHING = ["mix_domains", "mix_tokens", "mix_rate", "mix_text", "__key", "__copy", "__quality", "scored_text", "truth", "text_key", "a.b"]
+
+
+def test_an_id_of_many_rows_is_learned_from_once(spark):
+    rows = [(1, f"text {i}") for i in range(500)] + [(2, "other"), (2, "other"), (3, None), (None, "x"), (9, "unlabelled")]
+    docs = ship(spark).createDataFrame(rows, "doc_id LONG, text STRING").repartition(4)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1), (None, 1), (4, 1)], "doc_id LONG, quality INT")
+    found = classifier.labelled(docs, labels, ["quality"]).collect()
+    assert sorted((r.doc_id, r.truth[0]) for r in found) == [(1, 1.0), (2, 0.0), (3, 1.0)]
+    assert {r.doc_id: r.text for r in found}[1] in {text for _, text in rows}
+    again = {r.doc_id: r.text for r in classifier.labelled(docs.repartition(2), labels, ["quality"]).collect()}
+    assert again == {r.doc_id: r.text for r in found}
+    assert not classifier.train(docs, labels, ["quality"], sample_bytes=0).weights.any()
+    assert classifier.train(docs, labels, ["quality"]).weights.any()
+
+
+def test_leader_follows_the_updates_weight_by_weight():
+    draw = np.random.default_rng(3)
+    rows = [(np.unique(draw.integers(0, 20, 6)), draw.integers(0, 2)) for _ in range(60)]
+    recipe = classifier.SHARES
+    leader = classifier.Leader(1, 20, recipe)
+    z, n = [0.0] * 20, [0.0] * 20
+
+    def weight(i):
+        if abs(z[i]) <= recipe.l1:
+            return 0.0
+        rate = (classifier.BETA + n[i] ** 0.5) / recipe.alpha + classifier.L2
+        return -(z[i] - (recipe.l1 if z[i] > 0 else -recipe.l1)) / rate
+
+    for cell, truth in rows:
+        value = np.full(len(cell), 0.5)
+        leader.learn(cell, value, np.array([truth]))
+        now = {i: weight(i) for i in cell}
+        chance = 1 / (1 + np.exp(-sum(0.5 * w for w in now.values())))
+        for i, w in now.items():
+            g = (chance - truth) * 0.5
+            z[i] += g - ((n[i] + g * g) ** 0.5 - n[i] ** 0.5) / recipe.alpha * w
+            n[i] += g * g
+    assert np.allclose(leader.weights()[0], [weight(i) for i in range(20)])
+
+
+def test_stages_pass_on_columns_of_any_name(spark, tmp_path):
+    words = "alpha beta gamma delta epsilon zeta eta theta iota kappa".split()
+    rows = [(i, " ".join(random.Random(i).choices(words, k=90)), *[f"{c}{i}" for c in CLASHING]) for i in range(20)]
+    schema = ", ".join(["doc_id LONG, text STRING", *[f"`{c}` STRING" for c in CLASHING]])
+    frame = ship(spark).createDataFrame(rows, schema)
+    spark.createDataFrame([(1, "nothing like it")], "item_id LONG, text STRING").write.parquet(f"{tmp_path}/benchmark.parquet")
+    labels = [(i, 1, 0) for i in range(20)]
+    spark.createDataFrame(labels, "doc_id LONG, quality INT, toxic INT").write.parquet(f"{tmp_path}/labels.parquet")
+    given = {row[0]: row for row in rows}
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, frame, str(tmp_path))
+        assert found.columns == frame.columns
+        kept = [tuple(row) for row in found.collect()]
+        assert kept and all(row == given[row[0]] for row in kept)
+    assert corpus_pipeline.STAGES[-1][1](spark, frame, str(tmp_path)).count() == 20
+
+
+@pytest.mark.parametrize("aimed", [{"good": 0.9, "poor": 0.08, "toxic": 0.02}, {"good": 0.5, "poor": 0.3, "toxic": 0.2}])
+def test_rates_are_the_nearest_to_one_that_meet_the_targets(spark, aimed):
+    draw = np.random.default_rng(7)
+    p = draw.dirichlet([0.4, 0.2, 0.1], 800)
+    tokens = draw.integers(0, 400, 800)
+    table = ship(spark).createDataFrame(
+        [(x.tolist(), int(n)) for x, n in zip(p, tokens, strict=True)], "mix_domains ARRAY<DOUBLE>, mix_tokens LONG"
+    ).repartition(3)
+    moves = mixing.fit(table, mixing.shares(aimed))
+    rate = np.array([r.mix_rate for r in mixing.rated(table, moves).select("mix_rate").collect()])
+    assert np.allclose(sorted(rate), sorted(mixing.replayed(p, moves)))
+    rate = mixing.replayed(p, moves)
+    aim = (p.T @ tokens).sum() * np.array([aimed[d] for d in mixing.DOMAINS])
+    assert np.allclose(p.T @ (tokens * rate), aim, rtol=1e-2)
+    # Nudged towards any other rates that meet the targets, the weighted distance from 1 grows.
+    least = tokens @ (rate - 1) ** 2
+    weighed = p * tokens[:, None]
+    free = rate > 0
+    for _ in range(200):
+        other = np.where(free, draw.normal(size=800), draw.random(800))
+        off = weighed.T @ other
+        other -= np.where(free, p @ np.linalg.solve((weighed * free[:, None]).T @ p, off), 0.0)
+        length = np.where(other < 0, rate / np.maximum(-other, 1e-12), np.inf)
+        moved = rate + min(0.01, length.min()) * other
+        assert (moved >= -1e-9).all() and np.allclose(p.T @ (tokens * moved), p.T @ (tokens * rate))
+        assert tokens @ (moved - 1) ** 2 >= least * (1 - 1e-6)
+
+
+def test_no_document_is_lost_without_need(spark):
+    """On a table with some 4,000 labels. With a tenth of them, some documents of uncertain domain go."""
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (ship(spark).read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    found = mixing.mix(docs, labels).collect()
+    p, tokens, rate = (np.array([r[c] for r in found]) for c in ("mix_domains", "mix_tokens", "mix_rate"))
+    share = p.T @ (tokens * rate) / (tokens * rate).sum()
+    assert np.allclose(share, [mixing.TARGETS[d] for d in mixing.DOMAINS], rtol=2e-2)
+    assert rate[p.argmax(1) == 0].min() > 0.5 and rate.max() < 3
+    truth = {r.doc_id: r.toxic for r in labels.where(held_out()).collect()}
+    judged = [(x[2] > 0.5, truth[r.doc_id] == 1) for x, r in zip(p, found, strict=True) if r.doc_id in truth]
+    assert len(judged) > 500 and sum(a == b for a, b in judged) >= 0.95 * len(judged)
+
+
+def test_a_mistyped_number_takes_the_label_of_its_kind(spark):
+    draw = random.Random(11)
+    cards, orders = [], []
+    while len(cards) < 60:
+        digits = "".join(draw.choices("0123456789", k=16))
+        cards += [digits] * pii._luhn(digits)
+        orders.append(digits[:11])
+    texts = [f"paid with {c} for order {o} and 3 more" for c, o in zip(cards, orders, strict=False)]
+    wrong = cards[0][:-1] + str((int(cards[0][-1]) + 1) % 10)
+    texts += [f"paid with {cards[0]} once and with {wrong} again for order {orders[0]}"]
+    docs = ship(spark).createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING").repartition(3)
+    found = {r.doc_id: r for r in pii.spans(docs).collect()}
+    for i, text in enumerate(texts[:-1]):
+        at = text.index(cards[i])
+        assert [tuple(s) for s in found[i].spans] == [tuple(s) for s in found[i].base] == [("card", at, at + 16)]
+    last, text = found[60], texts[-1]
+    assert [text[s.start : s.end] for s in last.base] == [cards[0]]
+    assert [text[s.start : s.end] for s in last.spans] == [cards[0], wrong]
+    assert all(s.kind == "card" for s in last.spans)
+
+
+def test_links_of_similar_words():
+    text = "a 5105105105105100 b 5105105105105109 c 9995105105105100 d 77 e 77"
+    spots = [m.span() for m in re.finditer(r"\S*\d\S*", text)]
+    doubtful: list = []
+    spans = pii.base_spans(text, doubtful)
+    graph = pii.Graph(text, spans, [a for a, _ in spots], [b for _, b in spots], [1, 3, 5, 7, 9], doubtful)
+    assert graph.skip == [(0, 1), (0, 2)]
+    assert graph.labels[:2] == [3, 0] and graph.unsure[:2] == [False, True] and not any(graph.unsure[3:])
+
+
+def test_messages_give_the_marginals_of_a_tree():
+    from itertools import product
+
+    field = pii.Field(np.array([[5, 0, 3], [9, 2, 4], [3, 1, 2]]), np.ones((5, 5)) + 3 * np.eye(5), np.ones((5, 5)) + 9 * np.eye(5))
+    graph = pii.Graph("x", [], [], [], [])
+    graph.patterns, graph.chain, graph.skip = [5, 9, 3, 5], [(0, 1), (1, 2)], [(1, 3)]
+    x = np.hstack([(np.array(graph.patterns)[:, None] >> np.arange(pii.FEATURES)) & 1, np.ones((4, 1))])
+    own, total = x @ field.weights, np.zeros((4, 5))
+    for labels in product(range(5), repeat=4):
+        score = sum(own[i, y] for i, y in enumerate(labels))
+        score += sum(field.chain[labels[a], labels[b]] for a, b in graph.chain) + field.skip[labels[1], labels[3]]
+        for i, y in enumerate(labels):
+            total[i, y] += np.exp(score)
+    expected = total / total.sum(1, keepdims=True)
+    assert np.abs(field.marginals(graph) - expected).max() < 0.05
