@@ -61,6 +61,8 @@ DIMENSION_IDS = {
     "dim_source": "source_id",
 }
 
+FACT_IDS = {"fact_listings": "listing_sk", "fact_macro_indicators": "macro_sk"}
+
 
 # -- what the queries read --------------------------------------------------------------------
 
@@ -192,12 +194,24 @@ def _build_quarantined(spark: SparkSession, tables: str, name: str) -> Loaded:
     return Loaded(folders, Warehouse(spark, name, root), counts, {})
 
 
+def _build_dense(spark: SparkSession, tables: str, name: str) -> Loaded:
+    """A load of the records up to a date and the rest appended, with fact ids that leave no gaps."""
+    full = daily(spark, tables)
+    raw = load_landing(spark, full.folders.landing)
+    warehouse = Warehouse(spark, name, f"{scratch_root(spark)}/{name}")
+    refresh(warehouse, curate_frame(raw.where(F.col("date_scraped") < _early_until())), dense_ids=True)
+    stored = {table: warehouse.largest(table, key) for table, key in FACT_IDS.items()}
+    append(warehouse, full.curated(), dense_ids=True)
+    return Loaded(full.folders, warehouse, full.counts, stored)
+
+
 daily = _once("daily", _build_daily)
 quarantined = _once("quarantined", _build_quarantined)
 incremental = _once("incremental", _build_incremental)
 latest = _once("latest", _build_latest)
 replayed = _once("replayed", _build_replayed)
 broken = _once("broken", _build_broken)
+dense = _once("dense", _build_dense)
 
 
 # -- presentation -------------------------------------------------------------------------------
@@ -324,6 +338,17 @@ def _resolved(name: str, surrogate: str) -> Query:
     return run
 
 
+def _fact_ids(spark: SparkSession, tables: str) -> DataFrame:
+    """Of each fact table the ids in use, before and after an append: how many, how many different ones, and their ends."""
+    loaded = dense(spark, tables)
+    parts = []
+    for table, key in FACT_IDS.items():
+        rows = loaded.warehouse.table(table).withColumn("appended", F.col(key) > loaded.stored_before[table])
+        ids = [F.count("*").alias("rows"), F.countDistinct(key).alias("ids"), F.min(key).alias("first"), F.max(key).alias("last")]
+        parts.append(rows.groupBy("appended").agg(*ids).select(F.lit(table).alias("fact"), "appended", "rows", "ids", "first", "last"))
+    return parts[0].unionAll(parts[1])
+
+
 def _append_new_members(spark: SparkSession, tables: str) -> DataFrame:
     """The dimension members an append added to an earlier load, with the ids they got."""
     loaded = incremental(spark, tables)
@@ -377,6 +402,7 @@ _QUERIES: dict[str, Query] = {
     "append_fact_macro": _appended("fact_macro_indicators", "macro_sk"),
     "append_latest": _resolved("fact_listings", "listing_sk"),
     "append_latest_macro": _resolved("fact_macro_indicators", "macro_sk"),
+    "fact_ids": _fact_ids,
     "lookup_large": _lookup_large,
     "fact_integrity_broken": lambda s, d: audit(broken(s, d).warehouse),
     "daily_replay": _daily_replay,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dwellmart.functions.dates import date_key
@@ -12,6 +12,7 @@ from dwellmart.functions.measures import as_decimal
 from dwellmart.functions.text import source_of
 from dwellmart.operators.lookup import Lookup, lookups
 from dwellmart.operators.rules import required
+from dwellmart.session import written
 
 Dimension = Callable[[str], DataFrame]
 
@@ -76,6 +77,22 @@ def with_surrogate_key(facts: DataFrame, id_column: str, after: int) -> DataFram
     return facts.withColumn(id_column, F.lit(after + 1) + F.monotonically_increasing_id())
 
 
+def with_dense_key(facts: DataFrame, id_column: str, after: int) -> DataFrame:
+    """Consecutive ids behind ``after``, in the order the facts have in their tasks, without another shuffle.
+
+    The facts are stored once; a file's ids then start behind the rows of the files before it (prefix sums
+    over one row per file, sent around) and go on by the row's place in the file. Both are fixed by
+    what is stored, so a repeated task gives the same ids, however the files are split over tasks.
+    """
+    stored = written(facts, "unnumbered")
+    file, place = F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_place")
+    sizes = stored.select(file).groupBy("_file").agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_file", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_before"))
+    placed = stored.select("*", file, place).join(F.broadcast(starts), "_file")
+    return placed.withColumn(id_column, F.lit(after + 1) + F.col("_before") + F.col("_place")).drop("_file", "_place", "_before")
+
+
 def unseen(rows: DataFrame, stored: DataFrame, stored_key: str) -> DataFrame:
     """The curated rows whose listing_id is not a stored natural key yet.
 

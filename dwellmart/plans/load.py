@@ -21,6 +21,7 @@ from dwellmart.operators.facts import (
     macro_facts,
     outdated,
     unseen,
+    with_dense_key,
     with_surrogate_key,
 )
 from dwellmart.operators.integrity import require_sound, require_unique
@@ -53,6 +54,7 @@ def refresh(
     rejected: str | None = None,
     known_unique: bool = False,
     verify: bool = False,
+    dense_ids: bool = False,
 ) -> LoadCounts:
     """Rebuild the star from the whole curated zone and publish it if every constraint holds.
 
@@ -63,13 +65,14 @@ def refresh(
     Required values and foreign keys are enforced while the facts are written, so they cost no
     pass of their own. That a listing_id occurs once needs a shuffle of all ids; a caller who has
     just removed duplicates says so with ``known_unique``. ``verify`` checks what was written once
-    more, constraint by constraint.
+    more, constraint by constraint. ``dense_ids`` numbers the facts 1 to n, for which they are written
+    and read once more; without it fact ids are unique but leave gaps.
     """
     if not known_unique:
         require_unique(curated, ["listing_id"])
     staged = warehouse.stage()
     try:
-        counts = _load(staged, curated, mode, rejected, fresh=True)
+        counts = _load(staged, curated, mode, rejected, fresh=True, dense_ids=dense_ids)
         if verify:
             require_sound(staged)
     except Exception:
@@ -86,6 +89,7 @@ def append(
     rejected: str | None = None,
     known_unique: bool = False,
     latest: bool = False,
+    dense_ids: bool = False,
 ) -> LoadCounts:
     """Add what is not stored yet: new members first, then new facts, then new rejects.
 
@@ -93,12 +97,13 @@ def append(
     the later record: a record of a later time takes the place (and the surrogate key) of the stored
     one, and one that cannot become a fact removes it, as a full load of all records would. At equal
     times the stored one stays. Running the same batch again changes nothing, so a run that was
-    cut off between two tables is completed by repeating it.
+    cut off between two tables is completed by repeating it. ``dense_ids`` numbers the new facts without
+    gaps behind the largest id in use.
     """
     if not known_unique:
         require_unique(curated, ["listing_id"])
     warehouse.prepare()
-    return _load(warehouse, curated, mode, rejected, fresh=False, latest=latest)
+    return _load(warehouse, curated, mode, rejected, fresh=False, latest=latest, dense_ids=dense_ids)
 
 
 def fact_rejects(curated: DataFrame) -> DataFrame:
@@ -113,6 +118,7 @@ def _load(
     rejected: str | None,
     fresh: bool,
     latest: bool = False,
+    dense_ids: bool = False,
 ) -> LoadCounts:
     if mode not in (STRICT, QUARANTINE):
         raise ValueError(f"unknown mode {mode!r}")
@@ -137,9 +143,11 @@ def _load(
     together(
         target.spark,
         partial(_add_facts, target, "fact_listings", listings_of(facts), listing_facts,
-                "listing_sk", ["location_id", "price"], fresh, listings_of(curated) if latest else None),
+                "listing_sk", ["location_id", "price"], fresh,
+                listings_of(curated) if latest else None, dense_ids),
         partial(_add_facts, target, "fact_macro_indicators", macro_of(facts), macro_facts,
-                "macro_sk", ["date_id", "location_id"], fresh, macro_of(curated) if latest else None),
+                "macro_sk", ["date_id", "location_id"], fresh,
+                macro_of(curated) if latest else None, dense_ids),
     )
     folder = rejected or target.rejects_folder()
     if mode == QUARANTINE:
@@ -196,6 +204,7 @@ def _add_facts(
     order: list[str],
     fresh: bool,
     batch: DataFrame | None = None,
+    dense_ids: bool = False,
 ) -> None:
     """Append facts, laid out so that file statistics can rule out what a report doesn't need.
 
@@ -213,7 +222,8 @@ def _add_facts(
         later = rows
         rows = written(unseen(rows, stored, natural_key), "unseen")
     clustered = table in CLUSTERED
-    added = with_surrogate_key(_laid_out(facts_of(rows, target.table), order, clustered), id_column, last)
+    numbered = with_dense_key if dense_ids else with_surrogate_key
+    added = numbered(_laid_out(facts_of(rows, target.table), order, clustered), id_column, last)
     if files:
         # Copy on write: the files that hold an outdated fact are written anew, with the later records
         # and what is new; no other file is touched.

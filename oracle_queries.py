@@ -355,6 +355,17 @@ _APPEND_FACTS = f"""WITH {_EARLY},
     dim_source AS (SELECT * FROM early_dim_source UNION ALL SELECT * FROM added_source),
     {_FACTS}"""
 
+_FACT_IDS = f"""{_APPEND_FACTS},
+    facts AS (
+        SELECT 'fact_listings' AS fact, listing_natural_key NOT IN (SELECT listing_id FROM early_listings) AS appended
+        FROM fact_listings
+        UNION ALL SELECT 'fact_macro_indicators', indicator_natural_key NOT IN (SELECT listing_id FROM early_records)
+        FROM fact_macro),
+    counted AS (SELECT fact, appended, count(*) AS n FROM facts GROUP BY fact, appended)
+    SELECT fact, appended, n AS "rows", n AS ids, CAST(sum(n) OVER so_far - n + 1 AS BIGINT) AS "first",
+           CAST(sum(n) OVER so_far AS BIGINT) AS "last"
+    FROM counted WINDOW so_far AS (PARTITION BY fact ORDER BY appended)"""
+
 _FACT_OUT = """* REPLACE (CAST(date_scraped AS VARCHAR) AS date_scraped,
     CAST(price AS DOUBLE) AS price, CAST(area AS DOUBLE) AS area,
     CAST(price_per_m2 AS DOUBLE) AS price_per_m2)"""
@@ -405,6 +416,7 @@ def statements(city: str) -> dict[str, str]:
         ),
         "etl_counts": _star(_COUNTS),
         "append_new_members": _APPEND_MEMBERS,
+        "fact_ids": _FACT_IDS,
         "append_fact_listings": f"{_APPEND_FACTS} SELECT {_FACT_OUT} FROM fact_listings",
         "append_fact_macro": f"{_APPEND_FACTS} SELECT {_MACRO_OUT} FROM fact_macro",
         "adhoc_sql": _star(

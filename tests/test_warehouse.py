@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import FOREIGN_KEYS, TABLES
 from dwellmart.operators import dimensions as dims
-from dwellmart.operators.facts import unseen
+from dwellmart.operators.facts import unseen, with_dense_key
 from dwellmart.operators.integrity import IntegrityError, audit, require_sound
 from dwellmart.operators.lookup import Lookup, lookup, lookups
 from dwellmart.operators.normalize import transform
@@ -339,6 +339,25 @@ def test_append_adds_only_what_is_new(warehouse, curated):
     assert violations(warehouse) == {}
 
 
+@pytest.mark.parametrize("split", ["128m", "2k"])
+def test_dense_keys_leave_no_gaps(spark, split):
+    """Over files of several sizes, an empty one among them, each read whole or in several splits."""
+    rows = spark.range(900).select("id", F.repeat(F.md5(F.col("id").cast("string")), 4).alias("text"))
+    facts = rows.repartition(7, F.col("id") % 5).sortWithinPartitions("id")
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+        numbered = with_dense_key(facts, "key", after=40)
+        found = numbered.collect()
+        assert numbered.columns == ["id", "text", "key"]
+        assert sorted(r.key for r in found) == list(range(41, 941)) and len({r.id for r in found}) == 900
+        by_key = [r.id for r in sorted(found, key=lambda r: r.key)]
+        assert sum(a > b for a, b in zip(by_key, by_key[1:])) < 7  # the order within each file is kept
+        assert with_dense_key(facts.limit(0), "key", after=40).count() == 0
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_second_append_of_a_batch_adds_nothing(warehouse, curated):
     rows = curated({"listing_id": "olx_1", "rooms": None}, {"listing_id": "olx_2"}, curated.macro())
     refresh(warehouse, rows)
