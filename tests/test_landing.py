@@ -1,5 +1,9 @@
 """Landing zone, curated zone and the curate job."""
 
+import gzip
+import json
+import os
+import pathlib
 from datetime import datetime, timezone
 
 import pytest
@@ -9,6 +13,7 @@ from pyspark.errors import PySparkException
 from dwellmart.operators.kinds import listings_of, macro_of
 from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate
+from dwellmart.sources import landing
 from dwellmart.sources.curated import read_curated, write_curated
 from dwellmart.sources.landing import land, load_landing, preview
 
@@ -96,6 +101,17 @@ def test_drops_of_several_sources_are_read_together(spark, raw, macro_record, tm
     assert sorted(map(str, back.collect())) == sorted(map(str, listings.union(records).collect()))
 
 
+def test_drops_are_compressed_and_cut_into_files_of_bounded_size(spark, raw, tmp_path, monkeypatch):
+    monkeypatch.setitem(landing.WRITTEN, "maxRecordsPerFile", 2)
+    rows = raw(*[{"listing_id": f"olx_{i}"} for i in range(5)]).coalesce(1)
+    drop = land(rows, str(tmp_path / "landing"), "olx")
+    parts = sorted(name for name in os.listdir(drop) if name.startswith("part-"))
+    assert len(parts) == 3 and all(name.endswith(".json.gz") for name in parts)
+    lines = b"".join(gzip.decompress((pathlib.Path(drop) / name).read_bytes()) for name in parts).splitlines()
+    assert sorted(json.loads(line)["listing_id"] for line in lines) == [f"olx_{i}" for i in range(5)]
+    assert ids(load_landing(spark, drop)) == [f"olx_{i}" for i in range(5)]
+
+
 def test_a_broken_record_aborts_its_drop(spark, raw, tmp_path):
     zone = str(tmp_path / "landing")
     with pytest.raises(PySparkException, match="date_scraped_missing"):
