@@ -1,5 +1,6 @@
 """Star schema: members, keys, facts, constraints, full load and append."""
 
+import os
 import uuid
 from datetime import datetime
 
@@ -10,13 +11,14 @@ from pyspark.sql import functions as F
 
 from dwellmart.fixed_values import FOREIGN_KEYS, TABLES
 from dwellmart.operators import dimensions as dims
-from dwellmart.operators.facts import unseen, with_dense_key
+from dwellmart.operators.facts import unseen, unseen_or_later, with_dense_key
 from dwellmart.operators.integrity import IntegrityError, audit, require_sound
 from dwellmart.operators.lookup import Lookup, lookup, lookups
 from dwellmart.operators.normalize import transform
 from dwellmart.plans.curate import curate_frame
 from dwellmart.plans.daily import Folders, run_daily
 from dwellmart.plans.load import append, fact_rejects, refresh
+from dwellmart.session import scratch_root
 from dwellmart.sources.landing import load_landing
 from dwellmart.sources.warehouse import Warehouse, append_jdbc
 
@@ -550,6 +552,39 @@ def test_loading_day_by_day_equals_loading_all(spark, warehouse, two_days):
     assert ours[1] == theirs[1]
 
 
+def shuffle_files(spark):
+    """The shuffle files on the disk of a local session."""
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (found.apply(i).getName() for i in range(found.size()))
+    return {name for name in names if name.startswith("shuffle_")}
+
+
+def test_loads_leave_neither_shuffle_files_nor_passing_tables(spark, warehouse, two_days, small_files):
+    first, second = two_days
+    root, setting = scratch_root(spark), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    files, tables, before = shuffle_files(spark), set(os.listdir(root)), spark.conf.get(setting, "false")
+    refresh(warehouse, first)
+    append(warehouse, second, latest=True)
+    append(warehouse, second)
+    assert shuffle_files(spark) <= files
+    left = {name for name in set(os.listdir(root)) - tables if not name.startswith("ranges-")}
+    assert left == set()
+    assert spark.conf.get(setting, "false") == before
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_later_records_are_shuffled_once(spark, curated, small):
+    stored = spark.createDataFrame([("olx_1", 7, "f", True), ("olx_2", 8, "f", False)], "listing_id STRING, sk LONG, _file STRING, _later BOOLEAN")
+    rows = curated({"listing_id": "olx_1"}, {"listing_id": "olx_2"}, {"listing_id": "olx_3"})
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit if small else -1)
+    try:
+        found = unseen_or_later(rows, stored, "sk")
+        assert sorted(columns_of(found, "listing_id", "sk")) == [("olx_1", 7), ("olx_3", None)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
 def test_repeating_a_batch_of_later_records_changes_nothing(warehouse, two_days):
     first, second = two_days
     refresh(warehouse, first)
