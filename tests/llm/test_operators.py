@@ -61,6 +61,20 @@ def test_join(docs, size, num, den):
     assert collections.Counter(found) == collections.Counter(expected)
 
 
+def test_copies_in_several_slices_are_signed_once(spark, monkeypatch):
+    """Copies must not multiply the lists: a list with r rows of one class and s of another makes r times s pairs."""
+    words = [f"w{i}" for i in range(30)]
+    near = " ".join(words[:-1] + ["other"])
+    rows = [(i, " ".join(words)) for i in range(8)] + [(10 + i, near) for i in range(8)] + [(3, "another text of this id")]
+    made, make = [], ngram_join.signatures
+    monkeypatch.setattr(ngram_join, "signatures", lambda *given: made.append(make(*given).collect()) or make(*given))
+    docs = spark.createDataFrame(rows, "doc_id LONG, text STRING").repartition(8)
+    found = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.groups(docs).collect()}
+    assert found == {**{(i, 26): 0 for i in [*range(8), *range(10, 18)]}, (3, 1): 3}
+    listed = collections.Counter((r.signature, bytes(r.key)) for r in made[0])
+    assert listed and max(listed.values()) == 1
+
+
 def test_join_needs_a_similarity_above_one_half():
     with pytest.raises(ValueError):
         ngram_join.Rule(4, 1, 2)
